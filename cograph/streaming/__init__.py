@@ -1,0 +1,7 @@
+"""Streaming.
+
+The recommender is a batch job over static inputs: no watermark, window, state
+or late-data rule exists in its semantics, so nothing streaming is provided.
+A stream of signals can still be fed by writing micro-batches to a stage table
+(``cograph.sources.io``) and re-running ``cograph.plans.pipeline``.
+"""
