@@ -237,8 +237,8 @@ def q_rec_user_item(spark, d):
 
 @query("item_weight_quantiles", Q._with(
     [Q.SIG_FX1, "iw AS (SELECT item, sum(weight) AS weight FROM sig GROUP BY item)"],
-    f"SELECT quantile, round(value, 6) AS value FROM (SELECT unnest({S.TWENTY_ONE!r}) AS quantile, "
-    f"unnest(quantile_cont(weight, {S.TWENTY_ONE!r})) AS value FROM iw)"))
+    f"SELECT quantile, round(value, 6) AS value FROM (SELECT unnest(CAST({S.TWENTY_ONE!r} AS DOUBLE[])) AS quantile, "
+    f"unnest(quantile_cont(weight, CAST({S.TWENTY_ONE!r} AS DOUBLE[]))) AS value FROM iw)"))
 def q_item_weight_quantiles(spark, d):
     return S.item_weight_quantiles(_fx1(spark, d), exact=True)
 
