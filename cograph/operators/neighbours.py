@@ -61,14 +61,11 @@ def _best_paths(graph: DataFrame, hop_targets: DataFrame, num_recs: int,
         two = two.join(dest_items, two["item_B"] == dest_items["item"], "left_semi")
     cand = direct.unionByName(two).filter(F.col("item_A") != F.col("item_B"))
     # Candidates per item_A are bounded (nhood + nhood^2), so one exchange by
-    # item_A serves both the per-pair arg-min and the per-item top-N.
+    # item_A serves both the per-pair arg-min and the per-item top-N windows.
     cand = cand.repartition("item_A")
-    best = cand.groupBy("item_A", "item_B").agg(F.min_by(
-        F.struct("dist", "raw_weight", *carry, "mid"),
-        F.struct(sort_key("dist").alias("d"), F.col("indirect"), F.col("mid"),
-                 sort_key("raw_weight").alias("r"))).alias("p"))
-    flat = best.select("item_A", "item_B", "p.dist", "p.raw_weight",
-                       *[F.col(f"p.{c}") for c in carry], F.col("p.mid").alias("mid"))
+    flat = top_k(cand, ["item_A", "item_B"],
+                 [F.asc_nulls_last(sort_key("dist")), F.asc("indirect"), F.asc_nulls_first("mid"),
+                  F.asc_nulls_first(sort_key("raw_weight"))], 1)
     ranked = top_k(flat, ["item_A"], _nearest(), num_recs, "rank")
     out = [F.col("item_A"), F.col("item_B"), (F.lit(1.0) / F.col("dist")).alias("weight"),
            F.col("raw_weight"), F.col("rank")] + [F.col(c) for c in carry]

@@ -24,6 +24,7 @@ from cograph.operators import neighbours as N
 from cograph.operators import stats as S
 from cograph.operators import users as U
 from cograph.plans import oracle_sql as Q
+from cograph.plans import pipeline as P
 from cograph.plans import recommenders as R
 from cograph.plans.settings import (BOT_THRESHOLD, FX1, FX2, FX3, N2_NHOOD, N2_RECS, N4_NHOOD, QUALITY_Q,
                                     QUALITY_Y, SELECT_ITEMS, TOP_K_QUERY)
@@ -382,9 +383,24 @@ def q_select_signals(spark, d):
 
 # ============================================================================ FX3 family
 def _events(spark, d):
+    """Stage-1 tables of the FX3 event log, written once per query into the
+    shared scratch folder and read back (lineage cut, no recomputation)."""
+    root = f"{scratch_dir(spark)}/fx3/{uuid.uuid4().hex}"
+    return P.stage_parse(spark, TD.event_log_fx3(spark, d), root, FX3)
+
+
+def _lazy_events(spark, d):
+    """The same six outputs as lazy plans, for queries that need only one."""
     return E.prepare_events(TD.event_log_fx3(spark, d), FX3.max_activity_considered)
 
 
+def _stage2(spark, d):
+    root = f"{scratch_dir(spark)}/fx3/{uuid.uuid4().hex}"
+    P.stage_parse(spark, TD.event_log_fx3(spark, d), root, FX3)
+    P.stage_item_graph(spark, root, FX3)
+    return root
+
+
 _EV = Q.events_all(FX3.max_activity_considered)
 _PARSED_COLS = [U_, "item", "signal", "\"timestamp\"", "gravatar_id", "repo_name", "is_a_fork", "num_forks",
                 "num_stars", "language", "description"]
@@ -404,7 +420,7 @@ def q_parse_events(spark, d):
 
 @query("latest_gravatar", Q._with(_EV, "SELECT \"user\", gravatar_id FROM grav"))
 def q_latest_gravatar(spark, d):
-    return _events(spark, d)["gravatar-ids"]
+    return _lazy_events(spark, d)["gravatar-ids"]
 
 
 @query("latest_metadata", Q._with(_EV, "SELECT item, popularity, num_forks, num_stars, language, description "
@@ -415,7 +431,7 @@ def q_latest_metadata(spark, d):
 
 @query("fork_map", Q._with(_EV, "SELECT fork_item, source_item FROM fmap"))
 def q_fork_map(spark, d):
-    return _events(spark, d)["fork-map"]
+    return _lazy_events(spark, d)["fork-map"]
 
 
 @query("canonical_signals", Q._with(_EV, "SELECT \"user\", item, signal, mapped_from_fork FROM csig"))
@@ -426,12 +442,12 @@ def q_canonical_signals(spark, d):
 
 @query("contrib_signals", Q._with(_EV, "SELECT \"user\", item, weight, mapped_from_fork FROM contrib"))
 def q_contrib_signals(spark, d):
-    return _events(spark, d)["contrib-signals"]
+    return _lazy_events(spark, d)["contrib-signals"]
 
 
 @query("interest_signals", Q._with(_EV, "SELECT \"user\", item, weight, mapped_from_fork FROM interest"))
 def q_interest_signals(spark, d):
-    return _events(spark, d)["interest-signals"]
+    return _lazy_events(spark, d)["interest-signals"]
 
 
 _QCOLS = ["item", "quality_score", "activity", "popularity", "num_forks", "num_stars", "language", "description"]
@@ -439,7 +455,7 @@ _QCOLS = ["item", "quality_score", "activity", "popularity", "num_forks", "num_s
 
 @query("item_quality", Q._with(_EV, _sel(_QCOLS, "quality", ("quality_score", "activity", "popularity"))))
 def q_item_quality(spark, d):
-    return _events(spark, d)["item-metadata"]
+    return _lazy_events(spark, d)["item-metadata"]
 
 
 @query("fit_logistic", Q._with(
@@ -447,7 +463,7 @@ def q_item_quality(spark, d):
          f"AS logistic_param FROM (SELECT quantile_cont(quality_score, {QUALITY_Q!r}) AS v FROM quality)"))
 def q_fit_logistic(spark, d):
     from cograph.functions.scale import fit_logistic_param
-    return fit_logistic_param(_events(spark, d)["item-metadata"], "quality_score", QUALITY_Q, QUALITY_Y, exact=True)
+    return fit_logistic_param(_lazy_events(spark, d)["item-metadata"], "quality_score", QUALITY_Q, QUALITY_Y, exact=True)
 
 
 def _qgraph_inputs(spark, d):
@@ -507,9 +523,9 @@ def q_serving_item_recs(spark, d):
 
 
 def _channels(spark, d):
-    ev = _events(spark, d)
-    g = R.quality_item_graph(ev["interest-signals"], ev["item-metadata"], FX3)
-    return ev, g
+    root = _stage2(spark, d)
+    t = P.read_stage(spark, root, P.STAGE1 + P.STAGE2)
+    return t, t["item-item-graph"]
 
 
 _CH = _EV + Q.channels(FX3)
@@ -560,4 +576,4 @@ def q_serving_user_recs(spark, d):
 
 @query("serving_gravatars", Q._with(_EV, "SELECT DISTINCT \"user\", gravatar_id AS gravatar FROM grav"))
 def q_serving_gravatars(spark, d):
-    return IO.serving_gravatars(_events(spark, d)["gravatar-ids"])
+    return IO.serving_gravatars(_lazy_events(spark, d)["gravatar-ids"])
