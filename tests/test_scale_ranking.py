@@ -1,0 +1,63 @@
+import math
+
+from pyspark.sql import functions as F
+
+from cograph.functions.ranking import latest_by, rank_within, top_k
+from cograph.functions.scale import (fit_logistic_param, logistic_inverse, logistic_param_for, logistic_scale,
+                                     popularity_boost)
+
+
+def test_logistic_anchors(spark):
+    # documented anchors: weight 1 -> 0.462, weight 3 -> 0.905 at p = 1
+    df = spark.createDataFrame([(1.0,), (3.0,), (0.0,)], "x double")
+    got = [r[0] for r in df.select(logistic_scale("x", 1.0)).collect()]
+    assert [round(v, 3) for v in got] == [0.462, 0.905, 0.0]
+    assert abs(got[0] - math.tanh(0.5)) < 1e-12
+
+
+def test_logistic_inverse_round_trip(spark):
+    df = spark.createDataFrame([(0.5,), (2.0,), (7.0,)], "x double")
+    out = df.select("x", logistic_inverse(logistic_scale("x", 0.3), 0.3).alias("y")).collect()
+    for x, y in out:
+        assert abs(x - y) < 1e-9
+
+
+def test_fit_logistic_param(spark):
+    # 99.5 % quantile -> 0.9 gives p = ln(19) / q
+    assert abs(logistic_param_for(1000.0, 0.9) - math.log(19) / 1000.0) < 1e-15
+    df = spark.createDataFrame([(float(i),) for i in range(1, 101)], "v double")
+    r = fit_logistic_param(df, "v", 0.5, 0.9, exact=True).first()
+    assert abs(r["quantile_value"] - 50.5) < 1e-12
+    assert abs(r["logistic_param"] - math.log(19) / 50.5) < 1e-12
+
+
+def test_popularity_boost_names(spark):
+    df = spark.createDataFrame([(4.0,)], "x double")
+    assert df.select(popularity_boost("SQRT")(F.col("x"))).first()[0] == 2.0
+    assert abs(df.select(popularity_boost("LOG")(F.col("x"))).first()[0] - math.log(4.0)) < 1e-12
+    assert df.select(popularity_boost("")(F.col("x"))).first()[0] == 4.0
+    try:
+        popularity_boost("CUBE")
+        raise AssertionError("expected ValueError")
+    except ValueError:
+        pass
+
+
+def test_top_k_ties_are_broken_by_key(spark):
+    df = spark.createDataFrame([("u", "b", 1.0), ("u", "a", 1.0), ("u", "c", 2.0), ("v", "z", 0.5)],
+                               "user string, item string, w double")
+    out = top_k(df, ["user"], [F.desc("w"), F.asc("item")], 2, "rank").orderBy("user", "rank").collect()
+    assert [(r.user, r.item, r.rank) for r in out] == [("u", "c", 1), ("u", "a", 2), ("v", "z", 1)]
+
+
+def test_rank_within_is_dense_enumeration(spark):
+    df = spark.createDataFrame([("g", 1.0), ("g", 1.0), ("g", 0.5)], "k string, w double")
+    ranks = sorted(r[0] for r in rank_within(df, ["k"], [F.desc("w")], "r").select("r").collect())
+    assert ranks == [1, 2, 3]
+
+
+def test_latest_by_uses_remaining_columns_on_ties(spark):
+    df = spark.createDataFrame([("u", "2014-01-01", "x"), ("u", "2014-01-01", "y"), ("u", "2013-01-01", "z")],
+                               "user string, ts string, g string")
+    r = latest_by(df, ["user"], [F.desc("ts"), F.desc("g")]).collect()
+    assert [(x.user, x.g) for x in r] == [("u", "y")]
