@@ -63,10 +63,15 @@ def contract_user_items(ui_top: DataFrame, extra: Sequence[str] = ()) -> DataFra
 
 
 def mirror_links(half: DataFrame) -> DataFrame:
-    """Both directions of symmetric half links (item_A < item_B)."""
+    """Both directions of symmetric half links (item_A < item_B).
+
+    One ``explode`` of a two-element array in the same stage as the final
+    aggregate: the aggregate is computed once (a union would run it twice)."""
     other = [c for c in half.columns if c not in ("item_A", "item_B")]
-    flipped = half.select(F.col("item_B").alias("item_A"), F.col("item_A").alias("item_B"), *other)
-    return half.unionByName(flipped)
+    fwd = F.struct(F.col("item_A").alias("a"), F.col("item_B").alias("b"))
+    rev = F.struct(F.col("item_B").alias("a"), F.col("item_A").alias("b"))
+    return half.select(F.explode(F.array(fwd, rev)).alias("d"), *other).select(
+        F.col("d.a").alias("item_A"), F.col("d.b").alias("item_B"), *other)
 
 
 def filtered_user_items(signals: DataFrame, logistic_param: float, min_link_weight: float):

@@ -32,40 +32,62 @@ def direct_neighbours(ii_links: DataFrame, num_recs: int) -> DataFrame:
 
 def _pruned_graph(ii_links: DataFrame, nhood: int, carry: Sequence[str]) -> DataFrame:
     """Distance graph pruned to each item's ``nhood`` nearest neighbours.
-    Links with weight <= 0 or null have no finite distance and are dropped (Q11)."""
-    dm = ii_links.filter(F.col("weight") > 0).select(
+    Links with weight <= 0 or null have no finite distance and are dropped (Q11);
+    links with a null end are dropped too.  The explicit not-null filters make
+    every reader of this graph carry the same filters (the optimizer would
+    otherwise infer them on one join side only), so its exchange is shared."""
+    dm = ii_links.filter((F.col("weight") > 0) & F.col("item_A").isNotNull() & F.col("item_B").isNotNull()).select(
         "item_A", "item_B", (F.lit(1.0) / F.col("weight")).alias("dist"), "raw_weight", *carry)
-    return top_k(dm, ["item_A"], _nearest(), nhood)
+    return top_k(dm, ["item_A"], _nearest(), nhood, "hop_rank")
 
 
 def _best_paths(graph: DataFrame, hop_targets: DataFrame, num_recs: int,
                 carry: Sequence[str], dest_items: DataFrame | None,
                 with_linking_item: bool) -> DataFrame:
-    """Direct edges of ``graph`` united with two-hop paths graph -> hop_targets,
-    the shortest path per (item_A, item_B), then the top ``num_recs`` per item_A.
-
-    The direct edges stand for the reference's join with zero-length self loops
-    (every item_B of the pruned graph has one), so no self-loop rows are built."""
-    direct = graph.select("item_A", "item_B", "dist", "raw_weight", *carry,
-                          F.lit(None).cast(graph.schema["item_A"].dataType).alias("mid"),
-                          F.lit(0).alias("indirect"))
+    """Direct edges of ``graph`` and two-hop paths graph -> hop_targets, the
+    shortest path per (item_A, item_B), then the top ``num_recs`` per item_A.
+
+    One left outer join of the pruned graph with its continuation yields both
+    kinds of candidate: a joined row contributes the two-hop path when a
+    continuation exists, and the row of the first continuation (or the lone
+    row) also contributes the first hop as a direct edge, so each direct edge
+    appears once.  This stands for the reference's join with zero-length self
+    loops without building them, and keeps the pruned graph to two readers,
+    whose identical projections (the ``tie`` column references every field)
+    let Spark compute it once and reuse the exchange.  ``tie`` is a last
+    tie-break that never decides anything:
+    (item_A, item_B, mid) already identifies a path."""
     g, h = graph.alias("g"), hop_targets.alias("h")
-    two = g.join(h, F.col("g.item_B") == F.col("h.item_A")).select(
+    j = g.join(h, F.col("g.item_B") == F.col("h.item_A"), "left")
+
+    def parts(side):
+        return ([F.col(f"{side}.raw_weight"), F.col(f"{side}.hop_rank")]
+                + [F.col(f"{side}.{c}").isNull() for c in carry])
+
+    tie = F.struct(*[x.alias(f"t{i}") for i, x in enumerate(parts("g") + parts("h"))])
+    tie_type = j.select(tie.alias("tie")).schema["tie"].dataType
+    key_type = graph.schema["item_A"].dataType
+    direct = F.struct(
+        F.col("g.item_A").alias("item_A"), F.col("g.item_B").alias("item_B"), F.col("g.dist").alias("dist"),
+        F.col("g.raw_weight").alias("raw_weight"), *[F.col(f"g.{c}").alias(c) for c in carry],
+        F.lit(None).cast(key_type).alias("mid"), F.lit(0).alias("indirect"), F.lit(None).cast(tie_type).alias("tie"))
+    two = F.when(F.col("h.item_A").isNotNull(), F.struct(
         F.col("g.item_A").alias("item_A"), F.col("h.item_B").alias("item_B"),
-        (F.col("g.dist") + F.col("h.dist")).alias("dist"),
-        F.lit(None).cast("double").alias("raw_weight"),
+        (F.col("g.dist") + F.col("h.dist")).alias("dist"), F.lit(None).cast("double").alias("raw_weight"),
         *[F.lit(None).cast(graph.schema[c].dataType).alias(c) for c in carry],
-        F.col("g.item_B").alias("mid"), F.lit(1).alias("indirect"))
+        F.col("g.item_B").alias("mid"), F.lit(1).alias("indirect"), tie.alias("tie")))
+    # the direct edge is emitted once: with the first continuation, or alone
+    first = F.col("h.item_A").isNull() | (F.col("h.hop_rank") == 1)
+    cand = (j.select(F.explode(F.array(F.when(first, direct), two)).alias("c")).filter(F.col("c").isNotNull())
+            .select("c.*").filter(F.col("item_A") != F.col("item_B")))
     if dest_items is not None:
-        direct = direct.join(dest_items, direct["item_B"] == dest_items["item"], "left_semi")
-        two = two.join(dest_items, two["item_B"] == dest_items["item"], "left_semi")
-    cand = direct.unionByName(two).filter(F.col("item_A") != F.col("item_B"))
+        cand = cand.join(dest_items, cand["item_B"] == dest_items["item"], "left_semi")
     # Candidates per item_A are bounded (nhood + nhood^2), so one exchange by
     # item_A serves both the per-pair arg-min and the per-item top-N windows.
     cand = cand.repartition("item_A")
     flat = top_k(cand, ["item_A", "item_B"],
                  [F.asc_nulls_last(sort_key("dist")), F.asc("indirect"), F.asc_nulls_first("mid"),
-                  F.asc_nulls_first(sort_key("raw_weight"))], 1)
+                  F.asc_nulls_first(sort_key("raw_weight")), F.asc_nulls_first("tie")], 1)
     ranked = top_k(flat, ["item_A"], _nearest(), num_recs, "rank")
     out = [F.col("item_A"), F.col("item_B"), (F.lit(1.0) / F.col("dist")).alias("weight"),
            F.col("raw_weight"), F.col("rank")] + [F.col(c) for c in carry]
