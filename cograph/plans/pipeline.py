@@ -58,18 +58,18 @@ def stage_parse(spark: SparkSession, logs: DataFrame, root: str,
                 p: RecParams = RecParams.application()) -> dict[str, DataFrame]:
     """Stage 1.  parsed-logs is written first and the other five tables are
     derived from the written copy, so the JSON is parsed once (S5)."""
-    IO.write_table(E.parse_events(logs), _path(root, "parsed-logs"))
+    IO.write_table(E.parse_events(logs), _path(root, "parsed-logs"), "item")
     parsed = IO.read_table(spark, _path(root, "parsed-logs"))
     fm = E.fork_map(parsed)
     IO.write_table(fm, _path(root, "fork-map"))
     fm = IO.read_table(spark, _path(root, "fork-map"))
     sig = E.canonical_signals(parsed, fm)
-    IO.write_table(E.contrib_signals(sig), _path(root, "contrib-signals"))
-    IO.write_table(E.interest_signals(sig), _path(root, "interest-signals"))
+    IO.write_table(E.contrib_signals(sig), _path(root, "contrib-signals"), "user")
+    IO.write_table(E.interest_signals(sig), _path(root, "interest-signals"), "user")
     contrib = IO.read_table(spark, _path(root, "contrib-signals"))
     IO.write_table(E.item_quality(contrib, E.latest_metadata(parsed), p.max_activity_considered),
-                   _path(root, "item-metadata"))
-    IO.write_table(E.latest_gravatars(parsed), _path(root, "gravatar-ids"))
+                   _path(root, "item-metadata"), "item")
+    IO.write_table(E.latest_gravatars(parsed), _path(root, "gravatar-ids"), "user")
     return read_stage(spark, root, STAGE1)
 
 
@@ -78,9 +78,9 @@ def stage_item_graph(spark: SparkSession, root: str, p: RecParams = RecParams.ap
     """Stage 2: quality-weighted, owner-diversified item graph and its output rows."""
     t = read_stage(spark, root, ["interest-signals", "item-metadata"])
     graph = R.quality_item_graph(t["interest-signals"], t["item-metadata"], p)
-    IO.write_table(graph, _path(root, "item-item-graph"))
+    IO.write_table(graph, _path(root, "item-item-graph"), "item_A")
     graph = IO.read_table(spark, _path(root, "item-item-graph"))
-    IO.write_table(R.item_recs_output(graph, t["item-metadata"]), _path(root, "item-item-recs"))
+    IO.write_table(R.item_recs_output(graph, t["item-metadata"]), _path(root, "item-item-recs"), "item")
     return read_stage(spark, root, STAGE2)
 
 
@@ -90,8 +90,8 @@ def stage_user_recs(spark: SparkSession, root: str, p: RecParams = RecParams.app
     t = read_stage(spark, root, ["contrib-signals", "interest-signals", "item-metadata", "item-item-graph"])
     c, i = R.channel_recs(t["contrib-signals"], t["interest-signals"], t["item-item-graph"],
                           t["item-metadata"], p, prefer)
-    IO.write_table(c, _path(root, "user-contrib-recs"))
-    IO.write_table(i, _path(root, "user-interest-recs"))
+    IO.write_table(c, _path(root, "user-contrib-recs"), "user")
+    IO.write_table(i, _path(root, "user-interest-recs"), "user")
     return read_stage(spark, root, STAGE3)
 
 

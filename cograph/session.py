@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # small local inputs that explode in self-joins still get spread over the cores
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
