@@ -80,7 +80,7 @@ def stage_item_graph(spark: SparkSession, root: str, p: RecParams = RecParams.ap
     graph = R.quality_item_graph(t["interest-signals"], t["item-metadata"], p)
     IO.write_table(graph, _path(root, "item-item-graph"), "item_A")
     graph = IO.read_table(spark, _path(root, "item-item-graph"))
-    IO.write_table(R.item_recs_output(graph, t["item-metadata"]), _path(root, "item-item-recs"), "item")
+    IO.write_table(R.item_recs_output(graph, t["item-metadata"]), _path(root, "item-item-recs"), "item", ["item", "rank"])
     return read_stage(spark, root, STAGE2)
 
 
@@ -90,8 +90,8 @@ def stage_user_recs(spark: SparkSession, root: str, p: RecParams = RecParams.app
     t = read_stage(spark, root, ["contrib-signals", "interest-signals", "item-metadata", "item-item-graph"])
     c, i = R.channel_recs(t["contrib-signals"], t["interest-signals"], t["item-item-graph"],
                           t["item-metadata"], p, prefer)
-    IO.write_table(c, _path(root, "user-contrib-recs"), "user")
-    IO.write_table(i, _path(root, "user-interest-recs"), "user")
+    IO.write_table(c, _path(root, "user-contrib-recs"), "user", ["user", "rank"])
+    IO.write_table(i, _path(root, "user-interest-recs"), "user", ["user", "rank"])
     return read_stage(spark, root, STAGE3)
 
 

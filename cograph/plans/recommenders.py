@@ -88,12 +88,15 @@ def quality_item_graph(interest_signals: DataFrame, item_quality: DataFrame,
 
 def item_recs_output(item_graph: DataFrame, item_metadata: DataFrame) -> DataFrame:
     """E8 (output part, J20 + R8): item, rank, rec, language, num_forks,
-    num_stars, description; recs of items without metadata drop."""
+    num_stars, description; recs of items without metadata drop.  Rows of one
+    item are gathered in one partition and ordered by rank there (R8), with no
+    global sort."""
     g, m = item_graph.alias("g"), item_metadata.alias("m")
-    return g.join(m, F.col("g.item_B") == F.col("m.item")).select(
+    out = g.join(m, F.col("g.item_B") == F.col("m.item")).select(
         F.col("g.item_A").alias("item"), F.col("g.rank").alias("rank"),
         F.col("g.item_B").alias("rec"), "m.language", "m.num_forks", "m.num_stars",
         "m.description")
+    return out.repartition("item").sortWithinPartitions("item", "rank")
 
 
 def channel_recs(contrib_signals: DataFrame, interest_signals: DataFrame, item_graph: DataFrame,

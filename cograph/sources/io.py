@@ -53,14 +53,17 @@ def write_delimited(df: DataFrame, path: str, sep: str = "\t") -> None:
     df.write.mode("overwrite").option("sep", sep).option("header", "false").csv(path)
 
 
-def write_table(df: DataFrame, path: str, key: str | None = None) -> None:
+def write_table(df: DataFrame, path: str, key: str | None = None,
+                sort_by: Sequence[str] = ()) -> None:
     """Parquet stage table, replaced if present; its ``_SUCCESS`` marker
     tells the pipeline the stage is done.  With ``key`` the rows are
     hash-partitioned on it first: the files hold disjoint keys and the next
     stage reads as many splits as there are files, whatever the upstream
-    parallelism was."""
+    parallelism was.  ``sort_by`` orders rows within each file (no global sort)."""
     if key is not None:
         df = df.repartition(key)
+    if sort_by:
+        df = df.sortWithinPartitions(*sort_by)
     df.write.mode("overwrite").parquet(path)
 
 
