@@ -57,11 +57,12 @@ def write_table(df: DataFrame, path: str, key: str | None = None,
                 sort_by: Sequence[str] = ()) -> None:
     """Parquet stage table, replaced if present; its ``_SUCCESS`` marker
     tells the pipeline the stage is done.  With ``key`` the rows are
-    hash-partitioned on it first: the files hold disjoint keys and the next
-    stage reads as many splits as there are files, whatever the upstream
-    parallelism was.  ``sort_by`` orders rows within each file (no global sort)."""
+    rebalanced on it first (a ``rebalance`` hint: hash-partitioned, then AQE
+    splits a partition made too large by a hot key and merges small ones), so
+    the next stage reads evenly sized splits whatever the upstream parallelism
+    was.  ``sort_by`` orders rows within each file (no global sort)."""
     if key is not None:
-        df = df.repartition(key)
+        df = df.hint("rebalance", key)
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
     df.write.mode("overwrite").parquet(path)
