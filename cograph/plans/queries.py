@@ -284,7 +284,7 @@ def q_logistic_round_trip(spark, d):
     return s.withColumn("recovered", logistic_inverse("scaled", FX1.logistic_param))
 
 
-@query("delimited_scan")
+@query("delimited_scan", Q._with([Q.SIG_FX1], _sel([U_, "item", "weight"], "sig", ("weight",))))
 def q_delimited_scan(spark, d):
     path = f"{scratch_dir(spark)}/delimited_scan/{uuid.uuid4().hex}"
     IO.write_delimited(_fx1(spark, d), path)
@@ -406,11 +406,25 @@ _PARSED_COLS = [U_, "item", "signal", "\"timestamp\"", "gravatar_id", "repo_name
                 "num_stars", "language", "description"]
 
 
-@query("json_scan")
+_JSON_COLS = ["actor", "gravatar_id", "owner", "name", "fork", "language", "description", "stargazers", "forks",
+              "type", "created_at"]
+
+
+@query("json_scan", Q._with([Q.EVENTS_FX3], f"SELECT {', '.join(_JSON_COLS)} FROM logs"))
 def q_json_scan(spark, d):
-    path = f"{scratch_dir(spark)}/json_scan/{uuid.uuid4().hex}"
-    TD.event_log_fx3(spark, d).write.mode("overwrite").json(path)
-    return IO.read_event_logs(spark, [path])
+    """The event log written as JSON lines in two folders and scanned
+    back with the nested schema; nested fields are read by path (P12)."""
+    root = f"{scratch_dir(spark)}/json_scan/{uuid.uuid4().hex}"
+    logs = TD.event_log_fx3(spark, d)
+    forks = F.col("repository.fork") == "true"
+    logs.filter(forks).write.mode("overwrite").json(f"{root}/a")
+    logs.filter(~forks).write.mode("overwrite").json(f"{root}/b")
+    scanned = IO.read_event_logs(spark, [f"{root}/a", f"{root}/b"])
+    r = "repository"
+    return scanned.select("actor", F.col("actor_attributes.gravatar_id").alias("gravatar_id"),
+                          *[F.col(f"{r}.{c}").alias(c) for c in
+                            ("owner", "name", "fork", "language", "description", "stargazers", "forks")],
+                          "type", "created_at")
 
 
 @query("parse_events", Q._with(_EV, f"SELECT {', '.join(_PARSED_COLS)} FROM parsed"))
