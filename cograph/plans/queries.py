@@ -464,6 +464,16 @@ def q_interest_signals(spark, d):
     return _lazy_events(spark, d)["interest-signals"]
 
 
+@query("split_signals", Q._with(_EV, "SELECT \"user\", item, weight, mapped_from_fork, 'contrib' AS track FROM contrib "
+                                    "UNION ALL SELECT \"user\", item, weight, mapped_from_fork, 'interest' AS track "
+                                    "FROM interest"))
+def q_split_signals(spark, d):
+    """P6 + P7: one SPLIT of the canonical signals into the two tracks."""
+    ev = _lazy_events(spark, d)
+    return (ev["contrib-signals"].withColumn("track", F.lit("contrib"))
+            .unionByName(ev["interest-signals"].withColumn("track", F.lit("interest"))))
+
+
 _QCOLS = ["item", "quality_score", "activity", "popularity", "num_forks", "num_stars", "language", "description"]
 
 
