@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from cograph.functions.ranking import top_k
 from cograph.functions.scale import sort_key
 
+
 def _nearest():
     return [F.asc_nulls_last(sort_key("dist")), F.asc_nulls_last("item_B")]
 
@@ -36,7 +37,8 @@ def _pruned_graph(ii_links: DataFrame, nhood: int, carry: Sequence[str]) -> Data
     links with a null end are dropped too.  The explicit not-null filters make
     every reader of this graph carry the same filters (the optimizer would
     otherwise infer them on one join side only), so its exchange is shared."""
-    dm = ii_links.filter((F.col("weight") > 0) & F.col("item_A").isNotNull() & F.col("item_B").isNotNull()).select(
+    usable = (F.col("weight") > 0) & F.col("item_A").isNotNull() & F.col("item_B").isNotNull()
+    dm = ii_links.filter(usable).select(
         "item_A", "item_B", (F.lit(1.0) / F.col("weight")).alias("dist"), "raw_weight", *carry)
     return top_k(dm, ["item_A"], _nearest(), nhood, "hop_rank")
 
