@@ -55,9 +55,10 @@ def read_stage(spark: SparkSession, root: str, names: Sequence[str]) -> dict[str
 
 
 def stage_parse(spark: SparkSession, logs: DataFrame, root: str,
-                p: RecParams = RecParams.application()) -> dict[str, DataFrame]:
+                p: RecParams = RecParams.application(), skip: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Stage 1.  parsed-logs is written first and the other five tables are
-    derived from the written copy, so the JSON is parsed once (S5)."""
+    derived from the written copy, so the JSON is parsed once (S5).
+    ``skip`` leaves out tables a caller does not need (gravatar-ids)."""
     IO.write_table(E.parse_events(logs), _path(root, "parsed-logs"), "item")
     parsed = IO.read_table(spark, _path(root, "parsed-logs"))
     fm = E.fork_map(parsed)
@@ -69,19 +70,23 @@ def stage_parse(spark: SparkSession, logs: DataFrame, root: str,
     contrib = IO.read_table(spark, _path(root, "contrib-signals"))
     IO.write_table(E.item_quality(contrib, E.latest_metadata(parsed), p.max_activity_considered),
                    _path(root, "item-metadata"), "item")
-    IO.write_table(E.latest_gravatars(parsed), _path(root, "gravatar-ids"), "user")
-    return read_stage(spark, root, STAGE1)
+    if "gravatar-ids" not in skip:
+        IO.write_table(E.latest_gravatars(parsed), _path(root, "gravatar-ids"), "user")
+    return read_stage(spark, root, [n for n in STAGE1 if n not in skip])
 
 
-def stage_item_graph(spark: SparkSession, root: str, p: RecParams = RecParams.application()
-                     ) -> dict[str, DataFrame]:
-    """Stage 2: quality-weighted, owner-diversified item graph and its output rows."""
+def stage_item_graph(spark: SparkSession, root: str, p: RecParams = RecParams.application(),
+                     skip: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """Stage 2: quality-weighted, owner-diversified item graph and its output
+    rows (``skip`` may leave out item-item-recs)."""
     t = read_stage(spark, root, ["interest-signals", "item-metadata"])
     graph = R.quality_item_graph(t["interest-signals"], t["item-metadata"], p)
     IO.write_table(graph, _path(root, "item-item-graph"), "item_A")
     graph = IO.read_table(spark, _path(root, "item-item-graph"))
-    IO.write_table(R.item_recs_output(graph, t["item-metadata"]), _path(root, "item-item-recs"), "item", ["item", "rank"])
-    return read_stage(spark, root, STAGE2)
+    if "item-item-recs" not in skip:
+        IO.write_table(R.item_recs_output(graph, t["item-metadata"]), _path(root, "item-item-recs"), "item",
+                       ["item", "rank"])
+    return read_stage(spark, root, [n for n in STAGE2 if n not in skip])
 
 
 def stage_user_recs(spark: SparkSession, root: str, p: RecParams = RecParams.application(),

@@ -386,7 +386,7 @@ def _events(spark, d):
     """Stage-1 tables of the FX3 event log, written once per query into the
     shared scratch folder and read back (lineage cut, no recomputation)."""
     root = f"{scratch_dir(spark)}/fx3/{uuid.uuid4().hex}"
-    return P.stage_parse(spark, TD.event_log_fx3(spark, d), root, FX3)
+    return P.stage_parse(spark, TD.event_log_fx3(spark, d), root, FX3, skip=["gravatar-ids"])
 
 
 def _lazy_events(spark, d):
@@ -396,8 +396,8 @@ def _lazy_events(spark, d):
 
 def _stage2(spark, d):
     root = f"{scratch_dir(spark)}/fx3/{uuid.uuid4().hex}"
-    P.stage_parse(spark, TD.event_log_fx3(spark, d), root, FX3)
-    P.stage_item_graph(spark, root, FX3)
+    P.stage_parse(spark, TD.event_log_fx3(spark, d), root, FX3, skip=["gravatar-ids"])
+    P.stage_item_graph(spark, root, FX3, skip=["item-item-recs"])
     return root
 
 
@@ -548,7 +548,7 @@ def q_serving_item_recs(spark, d):
 
 def _channels(spark, d):
     root = _stage2(spark, d)
-    t = P.read_stage(spark, root, P.STAGE1 + P.STAGE2)
+    t = P.read_stage(spark, root, ["contrib-signals", "interest-signals", "item-metadata", "item-item-graph"])
     return t, t["item-item-graph"]
 
 
