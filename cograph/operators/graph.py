@@ -162,15 +162,22 @@ def add_item_item_signals(ii_links: DataFrame, extra_links: DataFrame, item_weig
 
 
 # --------------------------------------------------------------------------- G9-G11
-def diversify_links(ii_links: DataFrame, metadata: DataFrame) -> DataFrame:
+def diversify_links(ii_links: DataFrame, metadata: DataFrame, max_rank: int | None = None) -> DataFrame:
     """Divide each link's weight by its rank among item_A's links whose
     item_B shares the same metadata value.  Links to items without metadata
-    drop; several metadata rows per item multiply links (inner join)."""
+    drop; several metadata rows per item multiply links (inner join).
+
+    ``max_rank`` keeps only links ranked up to it within their group, through
+    a group-limited window (partial limit before the shuffle), for callers
+    that keep at most ``max_rank`` links per item anyway (see E5)."""
     l, m = ii_links.alias("l"), metadata.alias("m")
     j = l.join(m, F.col("l.item_B") == F.col("m.item")).select(
         "l.item_A", "l.item_B", "l.weight", "l.raw_weight", F.col("m.metadata_field"))
-    r = rank_within(j, ["item_A", "metadata_field"],
-                    [F.desc_nulls_last(sort_key("weight")), F.asc_nulls_last("item_B")], "feature_rank")
+    order = [F.desc_nulls_last(sort_key("weight")), F.asc_nulls_last("item_B")]
+    if max_rank is None:
+        r = rank_within(j, ["item_A", "metadata_field"], order, "feature_rank")
+    else:
+        r = top_k(j, ["item_A", "metadata_field"], order, max_rank, "feature_rank")
     return r.select("item_A", "item_B", (F.col("weight") / F.col("feature_rank")).alias("weight"),
                     "raw_weight")
 
