@@ -32,14 +32,24 @@ def _norm(v):
     return v
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
 def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     s_cols = spark_df.columns
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in spark_df.schema.fields}
     s_rows = [tuple(r) for r in spark_df.collect()]
     rel = con.sql(sql)
     d_cols = rel.columns
+    d_types = dict(zip(d_cols, [str(t) for t in rel.types]))
     d_rows = rel.fetchall()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={s_cols} duck={d_cols}"
+    type_diff = {c: (s_types[c], d_types[c]) for c in s_cols if s_types[c] != d_types[c]}
+    if type_diff:
+        return False, f"column types differ: {type_diff}"
     if len(s_rows) != len(d_rows):
         return False, f"row count spark={len(s_rows)} duck={len(d_rows)}"
     order = sorted(range(len(s_cols)), key=lambda i: s_cols[i])

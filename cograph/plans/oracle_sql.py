@@ -295,7 +295,7 @@ def g12(p: RecParams) -> list[str]:
         "FROM top a JOIN top b ON a.\"user\" = b.\"user\" AND a.item < b.item)",
         f"half AS (SELECT item_A, item_B, sum(w) AS weight, count(*) AS num_users FROM pairs GROUP BY item_A, item_B "
         f"HAVING sum(w) >= {m})",
-        "hsig AS (SELECT p.item_A, p.item_B, t.signal_type AS signal, sum(t.cnt) AS cnt FROM pairs p "
+        "hsig AS (SELECT p.item_A, p.item_B, t.signal_type AS signal, CAST(sum(t.cnt) AS BIGINT) AS cnt FROM pairs p "
         "JOIN half h ON h.item_A = p.item_A AND h.item_B = p.item_B JOIN types t "
         "ON t.\"user\" = p.\"user\" AND (t.item = p.item_A OR t.item = p.item_B) "
         "GROUP BY p.item_A, p.item_B, t.signal_type "
