@@ -38,3 +38,22 @@ def test_duplicate_metadata_multiplies_links(spark):
     meta = spark.createDataFrame([("b", "x"), ("b", "y")], "item string, metadata_field string")
     assert G.diversify_links(links, meta).count() == 2
     assert G.links_with_metadata(links.drop("raw_weight"), meta).count() == 0   # a has no metadata
+
+
+def test_no_rec_in_seen_set_and_indirect_iff_null_raw_weight(spark):
+    sig = signals_fx1(spark, "/root/testdata/sf0.001")
+    item = R.item_item_recs(sig, P)
+    user = R.user_item_recs(sig, item, P)
+    assert user.join(sig, ["user", "item"], "left_semi").count() == 0
+    from cograph.sources.testdata import typed_signals_fx2
+    det = R.item_item_recs_detailed(typed_signals_fx2(spark, "/root/testdata/sf0.01"), P.with_(min_link_weight=15.0))
+    bad = det.filter(F.col("raw_weight").isNull() != F.col("linking_item").isNotNull()).count()
+    assert det.count() > 0 and bad == 0
+    assert det.filter(F.col("raw_weight").isNull() != F.col("link_data").isNull()).count() == 0
+
+
+def test_one_item_users_form_no_links(spark):
+    sig = spark.createDataFrame([("u1", "a", 3.0), ("u2", "b", 3.0), ("u3", "a", 3.0)],
+                                "user string, item string, weight double")
+    links, weights = G.build_item_item_graph(sig, 1.0, 0.1, 10)
+    assert links.count() == 0 and weights.count() == 2
