@@ -3,7 +3,6 @@ shared scratch folder (``spark.checkpoint.dir``)."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -36,12 +35,14 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str =
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.  Only where the
-    session has none (local tests) is a private temporary folder set."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The shared folder named by ``spark.checkpoint.dir`` (the checkpoint
+    folder of the SparkContext).  Only where the session has none (local
+    tests) is a private temporary folder set, through ``setCheckpointDir``;
+    ``spark.checkpoint.dir`` itself cannot be changed on a running session."""
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="cograph-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="cograph-ckpt-"))
+        d = sc.getCheckpointDir()
     d = str(d)
     return d[len("file:"):] if d.startswith("file:") and not d.startswith("file://") else d

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -10,11 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from cograph.session import get_spark
-    s = get_spark(master="local[4]", shuffle_partitions=4, app="cograph-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="cograph-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+    s = get_spark(master="local[4]", shuffle_partitions=4, app="cograph-tests")   # sets a scratch folder if unset
     yield s
 
 

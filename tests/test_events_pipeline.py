@@ -94,3 +94,33 @@ def test_delimited_round_trip(spark, tmp_path):
     IO.write_delimited(df, str(tmp_path / "tsv"))
     back = IO.read_delimited(spark, str(tmp_path / "tsv"), IO.SIGNAL_SCHEMA)
     assert sorted(tuple(r) for r in back.collect()) == [(1, 2, 3.0), (4, 5, 1.0)]
+
+
+def test_scratch_dir_when_the_session_has_none():
+    from cograph.session import scratch_dir
+
+    class Ctx:
+        def __init__(self):
+            self.d = None
+
+        def getCheckpointDir(self):
+            return self.d
+
+        def setCheckpointDir(self, d):
+            self.d = "file:" + d + "/abc"
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+        def set(self, key, value):
+            raise AssertionError("spark.checkpoint.dir cannot be set on a running session")
+
+    class FakeSession:
+        sparkContext = Ctx()
+        conf = Conf()
+
+    fake = FakeSession()
+    d = scratch_dir(fake)
+    assert d.endswith("/abc") and not d.startswith("file:")
+    assert scratch_dir(fake) == d
