@@ -9,8 +9,6 @@ rounded to 6 decimals on both sides.
 from __future__ import annotations
 
 from cograph.params import RecParams
-from cograph.plans.settings import (FX1, FX2, FX3, N2_NHOOD, N2_RECS, N4_NHOOD, QUALITY_Q, QUALITY_Y,
-                                    SELECT_ITEMS, TOP_K_QUERY, BOT_THRESHOLD)
 
 R6 = 6   # output decimals
 

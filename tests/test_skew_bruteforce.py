@@ -5,8 +5,6 @@ import math
 import random
 from collections import defaultdict
 
-import pytest
-
 from cograph.params import RecParams
 from cograph.plans import recommenders as R
 
