@@ -139,3 +139,30 @@ def test_empty_input(spark):
     empty = spark.createDataFrame([], SIG)
     links, weights = G.build_item_item_graph(empty, 1.0, 1.0, 10)
     assert links.count() == 0 and weights.count() == 0
+
+
+def test_log_boost_non_positive_weights_are_dropped_by_two_hop(spark):
+    # popularity 0.5 < 1 -> ln < 0 -> negative adjusted weight, no finite distance
+    links = spark.createDataFrame([("a", "b", 1.0), ("a", "c", 1.0)], "item_A string, item_B string, weight double")
+    weights = spark.createDataFrame([("b", 0.5), ("c", 3.0)], "item string, overall_weight double")
+    adj = G.boost_adjust(links, weights, 1.0, "LOG")
+    assert dict((r.item_B, r.weight < 0) for r in adj.collect()) == {"b": True, "c": False}
+    recs = N.two_hop_neighbours(adj, 5, 5).collect()
+    assert [(r.item_A, r.item_B) for r in recs] == [("a", "c")]
+
+
+def test_add_item_item_recommender_null_mode_keeps_complete_rows(spark):
+    from cograph.params import RecParams
+    from cograph.plans.recommenders import item_item_recs_add_item_item
+    sig = spark.createDataFrame([("u1", "a", 1.0), ("u1", "b", 1.0), ("u2", "a", 1.0), ("u2", "b", 1.0)],
+                                "user string, item string, weight double")
+    extra = spark.createDataFrame([("a", "z", 2.0)], "item_A string, item_B string, weight double")
+    p = RecParams(logistic_param=1.0, min_link_weight=0.5, prior=1.0)
+    for mode in ("zero", "null"):
+        out = item_item_recs_add_item_item(sig, extra, p, missing=mode).collect()
+        assert out and all(r.raw_weight is not None and r.weight is not None for r in out)
+    # z is never an item_A of the extra links, so it has no combined popularity in either mode
+    # and the popularity join drops links to it
+    null_targets = {r.item_B for r in item_item_recs_add_item_item(sig, extra, p, missing="null").collect()}
+    zero_targets = {r.item_B for r in item_item_recs_add_item_item(sig, extra, p, missing="zero").collect()}
+    assert "z" not in null_targets and "z" not in zero_targets
