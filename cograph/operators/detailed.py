@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 from cograph.functions.scale import logistic_scale
 from cograph.operators.graph import contract_user_items, item_popularity, mirror_links, top_links_per_user
 
-NUM_USERS = "NUM_USERS"  # reserved key of link_data (Q15)
+# Fixed values that must equal the reference's: the reserved link_data key
+# holding the number of users behind a link (it overrides a signal type of that name, Q15).
+NUM_USERS = "NUM_USERS"
 
 
 def _valid_type(c):

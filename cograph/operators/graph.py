@@ -182,10 +182,14 @@ def diversify_links(ii_links: DataFrame, metadata: DataFrame, max_rank: int | No
                     "raw_weight")
 
 
+# Fixed values that must equal the reference's: the owner pattern of an item id.
+OWNER_PATTERN = r"(.*)/.*"
+
+
 def owner_of(item_col: str = "item_B"):
     """the part of an 'owner/name' id before the last '/', null if there is none."""
     s = F.col(item_col).cast("string")
-    return F.when(s.contains("/"), F.regexp_extract(s, r"(.*)/.*", 1))
+    return F.when(s.contains("/"), F.regexp_extract(s, OWNER_PATTERN, 1))
 
 
 def owner_diversity(item_recs: DataFrame) -> DataFrame:
