@@ -61,3 +61,21 @@ def test_latest_by_uses_remaining_columns_on_ties(spark):
                                "user string, ts string, g string")
     r = latest_by(df, ["user"], [F.desc("ts"), F.desc("g")]).collect()
     assert [(x.user, x.g) for x in r] == [("u", "y")]
+
+
+def test_top_k_matches_pandas_model_on_random_ties_and_nulls(spark):
+    import random
+
+    import pandas as pd
+
+    rnd = random.Random(11)
+    rows = [(rnd.choice("abcde"), rnd.randrange(40), rnd.choice([None, 0.5, 1.0, 1.5, 2.0]))
+            for _ in range(400)]
+    df = spark.createDataFrame(rows, "g string, item int, w double")
+    got = sorted(tuple(r) for r in top_k(df, ["g"], [F.desc_nulls_last("w"), F.asc("item")], 3, "rank").collect())
+    pdf = pd.DataFrame(rows, columns=["g", "item", "w"])
+    pdf = pdf.sort_values(["g", "w", "item"], ascending=[True, False, True], na_position="last")
+    pdf["rank"] = pdf.groupby("g").cumcount() + 1
+    want = sorted((g, i, None if pd.isna(w) else w, r) for g, i, w, r in
+                  pdf[pdf["rank"] <= 3].itertuples(index=False))
+    assert got == want
