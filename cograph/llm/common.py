@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cograph.session import scratch_dir
@@ -52,8 +53,7 @@ def blocks(batches: Iterator[pa.RecordBatch], text_col: str, limit: int) -> Iter
         start, n = 0, batch.num_rows
         if not n:
             continue
-        lengths = batch.column(text_col)
-        offsets = pa.compute.binary_length(lengths).to_numpy(zero_copy_only=False)
+        offsets = pc.binary_length(batch.column(text_col)).to_numpy(zero_copy_only=False)
         for i in range(n):
             size += int(offsets[i])
             if size >= limit:

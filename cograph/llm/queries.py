@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cograph.llm import compression_quality, simhash
+from cograph.llm import compression_quality, merge_replay, packing, simhash
 
 #: A document is kept when its quality score reaches this.
 QUALITY_CUT = 0.3
@@ -14,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op6_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = compression_quality.fit_quality(docs, _table(spark, sf_dir, "labels"))
@@ -22,13 +28,20 @@ def op6_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= QUALITY_CUT).cast("int").alias("predicted"))
 
 
+def op7_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return merge_replay.digests(merge_replay.decode(merge_replay.encode(_table(spark, sf_dir, "documents"), ranks), ranks))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words_per_shingle=4, bits=4).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 SPARK = {
+    "op1_retrieval_packing": op1_retrieval_packing,
     "op6_compression_quality": op6_compression_quality,
+    "op7_merge_replay": op7_merge_replay,
     "op10_simhash": op10_simhash,
 }
 
