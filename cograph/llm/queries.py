@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cograph.llm import compression_quality, merge_replay, packing, simhash
+from cograph.llm import compression_quality, merge_replay, packing, simhash, winnowing
 
 #: A document is kept when its quality score reaches this.
 QUALITY_CUT = 0.3
@@ -20,6 +20,12 @@ def op1_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.edited_fingerprints(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", F.lower(F.hex("hashes")).alias("fingerprint"),
+                        F.lower(F.hex("edited_hashes")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 def op6_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = compression_quality.fit_quality(docs, _table(spark, sf_dir, "labels"))
@@ -40,6 +46,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SPARK = {
     "op1_retrieval_packing": op1_retrieval_packing,
+    "op4_winnowing": op4_winnowing,
     "op6_compression_quality": op6_compression_quality,
     "op7_merge_replay": op7_merge_replay,
     "op10_simhash": op10_simhash,
