@@ -8,7 +8,7 @@ SALTS = 16
 
 
 def salted_join(large: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner",
-                spread: list[str] | None = None, salts: int = SALTS) -> DataFrame:
+                spread: list[str] | None = None, salts: int = SALTS, hint: str | None = None) -> DataFrame:
     """Equi-join whose hot keys are spread over ``salts`` tasks.
 
     ``large`` may hold any number of rows per key: each row gets a salt from a
@@ -16,10 +16,13 @@ def salted_join(large: DataFrame, small: DataFrame, on: str | list[str], how: st
     bounded number of rows per key and is repeated once per salt.  ``how`` is
     inner, left, left_semi or left_anti, so every row of ``large`` meets
     exactly one copy of ``small`` and the result is that of the plain join.
-    Null keys never match, as in SQL.
+    Null keys never match, as in SQL.  ``hint`` names a join strategy; "merge"
+    keeps a side from being broadcast on the strength of its compressed file size.
     """
     on = [on] if isinstance(on, str) else list(on)
     salted = large.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in spread or large.columns]),
                                               F.lit(salts)).cast("int"))
     copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if hint:
+        copies = copies.hint(hint)
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
