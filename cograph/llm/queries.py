@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cograph.llm import compression_quality, merge_replay, packing, simhash, winnowing
+from cograph.llm import compression_quality, maxscore, merge_replay, packing, preference, simhash, warc, winnowing
 
 #: A document is kept when its quality score reaches this.
 QUALITY_CUT = 0.3
@@ -20,6 +20,11 @@ def op1_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = maxscore.integer_vectors(_table(spark, sf_dir, "embeddings"))
+    return maxscore.top_k(vectors, vectors.filter(F.col("vec_id") % 100 == 0), k=10)
+
+
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnowing.edited_fingerprints(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_chars", "edited_sha256", F.lower(F.hex("hashes")).alias("fingerprint"),
@@ -39,6 +44,19 @@ def op7_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_replay.digests(merge_replay.decode(merge_replay.encode(_table(spark, sf_dir, "documents"), ranks), ranks))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archive_folder(spark)
+    manifest = warc.write_archive(_table(spark, sf_dir, "pages"), folder)
+    return warc.read_archive(manifest, folder, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = preference.format_pairs(*preference.mismatched_replies(_table(spark, sf_dir, "conversations")))
+    spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s[0], s[1])), ",").alias(c)
+    return pairs.select("pair_id", F.col("prompt_turns").cast("long").alias("prompt_turns"), "prompt", "chosen", "rejected",
+                        spans("chosen_mask"), spans("rejected_mask"), F.col("n_chosen").cast("long").alias("n_chosen"), F.col("n_rejected").cast("long").alias("n_rejected"), "informative")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words_per_shingle=4, bits=4).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -46,10 +64,77 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SPARK = {
     "op1_retrieval_packing": op1_retrieval_packing,
+    "op3_maxscore": op3_maxscore,
     "op4_winnowing": op4_winnowing,
     "op6_compression_quality": op6_compression_quality,
     "op7_merge_replay": op7_merge_replay,
+    "op8_warc": op8_warc,
+    "op9_preference": op9_preference,
     "op10_simhash": op10_simhash,
 }
 
-SQL: dict[str, str] = {}
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(coalesce(list_sum([p[1] * p[2] FOR p IN list_zip(q.e, c.e)]), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 10
+"""
+
+OP9_SQL = """
+WITH t AS (
+  SELECT conv_id AS pair_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, 'user'), coalesce(text, '')) - 1 AS position,
+         coalesce(role, 'user') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), l AS (
+  SELECT pair_id, max(position) AS last FROM t WHERE role = 'assistant' GROUP BY pair_id
+), a AS (
+  SELECT t.pair_id, t.role, t.text FROM t JOIN l ON t.pair_id = l.pair_id AND t.position = l.last
+), r AS (
+  SELECT t.pair_id, t.position, t.role, t.text FROM t LEFT JOIN l ON t.pair_id = l.pair_id WHERE l.last IS NULL OR t.position < l.last
+  UNION ALL
+  SELECT l.pair_id, l.last, a.role, a.text FROM l JOIN a ON a.pair_id = xor(l.pair_id, 1)
+), b AS (
+  SELECT coalesce(t.pair_id, r.pair_id) AS pair_id, coalesce(t.position, r.position) AS position,
+         t.role AS crole, t.text AS ctext, r.role AS rrole, r.text AS rtext
+  FROM t FULL JOIN r ON t.pair_id = r.pair_id AND t.position = r.position
+), s AS (
+  SELECT pair_id, max(position) AS last,
+         coalesce(min(position) FILTER (WHERE crole IS DISTINCT FROM rrole OR ctext IS DISTINCT FROM rtext), max(position) + 1) AS split
+  FROM b GROUP BY pair_id
+), d AS (
+  SELECT b.pair_id, b.position, s.split, s.last, b.position >= s.split AS after, crole, rrole,
+         '<|im_start|>' || crole || chr(10) || ctext || '<|im_end|>' || chr(10) AS cturn,
+         '<|im_start|>' || rrole || chr(10) || rtext || '<|im_end|>' || chr(10) AS rturn
+  FROM b JOIN s USING (pair_id)
+), e AS (
+  SELECT *,
+         coalesce(sum(CASE WHEN after THEN length(cturn) END) OVER w, 0) - CASE WHEN after THEN coalesce(length(cturn), 0) ELSE 0 END AS cat,
+         coalesce(sum(CASE WHEN after THEN length(rturn) END) OVER w, 0) - CASE WHEN after THEN coalesce(length(rturn), 0) ELSE 0 END AS rat
+  FROM d WINDOW w AS (PARTITION BY pair_id ORDER BY position ROWS UNBOUNDED PRECEDING)
+)
+SELECT pair_id, CAST(any_value(split) AS BIGINT) AS prompt_turns,
+       coalesce(string_agg(cturn, '' ORDER BY position) FILTER (WHERE NOT after), '') AS prompt,
+       coalesce(string_agg(cturn, '' ORDER BY position) FILTER (WHERE after), '') AS chosen,
+       coalesce(string_agg(rturn, '' ORDER BY position) FILTER (WHERE after), '') AS rejected,
+       coalesce(string_agg(CAST(CAST(cat AS BIGINT) + 13 + length(crole) AS VARCHAR) || '-' || CAST(CAST(cat AS BIGINT) + length(cturn) - 1 AS VARCHAR), ',' ORDER BY position)
+                FILTER (WHERE after AND crole = 'assistant'), '') AS chosen_mask,
+       coalesce(string_agg(CAST(CAST(rat AS BIGINT) + 13 + length(rrole) AS VARCHAR) || '-' || CAST(CAST(rat AS BIGINT) + length(rturn) - 1 AS VARCHAR), ',' ORDER BY position)
+                FILTER (WHERE after AND rrole = 'assistant'), '') AS rejected_mask,
+       count(cturn) FILTER (WHERE after) AS n_chosen, count(rturn) FILTER (WHERE after) AS n_rejected,
+       any_value(split) <= any_value(last) AS informative
+FROM e GROUP BY pair_id
+"""
+
+SQL: dict[str, str] = {
+    "op3_maxscore": OP3_SQL,
+    "op9_preference": OP9_SQL,
+}
