@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cograph.llm import compression_quality, maxscore, merge_replay, packing, preference, simhash, warc, winnowing
+from cograph.llm import compression_quality, maxscore, merge_replay, packing, preference, simhash, suffix_dedup, warc, winnowing
 
 #: A document is kept when its quality score reaches this.
 QUALITY_CUT = 0.3
@@ -31,6 +31,10 @@ def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lower(F.hex("edited_hashes")).alias("edited_fingerprint"), "near_edited", "near_next")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), suffix_dedup.Repeats(length=200))
+
+
 def op6_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = compression_quality.fit_quality(docs, _table(spark, sf_dir, "labels"))
@@ -66,6 +70,7 @@ SPARK = {
     "op1_retrieval_packing": op1_retrieval_packing,
     "op3_maxscore": op3_maxscore,
     "op4_winnowing": op4_winnowing,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_compression_quality": op6_compression_quality,
     "op7_merge_replay": op7_merge_replay,
     "op8_warc": op8_warc,
