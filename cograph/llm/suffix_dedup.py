@@ -27,10 +27,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from cograph.functions.skew import salted_join
-from cograph.llm.common import blocks, scratch_table, shuffle_partitions, small_batches, texts_of
+from cograph.llm.common import scratch_table, shuffle_partitions, small_batches, texts_of
+from cograph.llm.textnotes import BLOCK_BYTES, distinct_texts, texts_and_notes, with_texts
 
 BASE = 0x9E3779B97F4A7C15
-BLOCK_BYTES = 16 << 20
 #: Pieces that share one anchor and are sorted in one task; more are counted by Spark instead.
 BUCKET_PIECES = 16_384
 
@@ -115,17 +115,6 @@ def keyed(docs: DataFrame) -> DataFrame:
     return texts_of(docs).select("doc_id", F.xxhash64("text").alias("k1"), F.xxhash64(F.lit(1), "text").alias("k2"), "text")
 
 
-def _distinct_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
-    """Texts of a block, each once."""
-    for block in blocks(batches, "text", BLOCK_BYTES):
-        seen = set()
-        for k1, k2, text in zip(block.column("k1").to_pylist(), block.column("k2").to_pylist(), block.column("text")):
-            if (k1, k2) not in seen:
-                seen.add((k1, k2))
-                yield k1, k2, text.as_buffer().to_pybytes()
-        yield 0, 0, b""  # end of the block
-
-
 def candidate_anchors(texts: DataFrame, p: Repeats) -> DataFrame:
     """(k1, k2, h): the anchors of each text that occur more than once over all distinct texts.
 
@@ -136,28 +125,22 @@ def candidate_anchors(texts: DataFrame, p: Repeats) -> DataFrame:
     schema = pa.schema([("key", pa.int64()), ("sure", pa.bool_()), ("several", pa.bool_()), ("h", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64())])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hs, k1s, k2s, counts = [], [], [], []
-        for k1, k2, text in _distinct_texts(batches):
-            if text:
-                h, n = np.unique(pieces(np.frombuffer(text, np.uint8), p)[3], return_counts=True)
-                if len(h):
-                    hs.append(h.view(np.int64))
-                    counts.append(n)
-                    k1s.append(np.full(len(h), k1))
-                    k2s.append(np.full(len(h), k2))
-            elif hs:
-                h, k1, k2, n = (np.concatenate(x) for x in (hs, k1s, k2s, counts))
-                order = np.argsort(h, kind="stable")
-                h, k1, k2, n = h[order], k1[order], k2[order], n[order]
-                fresh = np.ones(len(h), bool)
-                fresh[1:] = h[1:] != h[:-1]
-                group = np.cumsum(fresh) - 1
-                several = (np.bincount(group, n) > 1)[group]
-                # one row of each anchor goes to the anchor, and all rows of a repeated one are sure already
-                for rows, key, sure in ((fresh, h, False), (several, k1, True)):
-                    yield from pa.table([pa.array(key[rows]), pa.array(np.full(int(rows.sum()), sure)), pa.array(several[rows]),
-                                         pa.array(h[rows]), pa.array(k1[rows]), pa.array(k2[rows])], schema=schema).to_batches(max_chunksize=65536)
-                hs, k1s, k2s, counts = [], [], [], []
+        for block in distinct_texts(batches):
+            found = [(k1, k2, *np.unique(pieces(np.frombuffer(text, np.uint8), p)[3], return_counts=True)) for k1, k2, text in block]
+            h, n = (np.concatenate(x) for x in zip(*((h, n) for _, _, h, n in found)))
+            h = h.view(np.int64)
+            sizes = [len(x[2]) for x in found]
+            k1, k2 = (np.repeat(np.array([x[i] for x in found], np.int64), sizes) for i in (0, 1))
+            order = np.argsort(h, kind="stable")
+            h, k1, k2, n = h[order], k1[order], k2[order], n[order]
+            fresh = np.ones(len(h), bool)
+            fresh[1:] = h[1:] != h[:-1]
+            group = np.cumsum(fresh) - 1
+            several = (np.bincount(group, n) > 1)[group]
+            # one row of each anchor goes to the anchor, and all rows of a repeated one are sure already
+            for rows, key, sure in ((fresh, h, False), (several, k1, True)):
+                yield from pa.table([pa.array(key[rows]), pa.array(np.full(int(rows.sum()), sure)), pa.array(several[rows]),
+                                     pa.array(h[rows]), pa.array(k1[rows]), pa.array(k2[rows])], schema=schema).to_batches(max_chunksize=65536)
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by anchor: those that are sure, and those whose anchor has another text or several places."""
@@ -187,47 +170,6 @@ def candidate_anchors(texts: DataFrame, p: Repeats) -> DataFrame:
     return rows.repartition(shuffle_partitions(spark), "key").sortWithinPartitions("sure", "h").mapInArrow(resolve, "k1 long, k2 long, h long")
 
 
-def _with_texts(texts: DataFrame, notes: DataFrame) -> DataFrame:
-    """Notes (k1, k2, a, b) of each text, then the text, together and in order."""
-    spark = texts.sparkSession
-    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("text", pa.binary())])
-
-    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for row in _distinct_texts(batches):
-            if row[2]:
-                held.append(row)
-                size += len(row[2])
-            if held and (size > 4 << 20 or not row[2]):
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
-                held, size = [], 0
-
-    own = texts.select("k1", "k2", "text").mapInArrow(once, "k1 long, k2 long, text binary") \
-        .select("k1", "k2", F.lit(None).cast("long").alias("a"), F.lit(None).cast("long").alias("b"), "text")
-    notes = notes.select("k1", "k2", "a", "b", F.lit(None).cast("binary").alias("text"))
-    return own.union(notes).repartition(shuffle_partitions(spark), "k1", "k2").sortWithinPartitions("k1", "k2", F.desc_nulls_last("a"), F.asc_nulls_last("b"))
-
-
-def _texts_and_notes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, bytes]]:
-    """(k1, k2, a, b, text) of each text with notes, from the rows of `_with_texts`."""
-    key, a, b, done = None, [], [], False
-    for batch in batches:
-        k1, k2 = batch.column("k1").to_numpy(), batch.column("k2").to_numpy()
-        texts = batch.column("text")
-        at = 0
-        for row in [*np.flatnonzero(texts.is_valid().to_numpy(zero_copy_only=False)).tolist(), batch.num_rows]:
-            if at < row:  # notes; they may belong to the text of a later batch
-                new = (int(k1[at]), int(k2[at]))
-                if new != key:
-                    key, a, b, done = new, [], [], False
-                a.append(batch.column("a").slice(at, row - at).to_numpy(zero_copy_only=False))
-                b.append(batch.column("b").slice(at, row - at).to_numpy(zero_copy_only=False))
-            if row < batch.num_rows and (int(k1[row]), int(k2[row])) == key and not done:
-                done = True
-                yield *key, np.concatenate(a), np.concatenate(b), texts[row].as_buffer().to_pybytes()
-            at = row + 1
-
-
 def repeated_starts(texts: DataFrame, p: Repeats) -> DataFrame:
     """(k1, k2, start, n): runs of starts in a text whose strings occur elsewhere in the distinct texts."""
     spark = texts.sparkSession
@@ -248,7 +190,7 @@ def repeated_starts(texts: DataFrame, p: Repeats) -> DataFrame:
             for i in range(0, len(rows), 8192):
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[i:i + 8192]), schema)], schema=schema)
 
-        for k1, k2, anchors, _, text in _texts_and_notes(batches):
+        for k1, k2, (anchors,), text in texts_and_notes(batches, ["h"]):
             start, n, anchor, h = pieces(np.frombuffer(text, np.uint8), p)
             for i in np.flatnonzero(np.isin(h.view(np.int64), anchors.astype(np.int64))).tolist():
                 s, m, a = int(start[i]), int(n[i]), int(anchor[i])
@@ -317,9 +259,8 @@ def repeated_starts(texts: DataFrame, p: Repeats) -> DataFrame:
             yield from resolve(pa.Table.from_batches(held))
 
     small_batches(spark)
-    notes = candidate_anchors(texts, p).select("k1", "k2", F.col("h").alias("a"), F.lit(None).cast("long").alias("b"))
     spec = "lead binary, k1 long, k2 long, start long, n long, bytes binary"
-    cut_pieces = _with_texts(texts, notes).mapInArrow(cut, spec)
+    cut_pieces = with_texts(texts, candidate_anchors(texts, p), ["h"]).mapInArrow(cut, spec)
     found = scratch_table(cut_pieces.repartitionByRange(shuffle_partitions(spark), "lead").sortWithinPartitions("lead").mapInArrow(sort_buckets, spec), "repeats")
     return found.filter("bytes is null").select("k1", "k2", "start", "n").union(
         oversized_starts(found.filter("bytes is not null").select("k1", "k2", "start", "n", "bytes"), p))
@@ -359,7 +300,7 @@ def remove_repeats(docs: DataFrame, p: Repeats = Repeats()) -> DataFrame:
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
-        for k1, k2, first, n, text in _texts_and_notes(batches):
+        for k1, k2, (first, n), text in texts_and_notes(batches, ["start", "n"]):
             step = np.zeros(len(text) + 1, np.int64)
             np.add.at(step, first.astype(np.int64), 1)
             np.add.at(step, (first + n + p.length - 1).astype(np.int64), -1)
@@ -372,8 +313,7 @@ def remove_repeats(docs: DataFrame, p: Repeats = Repeats()) -> DataFrame:
         if held:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
-    changed = _with_texts(long, starts.select("k1", "k2", F.col("start").alias("a"), F.col("n").alias("b"))) \
-        .mapInArrow(remove, "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string")
+    changed = with_texts(long, starts, ["start", "n"]).mapInArrow(remove, "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string")
     rows = texts.select("doc_id", "k1", "k2", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("own_sha256"))
     copies = rows.filter(F.col("n_bytes") >= p.length).groupBy("k1", "k2").agg(F.count("*").alias("copies"))
     known = copies.join(changed, ["k1", "k2"], "left").filter("copies > 1 or n_removed is not null")
