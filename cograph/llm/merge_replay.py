@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, functions as F
 from cograph.llm.common import blocks, small_batches, texts_of
 from cograph.llm.wordblocks import WordEncoder
 
-BLOCK_BYTES = 24 << 20
-NEVER = np.int64(1) << 40
+BLOCK_BYTES = 16 << 20
+NEVER = np.int32(1 << 30)
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -37,7 +37,7 @@ class MergeTable:
     """Rank of the token that each mergeable pair of tokens forms."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int64)
+        self.byte_ids = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         keys, made = [], []
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
@@ -46,11 +46,11 @@ class MergeTable:
                     keys.append(a << 32 | b)
                     made.append(rank)
         order = np.argsort(np.array(keys, np.int64))
-        self.keys = np.append(np.array(keys, np.int64)[order], NEVER << 20)
-        self.made = np.append(np.array(made, np.int64)[order], NEVER)
+        self.keys = np.append(np.array(keys, np.int64)[order], np.int64(1) << 62)
+        self.made = np.append(np.array(made, np.int32)[order], NEVER)
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = left << 32 | right
+        key = np.asarray(left, np.int64) << 32 | right
         at = np.searchsorted(self.keys, key)
         return np.where(self.keys[at] == key, self.made[at], NEVER)
 
@@ -60,17 +60,17 @@ class MergeTable:
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
         token = self.byte_ids[np.frombuffer(b"".join(raw), np.uint8)]
         n = len(token)
-        token = np.append(token, -1)
-        word = np.repeat(np.arange(len(raw)), sizes)
-        after = np.arange(1, n + 2)
+        token = np.append(token, np.int32(-1))
+        word = np.repeat(np.arange(len(raw), dtype=np.int32), sizes)
+        after = np.arange(1, n + 2, dtype=np.int32)
         last = np.cumsum(sizes)[sizes > 0] - 1
         after[last] = n
-        before = np.arange(-1, n)
+        before = np.arange(-1, n, dtype=np.int32)
         before[last[:-1] + 1] = -1
         alive = np.ones(n, bool)
         pair = np.full(n + 1, NEVER)  # rank of the pair that begins here
         inner = np.flatnonzero(after[:n] < n)
-        small, where = np.unique(token[inner] << 32 | token[inner + 1], return_inverse=True)
+        small, where = np.unique(token[inner].astype(np.int64) << 32 | token[inner + 1], return_inverse=True)
         pair[inner] = self.rank(small >> 32, small & 0xFFFFFFFF)[where]
 
         index: dict[int, list[np.ndarray]] = {}
@@ -128,30 +128,42 @@ class MergeTable:
         return token[:n][alive].astype(np.uint32), ends
 
 
-def encode(docs: DataFrame, rank_file: str) -> DataFrame:
+def decode_ids(ids: bytes, token) -> bytes:
+    return b"".join(map(token, np.frombuffer(ids, "<u4").tolist()))
+
+
+def encode(docs: DataFrame, rank_file: str, round_trip: bool = False) -> DataFrame:
     """(doc_id, ids), one row per row of ``docs``: the ids of the whole text as
     little-endian unsigned 32-bit integers, each word of the pattern encoded
-    separately, no special tokens.  Null and empty texts have no ids; repeated
+    separately, no special tokens.  With ``round_trip`` also ``decoded``, the
+    bytes that the ids decode to.  Null and empty texts have no ids; repeated
     rows and null doc_ids keep their rows."""
     with open(rank_file, "rb") as f:
         data = docs.sparkSession.sparkContext.broadcast(f.read())  # one vocabulary file, under 1 MB
 
+    names = ["doc_id", "ids", "decoded"][:2 + round_trip]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(MergeTable(read_ranks(data.value)).encode_words)
+        ranks = read_ranks(data.value)
+        token = {rank: t for t, rank in ranks.items()}.__getitem__
+        encoder = WordEncoder(MergeTable(ranks).encode_words)
         for block in blocks(batches, "text", BLOCK_BYTES):
             doc_ids = block.column("doc_id").combine_chunks()
             at, held, size = 0, [], 0
-            for ids in encoder.encode(block.column("text").to_pylist()):
+            texts = block.column("text").to_pylist()
+            del block
+            for i, ids in enumerate(encoder.encode(texts)):
                 held.append(ids.tobytes())
                 size += len(held[-1])
-                if size > 4 << 20:
-                    yield pa.RecordBatch.from_arrays([doc_ids.slice(at, len(held)), pa.array(held, pa.binary())], names=["doc_id", "ids"])
-                    at, held, size = at + len(held), [], 0
-            if held:
-                yield pa.RecordBatch.from_arrays([doc_ids.slice(at), pa.array(held, pa.binary())], names=["doc_id", "ids"])
+                if size > 4 << 20 or i + 1 == len(texts):
+                    columns = [doc_ids.slice(at, len(held)), pa.array(held, pa.binary())]
+                    if round_trip:
+                        columns.append(pa.array([decode_ids(x, token) for x in held], pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+                    at, held, size = i + 1, [], 0
 
     small_batches(docs.sparkSession)
-    return texts_of(docs).mapInArrow(run, "doc_id long, ids binary")
+    return texts_of(docs).mapInArrow(run, "doc_id long, ids binary" + ", decoded binary" * round_trip)
 
 
 def decode(encoded: DataFrame, rank_file: str) -> DataFrame:
@@ -162,7 +174,7 @@ def decode(encoded: DataFrame, rank_file: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = {rank: t for t, rank in read_ranks(data.value).items()}.__getitem__
         for b in batches:
-            texts = [None if x is None else b"".join(map(token, np.frombuffer(x, "<u4").tolist())) for x in b.column("ids").to_pylist()]
+            texts = [None if x is None else decode_ids(x, token) for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), pa.array(texts, pa.binary())], names=["doc_id", "ids", "decoded"])
 
     small_batches(encoded.sparkSession)

@@ -15,8 +15,8 @@ import regex
 
 OTHER, LETTER, NUMBER, SPACE = range(4)
 MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
-CHUNK_CHARS = 2 << 20
-CACHE_WORDS = 2_000_000
+CHUNK_CHARS = 1 << 19
+CACHE_WORDS = 1_000_000
 
 
 @lru_cache(None)
@@ -88,7 +88,7 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self.hashes = np.zeros(0, np.uint64)
-        self.numbers = np.zeros(0, np.int64)
+        self.numbers = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
         self.ends = np.zeros(1, np.int64)  # of word i - 1
 
@@ -107,7 +107,7 @@ class WordEncoder:
         known = np.zeros(len(distinct), bool)
         inside = place < len(self.hashes)
         known[inside] = self.hashes[place[inside]] == distinct[inside]
-        numbers = np.empty(len(distinct), np.int64)
+        numbers = np.empty(len(distinct), np.int32)
         numbers[known] = self.numbers[place[known]]
         fresh = np.flatnonzero(~known)
         numbers[fresh] = len(self.numbers) + np.arange(len(fresh))
