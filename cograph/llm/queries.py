@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cograph.llm import compression_quality, maxscore, merge_replay, packing, preference, simhash, suffix_dedup, warc, winnowing
+from cograph.llm import compression_quality, maxscore, merge_replay, packing, preference, simhash, substring_dedup, suffix_dedup, warc, winnowing
 
 #: A document is kept when its quality score reaches this.
 QUALITY_CUT = 0.3
@@ -20,6 +20,10 @@ def op1_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.passage_classes(_table(spark, sf_dir, "documents"))
+
+
 def op3_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = maxscore.integer_vectors(_table(spark, sf_dir, "embeddings"))
     return maxscore.top_k(vectors, vectors.filter(F.col("vec_id") % 100 == 0), k=10)
@@ -45,7 +49,7 @@ def op6_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return merge_replay.digests(merge_replay.decode(merge_replay.encode(_table(spark, sf_dir, "documents"), ranks), ranks))
+    return merge_replay.digests(merge_replay.encode(_table(spark, sf_dir, "documents"), ranks, round_trip=True))
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +72,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SPARK = {
     "op1_retrieval_packing": op1_retrieval_packing,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_maxscore": op3_maxscore,
     "op4_winnowing": op4_winnowing,
     "op5_suffix_dedup": op5_suffix_dedup,
