@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
@@ -154,3 +155,16 @@ def score_quality(docs: DataFrame, model: QualityModel) -> DataFrame:
     """
     rows = _differences(texts_of(docs), model)
     return rows.withColumn("score", 1 / (1 + F.exp(-(F.col("difference") * model.slope + F.lit(model.offset)))))
+
+
+def keep_good(docs: DataFrame, model: QualityModel, cut: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with a score of at least ``cut``, all columns; scores as in `score_quality`."""
+    @F.pandas_udf("double")
+    def differences(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        difference = model.differences()
+        for t in texts:
+            yield pd.Series([difference(x.encode("utf-8", "surrogatepass")) for x in t], dtype=float)
+
+    small_batches(docs.sparkSession)
+    score = 1 / (1 + F.exp(-(differences(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))) * model.slope + F.lit(model.offset))))
+    return docs.filter(score >= cut)

@@ -264,5 +264,15 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, bits: int = 4)
     parts = connected_components(fingerprint_links(distinct, bits)).select(F.col("node").alias("fp"), "component")
     members = distinct.join(parts, "fp", "left").select("fp", "doc", F.coalesce("component", "fp").alias("component"))
     least = members.groupBy("component").agg(F.min("doc").alias("component_id"))
-    members = salted_join(members.select("fp", "component"), least, "component").select("fp", "component_id")
-    return salted_join(fps, members, "fp").select("doc_id", "fp", "component_id")
+    members = salted_join(members.select("fp", "component"), least, "component", hint="merge").select("fp", "component_id")
+    return salted_join(fps, members, "fp", hint="merge").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, words_per_shingle: int = 4, bits: int = 4) -> DataFrame:
+    """One document of each component of ``docs``, the one with the smallest
+    doc_id, all columns.  Rows that repeat a doc_id are one document, of which
+    one row stays; rows without doc_id cannot be named and stay."""
+    winners = scratch_table(near_duplicates(docs, words_per_shingle, bits).filter("component_id is not null")
+                            .select(F.col("component_id").alias("_winner")).distinct(), "simhash-kept")
+    kept = docs.join(winners, docs["doc_id"].cast("long") == winners["_winner"], "left_semi")
+    return kept.dropDuplicates(["doc_id"]).union(docs.filter(F.col("doc_id").isNull()))
