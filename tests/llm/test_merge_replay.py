@@ -1,0 +1,60 @@
+"""Merge replay against the tiktoken library."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from llm_cases import corpus
+
+from cograph.llm import merge_replay
+from cograph.llm.wordblocks import WordEncoder, span_hashes
+
+FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def ranks():
+    with open(FILE, "rb") as f:
+        return merge_replay.read_ranks(f.read())
+
+
+@pytest.fixture(scope="module")
+def library(ranks):
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_random_texts(ranks, library):
+    r = random.Random(5)
+    alphabet = "ab'  sStTrRvVeElLmMdD019²½é漢😀\n\t 　 .,!?'\"_\x1c\x85"
+    texts = ["".join(r.choice(alphabet) for _ in range(r.randint(0, 60))) for _ in range(4000)]
+    texts += ["a" * 3000, " " * 2000, "'" * 99, "!" * 2001, "<|endoftext|>", "\r\n" * 50 + "x", "'s't're", " 's", "\n's", "''s"]
+    got = list(WordEncoder(merge_replay.MergeTable(ranks).encode_words).encode(texts))
+    assert [g.tolist() for g in got] == [library.encode_ordinary(t) for t in texts]
+
+
+def test_round_trip_and_edges(docs, library):
+    got = merge_replay.decode(merge_replay.encode(docs, FILE), FILE).collect()
+    assert all(np.frombuffer(r.ids, "<u4").tolist() == library.encode_ordinary(r.decoded.decode()) for r in got)
+    assert Counter((r.doc_id, bytes(r.decoded).decode()) for r in got) == Counter((d, t or "") for d, t in corpus())
+    both = merge_replay.encode(docs, FILE, round_trip=True).collect()
+    assert Counter(both) == Counter(got)
+
+
+def test_no_rows(no_docs):
+    assert merge_replay.digests(merge_replay.encode(no_docs, FILE, round_trip=True)).collect() == []
+
+
+def test_ranks_are_applied_in_order():
+    ranks = {bytes([i]): i for i in range(256)} | {b"bc": 256, b"ab": 257, b"abc": 258, b"cd": 259}
+    ids, ends = merge_replay.MergeTable(ranks).encode_words(["abcd", "ab", "abcabc", ""])
+    assert np.split(ids, ends[:-1])[0].tolist() == [258, 100]
+    assert [x.tolist() for x in np.split(ids, ends[:-1])[1:]] == [[257], [258, 258], []]
+
+
+def test_span_hashes_depend_on_content_alone():
+    codes = np.array([5, 6, 7, 0, 5, 6, 7, 5, 6], np.uint32)
+    h = span_hashes(codes, np.array([0, 4, 0, 7]), np.array([3, 7, 2, 9]))
+    assert h[0] == h[1] and h[2] == h[3] and h[0] != h[2]
