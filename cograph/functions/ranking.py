@@ -27,11 +27,22 @@ def rank_within(df: DataFrame, partition_by: Cols, order_by: Cols,
     return df.withColumn(rank_col, F.row_number().over(_window(partition_by, order_by)))
 
 
-def top_k(df: DataFrame, partition_by: Cols, order_by: Cols, k: int,
+LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
+def top_k(df: DataFrame, partition_by: Cols, order_by: Cols, k: int | None,
           rank_col: str | None = None) -> DataFrame:
-    """The first ``k`` rows of each group; optionally keep the rank."""
+    """The first ``k`` rows of each group (``None``: all); optionally keep the rank.
+
+    Spark plans the partial limit only for k up to a session setting, which is
+    raised to a larger k."""
+    if k is None:
+        return rank_within(df, partition_by, order_by, rank_col) if rank_col else df
     if k < 1:
         raise ValueError("k must be >= 1")
+    spark = df.sparkSession
+    if k > int(spark.conf.get(LIMIT_CONF, "1000")) >= 0:
+        spark.conf.set(LIMIT_CONF, str(k))
     name = rank_col or "__rn"
     out = df.withColumn(name, F.row_number().over(_window(partition_by, order_by))).filter(
         F.col(name) <= k)

@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Union[Column, str]
 
-# Sort keys are quantised to this many decimals so that last-digit noise of
-# parallel sums (summation order differs between runs and engines) cannot flip
-# an ordering between values that are equal in exact arithmetic.  The key is
-# floor(x * 10^d + 0.5): plain arithmetic that stays inside generated code
-# (``round`` on doubles goes through BigDecimal for every row).
-SORT_DECIMALS = 9
-_SCALE = 10.0 ** SORT_DECIMALS
+# Orderings compare values rounded to this many significant bits (relative
+# steps of 2**-28, finer than a 32-bit float), so that last-digit noise of
+# parallel sums cannot flip an ordering between values that are equal in exact
+# arithmetic, however small the values are.
+SORT_BITS = 28
+# Registered queries show doubles with this many significant bits (7 digits).
+SHOWN_BITS = 24
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -77,6 +77,14 @@ def popularity_boost(name: str) -> Callable[[Column], Column]:
         raise ValueError(f"unknown popularity boost {name!r}; use SQRT, LOG or ''") from None
 
 
+def significant(c: ColumnOrName, bits: int) -> Column:
+    """A double rounded to ``bits`` significant bits, with plain arithmetic that
+    stays inside generated code: (x * k) - (x * k - x) for k = 2**(53 - bits) + 1."""
+    x = _col(c)
+    big = x * F.lit(float(2 ** (53 - bits) + 1))
+    return F.when(F.abs(x) < F.lit(1e290), big - (big - x)).otherwise(x)
+
+
 def sort_key(c: ColumnOrName) -> Column:
-    """Quantised value used only inside orderings (see SORT_DECIMALS)."""
-    return F.floor(_col(c) * F.lit(_SCALE) + F.lit(0.5))
+    """Value used only inside orderings (see SORT_BITS)."""
+    return significant(c, SORT_BITS) + F.lit(0.0)

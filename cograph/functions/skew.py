@@ -7,6 +7,28 @@ from pyspark.sql import DataFrame, functions as F
 SALTS = 16
 
 
+def splittable_join(large: DataFrame, small: DataFrame, left_key: str, right_key: str, how: str = "inner",
+                    extra: list[tuple[str, str]] | None = None) -> DataFrame:
+    """Equi-join whose hot keys adaptive execution can split.
+
+    AQE splits a skewed partition only if both join sides are shuffles made for
+    the join itself; a side that comes out of an aggregate or a window on the
+    same key brings its own partitioning, and a hot key stays in one task.  Both
+    sides therefore also match on a value computed from the key (always 0), which
+    no upstream partitioning covers.  The price is one more shuffle of the small
+    side where it is not broadcast.  ``left_key``, ``right_key`` and ``extra``
+    pairs are qualified names; the helper columns are dropped by the caller's select.
+    """
+    on = F.col(left_key) == F.col(right_key)
+    for a, b in extra or []:
+        on &= F.col(a) == F.col(b)
+    return large.join(small, on & (_zero(left_key) == _zero(right_key)), how)
+
+
+def _zero(key: str):
+    return F.pmod(F.hash(F.col(key)), F.lit(1))
+
+
 def salted_join(large: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner",
                 spread: list[str] | None = None, salts: int = SALTS, hint: str | None = None) -> DataFrame:
     """Equi-join whose hot keys are spread over ``salts`` tasks.

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cograph.functions.ranking import latest_by
+from cograph.functions.skew import splittable_join
 
 # Fixed values that must equal the reference's.
 SIGNAL_EVENT_TYPES = ("ForkEvent", "PullRequestEvent", "PushEvent", "WatchEvent")
@@ -93,8 +94,7 @@ def fork_map(parsed: DataFrame) -> DataFrame:
     sources = latest_by(info.filter(~F.col("is_a_fork")), ["repo_name", "language"],
                         _desc(["num_forks", "item", "timestamp"]))
     f, s = forks.alias("f"), sources.alias("s")
-    return f.join(s, (F.col("f.repo_name") == F.col("s.repo_name"))
-                  & (F.col("f.language") == F.col("s.language"))).select(
+    return splittable_join(f, s, "f.repo_name", "s.repo_name", extra=[("f.language", "s.language")]).select(
         F.col("f.item").alias("fork_item"), F.col("s.item").alias("source_item"))
 
 

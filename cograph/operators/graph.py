@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cograph.functions.ranking import rank_within, top_k
 from cograph.functions.scale import logistic_scale, popularity_boost, sort_key
+from cograph.functions.skew import splittable_join
 
 
 # --------------------------------------------------------------------------- G1, G2
@@ -38,8 +39,10 @@ def item_popularity(ui_weights: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- G3, G4
-def top_links_per_user(ui_weights: DataFrame, k: int, rank_col: str | None = None) -> DataFrame:
-    """Each user's ``k`` strongest items (weight desc, item asc)."""
+def top_links_per_user(ui_weights: DataFrame, k: int | None, rank_col: str | None = None) -> DataFrame:
+    """Each user's ``k`` strongest items (weight desc, item asc).  The cap is
+    part of the graph's definition and drops the weaker items of a user;
+    ``None`` keeps all, at the price of a quadratic number of pairs per user."""
     return top_k(ui_weights, ["user"],
                  [F.desc_nulls_last(sort_key("weight")), F.asc_nulls_last("item")], k, rank_col)
 
@@ -79,7 +82,12 @@ def filtered_user_items(signals: DataFrame, logistic_param: float, min_link_weig
     ui = aggregate_signals(signals, logistic_param)
     item_weights = item_popularity(ui)
     keep = item_weights.filter(F.col("overall_weight") >= F.lit(float(min_link_weight))).select("item")
-    return ui.join(keep, "item", "left_semi"), item_weights
+    return semi_join_items(ui, keep), item_weights
+
+
+def semi_join_items(ui: DataFrame, keep: DataFrame) -> DataFrame:
+    """Rows of ``ui`` whose item is in ``keep``; a hot item is split over tasks."""
+    return splittable_join(ui.alias("u"), keep.select("item").alias("k"), "u.item", "k.item", "left_semi")
 
 
 def build_item_item_graph(signals: DataFrame, logistic_param: float, min_link_weight: float,
@@ -100,7 +108,7 @@ def build_item_item_graph(signals: DataFrame, logistic_param: float, min_link_we
 def _adjust(ii_links: DataFrame, item_weights: DataFrame, numerator, prior: float,
             carry: Sequence[str]) -> DataFrame:
     l, w = ii_links.alias("l"), item_weights.alias("w")
-    return l.join(w, F.col("l.item_B") == F.col("w.item")).select(
+    return splittable_join(l, w, "l.item_B", "w.item").select(
         F.col("l.item_A").alias("item_A"), F.col("l.item_B").alias("item_B"),
         F.try_divide(numerator, F.col("w.overall_weight") + F.lit(float(prior))).alias("weight"),
         F.col("l.weight").alias("raw_weight"),
@@ -171,7 +179,7 @@ def diversify_links(ii_links: DataFrame, metadata: DataFrame, max_rank: int | No
     a group-limited window (partial limit before the shuffle), for callers
     that keep at most ``max_rank`` links per item anyway (see E5)."""
     l, m = ii_links.alias("l"), metadata.alias("m")
-    j = l.join(m, F.col("l.item_B") == F.col("m.item")).select(
+    j = splittable_join(l, m, "l.item_B", "m.item").select(
         "l.item_A", "l.item_B", "l.weight", "l.raw_weight", F.col("m.metadata_field"))
     order = [F.desc_nulls_last(sort_key("weight")), F.asc_nulls_last("item_B")]
     if max_rank is None:

@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cograph.functions.skew import splittable_join
+
 
 def remove_bots(signals: DataFrame, threshold: int) -> DataFrame:
     """Keep the signals of users with fewer than ``threshold`` signals.
 
     The per-user count is a partial+final aggregate (a bot's rows collapse on
-    the map side); the kept users return through a semi join."""
+    the map side); the kept users return through a semi join that can split a
+    bot's rows over tasks."""
     counts = signals.groupBy("user").agg(F.count(F.lit(1)).alias("num_signals"))
     normal = counts.filter(F.col("num_signals") < threshold).select("user")
-    return signals.join(normal, "user", "left_semi").select("user", "item", "weight")
+    return splittable_join(signals.alias("s"), normal.alias("n"), "s.user", "n.user", "left_semi").select("user", "item", "weight")
 
 
 def select_signals(item1, item2, user_signals: DataFrame, only_pair: bool = False) -> DataFrame:

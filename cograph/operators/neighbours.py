@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from cograph.functions.ranking import top_k
 from cograph.functions.scale import sort_key
+from cograph.functions.skew import splittable_join
 
 
 def _nearest():
@@ -31,8 +32,9 @@ def direct_neighbours(ii_links: DataFrame, num_recs: int) -> DataFrame:
                  num_recs, "rank")
 
 
-def _pruned_graph(ii_links: DataFrame, nhood: int, carry: Sequence[str]) -> DataFrame:
-    """Distance graph pruned to each item's ``nhood`` nearest neighbours.
+def _pruned_graph(ii_links: DataFrame, nhood: int | None, carry: Sequence[str]) -> DataFrame:
+    """Distance graph pruned to each item's ``nhood`` nearest neighbours
+    (``None``: not pruned; then the work per item is no longer bounded).
     Links with weight <= 0 or null have no finite distance and are dropped (Q11);
     links with a null end are dropped too.  The explicit not-null filters make
     every reader of this graph carry the same filters (the optimizer would
@@ -60,7 +62,8 @@ def _best_paths(graph: DataFrame, hop_targets: DataFrame, num_recs: int,
     tie-break that never decides anything:
     (item_A, item_B, mid) already identifies a path."""
     g, h = graph.alias("g"), hop_targets.alias("h")
-    j = g.join(h, F.col("g.item_B") == F.col("h.item_A"), "left")
+    # an item that very many others point at (a hub) is split over tasks
+    j = splittable_join(g, h, "g.item_B", "h.item_A", "left")
 
     def parts(side):
         return ([F.col(f"{side}.raw_weight"), F.col(f"{side}.hop_rank")]

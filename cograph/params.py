@@ -16,9 +16,9 @@ class RecParams:
     logistic_param: float = 2.0          # diminishing returns of repeated signals
     min_link_weight: float = 1.0         # item and link threshold
     prior: float = 4.0                   # Bayesian prior (pseudo observations)
-    max_links_per_user: int = 100        # quadratic guard before pairing
+    max_links_per_user: int | None = 100  # each user's strongest links that are paired; None: all
     num_recs_per_item: int = 20          # item-item list length
-    initial_nhood_size: int = 20         # pruning before the two-hop search
+    initial_nhood_size: int | None = 20  # nearest links kept before the two-hop search; None: all
     num_recs_per_user: int = 10          # user list length
     diversity_adjust: bool = False       # reason-diversity re-weighting
     quality_logistic_param: float = 0.00227

@@ -2,15 +2,24 @@
 
 Each query is built from small CTE fragments mirroring the Spark operators.
 Orderings use the same explicit tie-breaks and rounded sort keys as the
-engine (see ``cograph.functions.scale.SORT_DECIMALS``); output doubles are
-rounded to 6 decimals on both sides.
+engine; values are compared by their first nine decimal digits, which is not the
+engine's own rule (significant bits), so the twins do not share its rounding.
 """
 
 from __future__ import annotations
 
 from cograph.params import RecParams
 
-R6 = 6   # output decimals
+
+def _sk(x: str) -> str:
+    """Sort value: nine significant decimal digits."""
+    return f"CAST(format('{{:.8e}}', {x}) AS DOUBLE)"
+
+
+def shown(x: str, bits: int) -> str:
+    """A double with ``bits`` significant bits, as registered queries show it."""
+    k = f"CAST({2 ** (53 - bits) + 1} AS DOUBLE)"
+    return f"CASE WHEN abs({x}) < 1e290 THEN {x} * {k} - ({x} * {k} - {x}) ELSE {x} END"
 
 
 def _logistic(x: str, p: float) -> str:
@@ -80,7 +89,7 @@ def ui_filtered(min_w: float) -> list[str]:
 
 
 def top_users(k: int) -> list[str]:
-    return [f"top AS (SELECT *, row_number() OVER (PARTITION BY \"user\" ORDER BY floor((weight) * 1e9 + 0.5) DESC NULLS LAST, "
+    return [f"top AS (SELECT *, row_number() OVER (PARTITION BY \"user\" ORDER BY {_sk('weight')} DESC NULLS LAST, "
             f"item ASC NULLS LAST) AS urank FROM uif QUALIFY urank <= {k})"]
 
 
@@ -118,7 +127,7 @@ def g8() -> list[str]:
 
 def g9(src: str = "adj", name: str = "dadj") -> list[str]:
     return [f"{name} AS (SELECT item_A, item_B, weight / CAST(row_number() OVER (PARTITION BY item_A, metadata_field "
-            f"ORDER BY floor((weight) * 1e9 + 0.5) DESC NULLS LAST, item_B ASC NULLS LAST) AS DOUBLE) AS weight, raw_weight "
+            f"ORDER BY {_sk('weight')} DESC NULLS LAST, item_B ASC NULLS LAST) AS DOUBLE) AS weight, raw_weight "
             f"FROM (SELECT l.item_A, l.item_B, l.weight, l.raw_weight, m.metadata_field "
             f"FROM {src} l JOIN meta m ON l.item_B = m.item))"]
 
@@ -126,13 +135,13 @@ def g9(src: str = "adj", name: str = "dadj") -> list[str]:
 # ----------------------------------------------------------------------------- N1-N5
 def n1(n: int, src: str = "adj", name: str = "recs") -> list[str]:
     return [f"{name} AS (SELECT item_A, item_B, weight, raw_weight, CAST(row_number() OVER (PARTITION BY item_A "
-            f"ORDER BY floor((weight) * 1e9 + 0.5) DESC NULLS LAST, item_B ASC NULLS LAST) AS INTEGER) AS rank "
+            f"ORDER BY {_sk('weight')} DESC NULLS LAST, item_B ASC NULLS LAST) AS INTEGER) AS rank "
             f"FROM {src} QUALIFY rank <= {n})"]
 
 
 def _pruned(nhood: int, src: str, name: str, carry: str = "") -> list[str]:
     return [f"{name} AS (SELECT item_A, item_B, 1.0 / weight AS dist, raw_weight{carry} FROM {src} WHERE weight > 0 "
-            f"QUALIFY row_number() OVER (PARTITION BY item_A ORDER BY floor((1.0 / weight) * 1e9 + 0.5) ASC NULLS LAST, "
+            f"QUALIFY row_number() OVER (PARTITION BY item_A ORDER BY {_sk('1.0 / weight')} ASC NULLS LAST, "
             f"item_B ASC NULLS LAST) <= {nhood})"]
 
 
@@ -140,10 +149,10 @@ def _best(n: int, cand_direct: str, cand_two: str, name: str, carry_cols: str =
     return [
         f"cand AS ({cand_direct} UNION ALL {cand_two})",
         f"best AS (SELECT * FROM cand WHERE item_A <> item_B QUALIFY row_number() OVER (PARTITION BY item_A, item_B "
-        f"ORDER BY floor((dist) * 1e9 + 0.5) ASC NULLS LAST, indirect ASC, mid ASC NULLS FIRST, "
-        f"floor((raw_weight) * 1e9 + 0.5) ASC NULLS FIRST) = 1)",
+        f"ORDER BY {_sk('dist')} ASC NULLS LAST, indirect ASC, mid ASC NULLS FIRST, "
+        f"{_sk('raw_weight')} ASC NULLS FIRST) = 1)",
         f"{name} AS (SELECT item_A, item_B, 1.0 / dist AS weight, raw_weight, CAST(row_number() OVER "
-        f"(PARTITION BY item_A ORDER BY floor((dist) * 1e9 + 0.5) ASC NULLS LAST, item_B ASC NULLS LAST) AS INTEGER) AS rank, "
+        f"(PARTITION BY item_A ORDER BY {_sk('dist')} ASC NULLS LAST, item_B ASC NULLS LAST) AS INTEGER) AS rank, "
         f"mid{carry_cols} FROM best QUALIFY rank <= {n})"]
 
 
@@ -165,7 +174,7 @@ def n4(nhood: int, n: int, src: str = "adj", name: str = "recs") -> list[str]:
 
 # ----------------------------------------------------------------------------- V1-V3
 def v3(n: int, diversity: bool, sig: str = "sig", recs: str = "recs", name: str = "urecs") -> list[str]:
-    adj = (f"weight / CAST(row_number() OVER (PARTITION BY \"user\", reason ORDER BY floor((weight) * 1e9 + 0.5) DESC NULLS LAST, "
+    adj = (f"weight / CAST(row_number() OVER (PARTITION BY \"user\", reason ORDER BY {_sk('weight')} DESC NULLS LAST, "
            f"item ASC NULLS LAST) + 1 AS DOUBLE)") if diversity else "weight"
     return [
         f"{name}_s AS (SELECT \"user\", item, weight FROM {sig} WHERE \"user\" IS NOT NULL AND item IS NOT NULL)",
@@ -174,11 +183,11 @@ def v3(n: int, diversity: bool, sig: str = "sig", recs: str = "recs", name: str
         f"{name}_u AS (SELECT * FROM {name}_c c WHERE NOT EXISTS (SELECT 1 FROM {name}_s s "
         f"WHERE s.\"user\" = c.\"user\" AND s.item = c.item))",
         f"{name}_b AS (SELECT * FROM {name}_u QUALIFY row_number() OVER (PARTITION BY \"user\", item "
-        f"ORDER BY floor((weight) * 1e9 + 0.5) DESC, reason ASC) = 1)",
+        f"ORDER BY {_sk('weight')} DESC, reason ASC) = 1)",
         f"{name}_d AS (SELECT *, {adj} AS adj FROM {name}_b)",
         f"{name} AS (SELECT \"user\", item, weight, reason AS reason_item, user_link AS user_reason_item_weight, "
         f"item_link AS item_reason_item_weight, CAST(row_number() OVER (PARTITION BY \"user\" "
-        f"ORDER BY floor((adj) * 1e9 + 0.5) DESC NULLS LAST, item ASC NULLS LAST) AS INTEGER) AS rank FROM {name}_d "
+        f"ORDER BY {_sk('adj')} DESC NULLS LAST, item ASC NULLS LAST) AS INTEGER) AS rank FROM {name}_d "
         f"QUALIFY rank <= {n})"]
 
 
@@ -250,9 +259,9 @@ def quality_graph(p: RecParams) -> list[str]:
 def owner_div(src: str, name: str) -> list[str]:
     return [f"""{name}_o AS (SELECT item_A, item_B, weight / CAST(row_number() OVER (PARTITION BY item_A,
         CASE WHEN contains(CAST(item_B AS VARCHAR), '/') THEN regexp_extract(CAST(item_B AS VARCHAR), '(.*)/.*', 1) END
-        ORDER BY floor((weight) * 1e9 + 0.5) DESC NULLS LAST, item_B ASC NULLS LAST) AS DOUBLE) AS weight, raw_weight FROM {src})""",
+        ORDER BY {_sk('weight')} DESC NULLS LAST, item_B ASC NULLS LAST) AS DOUBLE) AS weight, raw_weight FROM {src})""",
             f"""{name} AS (SELECT item_A, item_B, weight, raw_weight, CAST(row_number() OVER (PARTITION BY item_A
-        ORDER BY floor((weight) * 1e9 + 0.5) DESC NULLS LAST, item_B ASC NULLS LAST) AS INTEGER) AS rank FROM {name}_o)"""]
+        ORDER BY {_sk('weight')} DESC NULLS LAST, item_B ASC NULLS LAST) AS INTEGER) AS rank FROM {name}_o)"""]
 
 
 def channels(p: RecParams) -> list[str]:

@@ -1,9 +1,9 @@
 """Named queries over the supplied tables: Spark callables and DuckDB twins.
 
 ``SPARK[name](spark, sf_dir) -> DataFrame`` and ``SQL[name] -> str`` (absent
-for queries that are checked on row counts only).  Output doubles are rounded
-to 6 decimals on both sides so that last-digit noise of parallel sums does not
-count as a difference.
+for queries that are checked on row counts only).  Output doubles have the same
+number of significant bits on both sides, so that last-digit noise of parallel
+sums does not count as a difference and small values stay visible.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cograph.functions.scale import logistic_inverse, logistic_scale
+from cograph.functions.scale import SHOWN_BITS, logistic_inverse, logistic_scale, significant
 from cograph.operators import detailed as D
 from cograph.operators import events as E
 from cograph.operators import graph as G
@@ -32,13 +32,12 @@ from cograph.sources import io as IO
 from cograph.sources import testdata as TD
 from cograph.session import scratch_dir
 
-OUT_DECIMALS = 6
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def _present(df: DataFrame) -> DataFrame:
-    cols = [F.round(F.col(f.name), OUT_DECIMALS).alias(f.name) if isinstance(f.dataType, T.DoubleType)
+    cols = [significant(f.name, SHOWN_BITS).alias(f.name) if isinstance(f.dataType, T.DoubleType)
             else F.col(f.name) for f in df.schema.fields]
     return df.select(*cols)
 
@@ -52,8 +51,12 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def _s(x: str) -> str:
+    return Q.shown(x, SHOWN_BITS)
+
+
 def _sel(cols: list[str], src: str, doubles: tuple[str, ...] = ()) -> str:
-    out = [f"round({c}, {OUT_DECIMALS}) AS {c.split('.')[-1]}" if c.split('.')[-1] in doubles else c
+    out = [f"{_s(c)} AS {c.split('.')[-1]}" if c.split('.')[-1] in doubles else c
            for c in cols]
     return f"SELECT {', '.join(out)} FROM {src}"
 
@@ -187,7 +190,7 @@ def q_rec_diversify(spark, d):
 
 @query("links_with_metadata", Q._with(
     _G4_1 + [Q.META_FX4],
-    "SELECT l.item_A, l.item_B, round(l.weight, 6) AS weight, ma.metadata_field AS metadata_A, "
+    f"SELECT l.item_A, l.item_B, {_s('l.weight')} AS weight, ma.metadata_field AS metadata_A, "
     "mb.metadata_field AS metadata_B FROM links l JOIN meta ma ON l.item_A = ma.item JOIN meta mb ON l.item_B = mb.item"))
 def q_links_with_metadata(spark, d):
     return G.links_with_metadata(_graph1(spark, d)[0], TD.feature_metadata_fx4(spark, d))
@@ -238,7 +241,7 @@ def q_rec_user_item(spark, d):
 
 @query("item_weight_quantiles", Q._with(
     [Q.SIG_FX1, "iw AS (SELECT item, sum(weight) AS weight FROM sig GROUP BY item)"],
-    f"SELECT quantile, round(value, 6) AS value FROM (SELECT unnest(CAST({S.TWENTY_ONE!r} AS DOUBLE[])) AS quantile, "
+    f"SELECT quantile, {_s('value')} AS value FROM (SELECT unnest(CAST({S.TWENTY_ONE!r} AS DOUBLE[])) AS quantile, "
     f"unnest(quantile_cont(weight, CAST({S.TWENTY_ONE!r} AS DOUBLE[]))) AS value FROM iw)"))
 def q_item_weight_quantiles(spark, d):
     return S.item_weight_quantiles(_fx1(spark, d), exact=True)
@@ -251,8 +254,8 @@ def q_item_weight_quantiles_approx(spark, d):
 
 @query("item_rec_names", Q._with(
     _RECS_1 + Q.NAMES_FX7,
-    "SELECT r.item_A, na.name AS item_A_name, r.item_B, nb.name AS item_B_name, round(r.weight, 6) AS weight, "
-    "round(r.raw_weight, 6) AS raw_weight, r.rank FROM recs r JOIN inames nb ON r.item_B = nb.id "
+    f"SELECT r.item_A, na.name AS item_A_name, r.item_B, nb.name AS item_B_name, {_s('r.weight')} AS weight, "
+    f"{_s('r.raw_weight')} AS raw_weight, r.rank FROM recs r JOIN inames nb ON r.item_B = nb.id "
     "JOIN inames na ON r.item_A = na.id ORDER BY r.item_A, r.rank"))
 def q_item_rec_names(spark, d):
     return X.item_rec_names(_recs1(spark, d), TD.item_names_fx7(spark, d))
@@ -260,10 +263,10 @@ def q_item_rec_names(spark, d):
 
 @query("user_rec_names", Q._with(
     _RECS_1 + Q.v3(FX1.num_recs_per_user, FX1.diversity_adjust) + Q.NAMES_FX7,
-    "SELECT r.\"user\", nu.name AS user_name, r.item, ni.name AS item_name, round(r.weight, 6) AS weight, "
+    f"SELECT r.\"user\", nu.name AS user_name, r.item, ni.name AS item_name, {_s('r.weight')} AS weight, "
     "r.reason_item, coalesce(nr.name, CAST(r.reason_item AS VARCHAR)) AS reason_item_name, "
-    "round(r.user_reason_item_weight, 6) AS user_reason_item_weight, "
-    "round(r.item_reason_item_weight, 6) AS item_reason_item_weight, r.rank FROM urecs r "
+    f"{_s('r.user_reason_item_weight')} AS user_reason_item_weight, "
+    f"{_s('r.item_reason_item_weight')} AS item_reason_item_weight, r.rank FROM urecs r "
     "LEFT JOIN inames nr ON r.reason_item = nr.id JOIN inames ni ON r.item = ni.id "
     "JOIN unames nu ON r.\"user\" = nu.id ORDER BY r.\"user\", r.rank"))
 def q_user_rec_names(spark, d):
@@ -275,8 +278,8 @@ def q_user_rec_names(spark, d):
     [Q.SIG_FX1, "s AS (SELECT \"user\", item, sum(weight) AS weight FROM sig "
                 "WHERE \"user\" IS NOT NULL AND item IS NOT NULL GROUP BY \"user\", item)",
      f"l AS (SELECT *, {Q._logistic('weight', FX1.logistic_param)} AS scaled FROM s)"],
-    f"SELECT \"user\", item, round(weight, 6) AS weight, round(scaled, 6) AS scaled, "
-    f"round(-ln(2.0 / (scaled + 1.0) - 1.0) / {FX1.logistic_param!r}, 6) AS recovered FROM l"))
+    f"SELECT \"user\", item, {_s('weight')} AS weight, {_s('scaled')} AS scaled, "
+    f"{_s(f'(-ln(2.0 / (scaled + 1.0) - 1.0) / {FX1.logistic_param!r})')} AS recovered FROM l"))
 def q_logistic_round_trip(spark, d):
     s = (_fx1(spark, d).filter(F.col("user").isNotNull() & F.col("item").isNotNull())
          .groupBy("user", "item").agg(F.sum("weight").alias("weight")))
@@ -332,7 +335,7 @@ def q_detailed_graph_signals(spark, d):
 
 @query("detailed_bayes", Q._with(
     _G12 + Q.g5(FX2.prior),
-    "SELECT a.item_A, a.item_B, round(a.weight, 6) AS weight, round(a.raw_weight, 6) AS raw_weight, s.cnt AS num_users "
+    f"SELECT a.item_A, a.item_B, {_s('a.weight')} AS weight, {_s('a.raw_weight')} AS raw_weight, s.cnt AS num_users "
     "FROM adj a JOIN lsig s ON s.item_A = a.item_A AND s.item_B = a.item_B AND s.signal = 'NUM_USERS'"))
 def q_detailed_bayes(spark, d):
     links, w = _detailed2(spark, d)
@@ -483,7 +486,7 @@ def q_item_quality(spark, d):
 
 
 @query("fit_logistic", Q._with(
-    _EV, f"SELECT round(v, 6) AS quantile_value, round(ln((1 + {QUALITY_Y!r}) / (1 - {QUALITY_Y!r})) / v, 6) "
+    _EV, f"SELECT {_s('v')} AS quantile_value, {_s(f'(ln((1 + {QUALITY_Y!r}) / (1 - {QUALITY_Y!r})) / v)')} "
          f"AS logistic_param FROM (SELECT quantile_cont(quality_score, {QUALITY_Q!r}) AS v FROM quality)"))
 def q_fit_logistic(spark, d):
     from cograph.functions.scale import fit_logistic_param

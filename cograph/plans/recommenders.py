@@ -58,9 +58,9 @@ def item_item_recs_diversified(signals: DataFrame, metadata: DataFrame,
 
     N2 keeps each item's ``initial_nhood_size`` nearest links, and a link
     ranked r within its (item_A, metadata) group is beaten by the r - 1 links
-    above it (w_j / j > w_r / r for j < r, and their distances differ by at
-    least 1 because Bayes-adjusted weights are below 1).  So G9 only needs to
-    rank up to nhood per group: a group-limited window, whatever the group size."""
+    above it: w_j / j exceeds w_r / r for j < r by a factor of r / (r - 1) at
+    least, far more than orderings round away.  So G9 only needs to rank up to
+    nhood per group: a group-limited window, whatever the group size."""
     links, weights = _graph(signals, p)
     adj = G.diversify_links(G.bayes_adjust(links, weights, p.prior), metadata,
                             max_rank=p.initial_nhood_size)
