@@ -51,7 +51,8 @@ def logistic_param_for(value_at_quantile: float, y: float) -> float:
 def fit_logistic_param(df: DataFrame, col: str, q: float, y: float,
                        exact: bool = False, accuracy: int = 10000) -> DataFrame:
     """one-row frame (quantile_value, logistic_param) such that the q-quantile
-    of ``col`` is scaled to ``y``.  Stays a DataFrame (no driver round trip)."""
+    of ``col`` is scaled to ``y``.  Lazy with approximate quantiles; ``exact``
+    ones run jobs while the plan is built."""
     from cograph.operators.stats import quantiles
 
     qv = quantiles(df, col, [q], exact=exact, accuracy=accuracy)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cograph.functions.scale import logistic_scale
-from cograph.operators.graph import contract_user_items, item_popularity, mirror_links, top_links_per_user
+from cograph.operators.graph import contract_user_items, item_popularity, mirror_links, semi_join_items, top_links_per_user
 
 # Fixed values that must equal the reference's: the reserved link_data key
 # holding the number of users behind a link (it overrides a signal type of that name, Q15).
@@ -59,7 +59,7 @@ def link_data_long(links: DataFrame, map_col: str = "link_data",
 
 
 def build_item_item_graph_detailed(typed_signals: DataFrame, logistic_param: float,
-                                   min_link_weight: float, max_links_per_user: int
+                                   min_link_weight: float, max_links_per_user: int | None
                                    ) -> tuple[DataFrame, DataFrame]:
     """G4 plus ``link_data`` per link: for every signal type the number of
     such signals the contributing users had on either item, and NUM_USERS, the
@@ -72,26 +72,25 @@ def build_item_item_graph_detailed(typed_signals: DataFrame, logistic_param: flo
         F.sum("weight").alias("w"), F.count(F.lit(1)).alias("cnt"))
     typed = _valid_type(F.col("signal_type")) & (F.col("signal_type") != F.lit(NUM_USERS))
     ui = (per_type.groupBy("user", "item")
-          .agg(F.sum("w").alias("w"),
-               F.collect_list(F.when(typed, F.struct(F.col("signal_type").alias("s"),
-                                                     F.col("cnt").alias("c")))).alias("types"))
+          .agg(F.sum("w").alias("w"))
           .filter(F.col("w").isNotNull())
-          .select("user", "item", logistic_scale("w", logistic_param).alias("weight"), "types"))
+          .select("user", "item", logistic_scale("w", logistic_param).alias("weight")))
     item_weights = item_popularity(ui)
     keep = item_weights.filter(F.col("overall_weight") >= F.lit(float(min_link_weight))).select("item")
-    top = top_links_per_user(ui.join(keep, "item", "left_semi"), max_links_per_user)
-    pairs = contract_user_items(top, extra=["types"])
-    # The pair weight rides on the NUM_USERS entry only, so one aggregation by
-    # (item_A, item_B, signal) yields both link weight and type counts.
-    tagged = "transform({0}, x -> named_struct('s', x.s, 'c', x.c, 'w', CAST(0.0 AS DOUBLE)))"
-    entries = F.concat(
-        F.expr(tagged.format("types_A")), F.expr(tagged.format("types_B")),
-        F.array(F.struct(F.lit(NUM_USERS).alias("s"), F.lit(1).cast("bigint").alias("c"),
-                         F.col("weight").alias("w"))))
-    long = (pairs.select("item_A", "item_B", F.inline(entries))
-            .groupBy("item_A", "item_B", "s").agg(F.sum("c").alias("c"), F.sum("w").alias("w")))
-    half = (long.groupBy("item_A", "item_B")
-            .agg(F.sum("w").alias("weight"),
-                 F.map_from_entries(F.collect_list(F.struct("s", "c"))).alias("link_data"))
+    top = top_links_per_user(semi_join_items(ui, keep), max_links_per_user)
+    # Weights first: of the many pairs only those of links that pass the
+    # threshold go on to have their signals counted.
+    pairs = contract_user_items(top, keep_user=True)
+    half = (pairs.groupBy("item_A", "item_B")
+            .agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("num_users"))
             .filter(F.col("weight") >= F.lit(float(min_link_weight))))
-    return mirror_links(half), item_weights
+    kept = pairs.select("user", "item_A", "item_B").join(half.select("item_A", "item_B"), ["item_A", "item_B"])
+    ends = kept.select("user", "item_A", "item_B", F.explode(F.array("item_A", "item_B")).alias("item"))
+    counts = per_type.filter(typed & F.col("user").isNotNull()).select("user", "item", "signal_type", "cnt")
+    long = (ends.join(counts, ["user", "item"])
+            .groupBy("item_A", "item_B", F.col("signal_type").alias("s")).agg(F.sum("cnt").alias("c"))
+            .union(half.select("item_A", "item_B", F.lit(NUM_USERS).alias("s"), F.col("num_users").alias("c"))))
+    # one entry per signal type of the link
+    data = long.groupBy("item_A", "item_B").agg(F.map_from_entries(F.collect_list(F.struct("s", "c"))).alias("link_data"))
+    links = half.select("item_A", "item_B", "weight").join(data, ["item_A", "item_B"])
+    return mirror_links(links), item_weights

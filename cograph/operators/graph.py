@@ -47,20 +47,19 @@ def top_links_per_user(ui_weights: DataFrame, k: int | None, rank_col: str | Non
                  [F.desc_nulls_last(sort_key("weight")), F.asc_nulls_last("item")], k, rank_col)
 
 
-def contract_user_items(ui_top: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+def contract_user_items(ui_top: DataFrame, keep_user: bool = False) -> DataFrame:
     """Every pair of items of one user gives a link term min(w1, w2).
 
     Only half of the pairs (item_A < item_B) are produced; the weight is
     symmetric, so callers mirror *after* aggregating and thresholding, which
     halves the largest shuffle.  The input comes out of a window partitioned
     by user, so this self-join adds no exchange of its own.  Per user there are
-    at most k(k-1)/2 terms because the input is capped by ``top_links_per_user``.
-    ``extra`` columns of both sides are kept with suffixes _A and _B."""
+    at most k(k-1)/2 terms because the input is capped by ``top_links_per_user``."""
     a, b = ui_top.alias("a"), ui_top.alias("b")
     cols = [F.col("a.item").alias("item_A"), F.col("b.item").alias("item_B"),
             F.least(F.col("a.weight"), F.col("b.weight")).alias("weight")]
-    for c in extra:
-        cols += [F.col(f"a.{c}").alias(f"{c}_A"), F.col(f"b.{c}").alias(f"{c}_B")]
+    if keep_user:
+        cols.append(F.col("a.user").alias("user"))
     return a.join(b, (F.col("a.user") == F.col("b.user")) & (F.col("a.item") < F.col("b.item"))
                   ).select(*cols)
 

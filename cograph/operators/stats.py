@@ -5,7 +5,8 @@ partial aggregation, the default at scale.
 
 Exact mode (linear interpolation between order statistics, like SQL
 ``quantile_cont``) without ever pulling a group into one task:
-  1. n = count, and ~``buckets`` approximate cut points (bounded driver data);
+  0. the column is stored once, so every pass sees the same values;
+  1. n = count, and approximate cut points, more of them the larger n is;
   2. rows per value bucket (Bucketizer, JVM side) -> bucket offsets;
   3. only the buckets holding a wanted rank are expanded to a histogram of
      distinct values (a hot value collapses in a partial aggregate), whose
@@ -22,6 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cograph.session import scratch_folder
+
 TWENTY_ONE = [i / 20 for i in range(21)]  # min, 5 %, ..., 95 %, max
 
 
@@ -32,8 +35,10 @@ def _empty(df: DataFrame) -> DataFrame:
 
 
 def quantiles(df: DataFrame, col: str, qs: Sequence[float], exact: bool = False,
-              accuracy: int = 10000, buckets: int = 1000) -> DataFrame:
-    """Rows (quantile, value) for each q in ``qs``."""
+              accuracy: int = 10000, bucket_rows: int = 1_000_000) -> DataFrame:
+    """Rows (quantile, value) for each q in ``qs``.  The exact mode runs jobs
+    while the plan is built; it aims at ``bucket_rows`` values per bucket, with
+    1,000 to 100,000 buckets, and fails if a wanted rank is not found."""
     qs = [float(q) for q in qs]
     if any(not 0.0 <= q <= 1.0 for q in qs):
         raise ValueError("quantiles must lie in [0, 1]")
@@ -42,14 +47,18 @@ def quantiles(df: DataFrame, col: str, qs: Sequence[float], exact: bool = False,
         arr = v.agg(F.percentile_approx("v", F.array(*[F.lit(q) for q in qs]), accuracy).alias("a"))
         qarr = F.array(*[F.lit(q) for q in qs])
         return arr.select(F.inline(F.arrays_zip(qarr.alias("quantile"), F.col("a").alias("value"))))
-    return _exact_quantiles(v, qs, accuracy, buckets)
+    return _exact_quantiles(v, qs, accuracy, bucket_rows)
 
 
-def _exact_quantiles(v: DataFrame, qs: list[float], accuracy: int, buckets: int) -> DataFrame:
+def _exact_quantiles(v: DataFrame, qs: list[float], accuracy: int, bucket_rows: int) -> DataFrame:
     spark = v.sparkSession
+    path = scratch_folder(spark, "quantiles")
+    v.write.parquet(path)
+    v = spark.read.parquet(path)
     n = v.count()
     if n == 0:
         return _empty(v)
+    buckets = min(100_000, max(1000, n // bucket_rows))
     fracs = [i / buckets for i in range(1, buckets)]
     cuts = v.agg(F.percentile_approx("v", F.array(*[F.lit(f) for f in fracs]), accuracy)).first()[0]
     splits = [-math.inf] + sorted(set(cuts)) + [math.inf]
@@ -83,14 +92,27 @@ def _exact_quantiles(v: DataFrame, qs: list[float], accuracy: int, buckets: int)
     hist = hist.withColumn("end", F.sum("c").over(w)).withColumn("start", F.col("end") - F.col("c"))
     # at most 2 * len(qs) rows: a fixed-size literal frame, safe to broadcast
     wdf = spark.createDataFrame(wanted, "q double, which string, b double, r long, frac double")
-    hit = F.broadcast(wdf).alias("w").join(
+    found = F.broadcast(wdf).alias("w").join(
         hist.alias("h"), (F.col("w.b") == F.col("h.b")) & (F.col("w.r") >= F.col("h.start"))
-        & (F.col("w.r") < F.col("h.end"))).select("w.q", "w.which", "w.frac", F.col("h.v").alias("v"))
-    lo = hit.filter(F.col("which") == "lo").alias("lo")
-    hi = hit.filter(F.col("which") == "hi").alias("hi")
-    return lo.join(hi, F.col("lo.q") == F.col("hi.q")).select(
-        F.col("lo.q").alias("quantile"),
-        (F.col("lo.v") + F.col("lo.frac") * (F.col("hi.v") - F.col("lo.v"))).alias("value"))
+        & (F.col("w.r") < F.col("h.end"))).select("w.q", "w.which", F.col("h.v").alias("v"))
+    hit = {(r["q"], r["which"]): r["v"] for r in found.collect()}  # two values per quantile
+    if lost := [(q, which) for q, which, *_ in wanted if (q, which) not in hit]:
+        raise RuntimeError(f"ranks not found in their buckets: {lost}")
+    rows = [(q, hit[q, "lo"] + frac * (hit[q, "hi"] - hit[q, "lo"])) for q, which, _, _, frac in wanted if which == "lo"]
+    return spark.createDataFrame(rows, _empty(v).schema)
+
+
+def rank_bounds(df: DataFrame, col: str, found: DataFrame) -> DataFrame:
+    """For rows (quantile, value): quantile, value and the ranks, as shares of
+    the rows, of the values below and up to ``value`` (one row each per quantile)."""
+    v = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    cuts = found.collect()  # one row per quantile
+    if not cuts:
+        return found.withColumns({"below": F.lit(0.0), "upto": F.lit(0.0)})
+    share = lambda cond: F.avg(F.when(cond, 1.0).otherwise(0.0))
+    each = v.select("v", F.explode(F.array(*[F.struct(F.lit(r["quantile"]).alias("quantile"), F.lit(r["value"]).alias("value")) for r in cuts])).alias("c"))
+    return each.groupBy(F.col("c.quantile").alias("quantile"), F.col("c.value").alias("value")).agg(
+        share(F.col("v") < F.col("c.value")).alias("below"), share(F.col("v") <= F.col("c.value")).alias("upto"))
 
 
 def item_weight_quantiles(signals: DataFrame, exact: bool = False, accuracy: int = 10000) -> DataFrame:

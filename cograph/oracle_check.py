@@ -52,6 +52,8 @@ def compare(spark_df, con, sql: str) -> tuple[bool, str]:
         return False, f"column types differ: {type_diff}"
     if len(s_rows) != len(d_rows):
         return False, f"row count spark={len(s_rows)} duck={len(d_rows)}"
+    if not s_rows:
+        return False, "no rows: nothing is compared"
     order = sorted(range(len(s_cols)), key=lambda i: s_cols[i])
     d_idx = {c: i for i, c in enumerate(d_cols)}
     cs = Counter(tuple(_norm(r[i]) for i in order) for r in s_rows)

@@ -30,7 +30,9 @@ def _with(ctes: list[str], select: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + select
 
 
-def _dbl(v: float) -> str:
+def _dbl(v: float | str) -> str:
+    if isinstance(v, str):  # an expression
+        return v
     return f"CAST({float(v)!r} AS DOUBLE)"
 
 
@@ -43,7 +45,7 @@ SIG_FX2 = ("sig AS (SELECT user_id AS \"user\", CAST(json_extract_string(props,
            "event_type AS signal_type, "
            "CASE WHEN event_type = 'purchase' THEN 3.0 ELSE 1.0 END::DOUBLE AS weight FROM events)")
 
-EVENTS_FX3 = """logs AS (SELECT CASE WHEN l_linenumber = 7 THEN NULL ELSE c_name END AS actor,
+EVENTS_FX3 = """logs AS (SELECT c_name AS actor,
        CASE WHEN c_custkey % 2 = 0 THEN md5(c_name) WHEN c_custkey % 3 = 0 THEN 'short' END AS gravatar_id,
        p_brand AS owner,
        CASE WHEN p_name = 'cold rod' THEN 'Spoon-Knife' ELSE p_name END AS name,
@@ -59,16 +61,16 @@ EVENTS_FX3 = """logs AS (SELECT CASE WHEN l_linenumber = 7 THEN NULL ELSE c_name
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
      JOIN customer ON c_custkey = o_custkey JOIN part ON p_partkey = l_partkey)"""
 
-META_FX4 = "meta AS (SELECT p_partkey AS item, p_brand AS metadata_field FROM part WHERE p_size <= 45)"
+META_FX4 = "meta AS (SELECT p_partkey AS item, p_brand AS metadata_field FROM part)"
 
 EXTRA_FX5 = ("extra AS (SELECT x.l_partkey AS item_A, y.l_partkey AS item_B, "
              "CASE WHEN x.l_discount >= 0.08 THEN -1.0 ELSE 2.0 END::DOUBLE AS weight "
              "FROM lineitem x JOIN lineitem y ON x.l_orderkey = y.l_orderkey "
-             "AND x.l_linenumber = 1 AND y.l_linenumber = 2 WHERE x.l_partkey <> y.l_partkey)")
+             "AND x.l_linenumber + 1 = y.l_linenumber WHERE x.l_partkey <> y.l_partkey)")
 
 SRC_FX6 = "src AS (SELECT p_partkey AS item FROM part WHERE p_size <= 40)"
 DST_FX6 = "dst AS (SELECT p_partkey AS item FROM part WHERE p_type <> 'ECONOMY')"
-NAMES_FX7 = ["inames AS (SELECT p_partkey AS id, p_name AS name FROM part WHERE p_size <= 45)",
+NAMES_FX7 = ["inames AS (SELECT p_partkey AS id, p_name AS name FROM part)",
              "unames AS (SELECT c_custkey AS id, c_name AS name FROM customer)"]
 
 
@@ -114,13 +116,14 @@ def g6(prior: float, boost: str) -> list[str]:
             f"l.weight AS raw_weight FROM links l JOIN iw w ON l.item_B = w.item)"]
 
 
-def g8() -> list[str]:
+def g8(missing: str = "zero") -> list[str]:
+    total = ("coalesce(w.overall_weight, 0.0) + coalesce(e.extra_weight, 0.0)" if missing == "zero"
+             else "w.overall_weight + e.extra_weight")
     return [
         "xsum AS (SELECT item_A AS item, sum(weight) AS extra_weight FROM extra GROUP BY item_A)",
-        "ciw AS (SELECT coalesce(w.item, e.item) AS item, "
-        "CASE WHEN coalesce(w.overall_weight, 0.0) + coalesce(e.extra_weight, 0.0) < 0 THEN 0.0 "
-        "ELSE coalesce(w.overall_weight, 0.0) + coalesce(e.extra_weight, 0.0) END::DOUBLE AS overall_weight "
-        "FROM iw w FULL OUTER JOIN xsum e ON w.item = e.item)",
+        f"ciw AS (SELECT coalesce(w.item, e.item) AS item, "
+        f"CASE WHEN {total} < 0 THEN 0.0 ELSE {total} END::DOUBLE AS overall_weight "
+        f"FROM iw w FULL OUTER JOIN xsum e ON w.item = e.item)",
         "clinks AS (SELECT * FROM (SELECT item_A, item_B, weight FROM links UNION ALL "
         "SELECT item_A, item_B, weight FROM extra) WHERE weight > 0)"]
 
@@ -264,13 +267,13 @@ def owner_div(src: str, name: str) -> list[str]:
         ORDER BY {_sk('weight')} DESC NULLS LAST, item_B ASC NULLS LAST) AS INTEGER) AS rank FROM {name}_o)"""]
 
 
-def channels(p: RecParams) -> list[str]:
+def channels(p: RecParams, prefer: str = "worst") -> list[str]:
     n = p.num_recs_per_user
     return (quality_graph(p) + v3(n, p.diversity_adjust, "contrib", "qgraph", "crecs")
             + v3(n, p.diversity_adjust, "interest", "qgraph", "irecs") + [
         """dedup AS (SELECT * FROM (SELECT "user", item, reason_item, rank, 1 AS channel FROM crecs UNION ALL
         SELECT "user", item, reason_item, rank, 2 AS channel FROM irecs) QUALIFY row_number() OVER
-        (PARTITION BY "user", item ORDER BY rank DESC NULLS LAST, channel ASC) = 1)""",
+        (PARTITION BY "user", item ORDER BY rank """ + ("DESC" if prefer == "worst" else "ASC") + """ NULLS LAST, channel ASC) = 1)""",
         """cflag AS (SELECT "user", item, -max(CASE WHEN mapped_from_fork = true THEN -1 ELSE 0 END) AS mapped_from_fork
         FROM contrib GROUP BY "user", item)""",
         """iflag AS (SELECT "user", item, -max(CASE WHEN mapped_from_fork = true THEN -1 ELSE 0 END) AS mapped_from_fork

@@ -8,13 +8,16 @@ Stage 4  stage outputs -> keyed serving tables (optionally date-stamped)
 
 Each stage reads the previous stage's *written* Parquet tables, which cuts
 the lineage: a lost executor only recomputes work of the current stage.
-With ``resume=True`` a stage whose outputs all carry ``_SUCCESS`` is skipped.
+With ``resume=True`` a stage whose outputs all carry ``_SUCCESS`` is skipped,
+as long as no earlier stage ran and parameters and input are the same.
 Paths should sit on shared storage (the cluster's checkpoint folder or any
 DFS path); nothing is written to machine-local folders.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +27,8 @@ from cograph.params import RecParams
 from cograph.plans import recommenders as R
 from cograph.sources import io as IO
 
+CANONICAL = "canonical-signals"  # both tracks before the split
+DEDUPED = "user-recs"  # both channels after the de-duplication
 STAGE1 = ["parsed-logs", "contrib-signals", "interest-signals", "item-metadata", "gravatar-ids", "fork-map"]
 STAGE2 = ["item-item-graph", "item-item-recs"]
 STAGE3 = ["user-contrib-recs", "user-interest-recs"]
@@ -46,40 +51,38 @@ def is_done(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def _all_done(spark: SparkSession, root: str, names: Sequence[str]) -> bool:
-    return all(is_done(spark, _path(root, n)) for n in names)
-
-
 def read_stage(spark: SparkSession, root: str, names: Sequence[str]) -> dict[str, DataFrame]:
     return {n: IO.read_table(spark, _path(root, n)) for n in names}
 
 
 def stage_parse(spark: SparkSession, logs: DataFrame, root: str,
                 p: RecParams = RecParams.application(), skip: Sequence[str] = ()) -> dict[str, DataFrame]:
-    """Stage 1.  parsed-logs is written first and the other five tables are
-    derived from the written copy, so the JSON is parsed once (S5).
-    ``skip`` leaves out tables a caller does not need (gravatar-ids)."""
-    IO.write_table(E.parse_events(logs), _path(root, "parsed-logs"), "item")
+    """Stage 1.  parsed-logs, fork-map and the canonical signals are written
+    first and everything else is derived from the written copies, so the JSON is
+    parsed once and the fork join runs once (S5).  ``skip`` leaves out tables a
+    caller does not need; signal tracks that are left out are returned as
+    filters of the canonical signals."""
+    IO.write_table(E.parse_events(logs), _path(root, "parsed-logs"))
     parsed = IO.read_table(spark, _path(root, "parsed-logs"))
-    fm = E.fork_map(parsed)
-    IO.write_table(fm, _path(root, "fork-map"))
-    fm = IO.read_table(spark, _path(root, "fork-map"))
-    sig = E.canonical_signals(parsed, fm)
-    IO.write_table(E.contrib_signals(sig), _path(root, "contrib-signals"), "user")
-    IO.write_table(E.interest_signals(sig), _path(root, "interest-signals"), "user")
-    contrib = IO.read_table(spark, _path(root, "contrib-signals"))
-    IO.write_table(E.item_quality(contrib, E.latest_metadata(parsed), p.max_activity_considered),
+    IO.write_table(E.fork_map(parsed), _path(root, "fork-map"))
+    IO.write_table(E.canonical_signals(parsed, IO.read_table(spark, _path(root, "fork-map"))), _path(root, CANONICAL))
+    sig = IO.read_table(spark, _path(root, CANONICAL))
+    tracks = {"contrib-signals": E.contrib_signals(sig), "interest-signals": E.interest_signals(sig)}
+    for name, track in tracks.items():
+        if name not in skip:
+            IO.write_table(track, _path(root, name))
+    IO.write_table(E.item_quality(tracks["contrib-signals"], E.latest_metadata(parsed), p.max_activity_considered),
                    _path(root, "item-metadata"), "item")
     if "gravatar-ids" not in skip:
         IO.write_table(E.latest_gravatars(parsed), _path(root, "gravatar-ids"), "user")
-    return read_stage(spark, root, [n for n in STAGE1 if n not in skip])
+    return tracks | read_stage(spark, root, [n for n in STAGE1 if n not in skip])
 
 
 def stage_item_graph(spark: SparkSession, root: str, p: RecParams = RecParams.application(),
-                     skip: Sequence[str] = ()) -> dict[str, DataFrame]:
+                     skip: Sequence[str] = (), tables: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """Stage 2: quality-weighted, owner-diversified item graph and its output
-    rows (``skip`` may leave out item-item-recs)."""
-    t = read_stage(spark, root, ["interest-signals", "item-metadata"])
+    rows (``skip`` may leave out item-item-recs; ``tables`` are stage 1's, if at hand)."""
+    t = tables or read_stage(spark, root, ["interest-signals", "item-metadata"])
     graph = R.quality_item_graph(t["interest-signals"], t["item-metadata"], p)
     IO.write_table(graph, _path(root, "item-item-graph"), "item_A")
     graph = IO.read_table(spark, _path(root, "item-item-graph"))
@@ -91,12 +94,15 @@ def stage_item_graph(spark: SparkSession, root: str, p: RecParams = RecParams.ap
 
 def stage_user_recs(spark: SparkSession, root: str, p: RecParams = RecParams.application(),
                     prefer: str = "worst") -> dict[str, DataFrame]:
-    """Stage 3: two-channel user recommendations."""
+    """Stage 3: two-channel user recommendations; both channels are computed
+    together, written once and then split."""
     t = read_stage(spark, root, ["contrib-signals", "interest-signals", "item-metadata", "item-item-graph"])
-    c, i = R.channel_recs(t["contrib-signals"], t["interest-signals"], t["item-item-graph"],
-                          t["item-metadata"], p, prefer)
-    IO.write_table(c, _path(root, "user-contrib-recs"), "user", ["user", "rank"])
-    IO.write_table(i, _path(root, "user-interest-recs"), "user", ["user", "rank"])
+    signals = R.both_channels(t["contrib-signals"], t["interest-signals"])
+    IO.write_table(R.channel_outputs(R.deduped_channels(signals, t["item-item-graph"], p, prefer), signals, t["item-metadata"]),
+                   _path(root, DEDUPED), "user")
+    both = IO.read_table(spark, _path(root, DEDUPED))
+    for channel, name in enumerate(STAGE3, 1):
+        IO.write_table(both.filter(both["channel"] == channel).drop("channel"), _path(root, name), "user", ["user", "rank"])
     return read_stage(spark, root, STAGE3)
 
 
@@ -120,24 +126,51 @@ def stage_serving(spark: SparkSession, root: str, serving_root: str,
     return out
 
 
+RUN = "_run"  # what the stage tables below a root were made with
+
+
+def _same_run(spark: SparkSession, root: str, run: str) -> bool:
+    path = _path(root, RUN)
+    return is_done(spark, path) and [r[0] for r in spark.read.parquet(path).collect()] == [run]
+
+
+def _input_mark(logs: DataFrame) -> str:
+    """Tells inputs apart: a digest of the plan and of the names of the files read."""
+    plan = re.sub(r"#[0-9]+L?", "", logs._jdf.queryExecution().analyzed().toString())
+    return hashlib.sha1("\n".join([plan, *sorted(logs.inputFiles())]).encode()).hexdigest()
+
+
+def _unmark(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, False)
+
+
 def run_pipeline(spark: SparkSession, event_logs: DataFrame | Sequence[str] | str, root: str,
                  p: RecParams = RecParams.application(), resume: bool = True,
-                 snapshot: str | None = None, serving_root: str | None = None) -> list[str]:
-    """Run the four stages; returns the names of the stages that did work."""
-    ran = []
+                 snapshot: str | None = None, serving_root: str | None = None, prefer: str = "worst") -> list[str]:
+    """Run the four stages; returns the names of the stages that did work.
+
+    With ``resume`` a stage whose outputs are complete is skipped, unless an
+    earlier stage ran, or the tables were made with other parameters or another
+    input: parameters, ``prefer`` and a digest of the input's plan and file names
+    are kept beside the tables."""
+    logs = event_logs if isinstance(event_logs, DataFrame) else IO.read_event_logs(spark, event_logs)
+    run = f"{p!r} prefer={prefer!r} input={_input_mark(logs)}"
     serving_root = serving_root or _path(root, "serving")
-    if not (resume and _all_done(spark, root, STAGE1)):
-        logs = event_logs if isinstance(event_logs, DataFrame) else IO.read_event_logs(spark, event_logs)
-        stage_parse(spark, logs, root, p)
-        ran.append("parse")
-    if not (resume and _all_done(spark, root, STAGE2)):
-        stage_item_graph(spark, root, p)
-        ran.append("item_graph")
-    if not (resume and _all_done(spark, root, STAGE3)):
-        stage_user_recs(spark, root, p)
-        ran.append("user_recs")
-    names = [n + (f"_{snapshot}" if snapshot else "") for n in SERVING]
-    if not (resume and _all_done(spark, serving_root, names)):
-        stage_serving(spark, root, serving_root, snapshot)
-        ran.append("serving")
-    return ran
+    served = [n + (f"_{snapshot}" if snapshot else "") for n in SERVING]
+    stages = [
+        ("parse", [_path(root, n) for n in (*STAGE1, CANONICAL)], lambda: stage_parse(spark, logs, root, p)),
+        ("item_graph", [_path(root, n) for n in STAGE2], lambda: stage_item_graph(spark, root, p)),
+        ("user_recs", [_path(root, n) for n in (*STAGE3, DEDUPED)], lambda: stage_user_recs(spark, root, p, prefer)),
+        ("serving", [_path(serving_root, n) for n in served], lambda: stage_serving(spark, root, serving_root, snapshot))]
+    first = 0
+    if resume and _same_run(spark, root, run):
+        first = next((i for i, (_, paths, _) in enumerate(stages) if not all(is_done(spark, x) for x in paths)), len(stages))
+    for _, paths, _ in stages[first:]:  # nothing from here on counts as done any more, should this run break off
+        for x in paths:
+            _unmark(spark, x)
+    if first == 0:
+        IO.write_table(spark.createDataFrame([(run,)], "run string"), _path(root, RUN))
+    for _, _, work in stages[first:]:
+        work()
+    return [name for name, _, _ in stages[first:]]

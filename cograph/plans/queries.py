@@ -8,14 +8,13 @@ sums does not count as a difference and small values stay visible.
 
 from __future__ import annotations
 
-import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cograph.functions.scale import SHOWN_BITS, logistic_inverse, logistic_scale, significant
+from cograph.functions.scale import SHOWN_BITS, fit_logistic_param, logistic_inverse, logistic_scale, significant
 from cograph.operators import detailed as D
 from cograph.operators import events as E
 from cograph.operators import graph as G
@@ -27,10 +26,10 @@ from cograph.plans import oracle_sql as Q
 from cograph.plans import pipeline as P
 from cograph.plans import recommenders as R
 from cograph.plans.settings import (BOT_THRESHOLD, FX1, FX2, FX3, N2_NHOOD, N2_RECS, N4_NHOOD, QUALITY_Q,
-                                    QUALITY_Y, SELECT_ITEMS, TOP_K_QUERY)
+                                    QUALITY_Y, SELECT_ITEMS, TOP_K_QUERY, fx2)
 from cograph.sources import io as IO
 from cograph.sources import testdata as TD
-from cograph.session import scratch_dir
+from cograph.session import scratch_folder
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -61,6 +60,7 @@ def _sel(cols: list[str], src: str, doubles: tuple[str, ...] = ()) -> str:
     return f"SELECT {', '.join(out)} FROM {src}"
 
 
+APPROX_ACCURACY = 1000
 U_ = '"user"'
 REC_COLS = ["item_A", "item_B", "weight", "raw_weight", "rank"]
 UREC_COLS = [U_, "item", "weight", "reason_item", "user_reason_item_weight", "item_reason_item_weight", "rank"]
@@ -218,6 +218,15 @@ def q_rec_add_item_item(spark, d):
     return R.item_item_recs_add_item_item(_fx1(spark, d), TD.item_item_signals_fx5(spark, d), FX1)
 
 
+@query("rec_add_item_item_null", Q._with(
+    _G4_1 + [Q.EXTRA_FX5] + Q.g8("null") + Q.g5(FX1.prior, "clinks", "ciw")
+    + Q.n2(FX1.initial_nhood_size, FX1.num_recs_per_item),
+    _sel(REC_COLS, "recs", ("weight", "raw_weight")) + " WHERE raw_weight IS NOT NULL AND weight IS NOT NULL"))
+def q_rec_add_item_item_null(spark, d):
+    """E4 as the reference's code behaves: an item missing on one side has no popularity."""
+    return R.item_item_recs_add_item_item(_fx1(spark, d), TD.item_item_signals_fx5(spark, d), FX1, missing="null")
+
+
 _RECS_1 = _G4_1 + Q.g5(FX1.prior) + Q.n2(FX1.initial_nhood_size, FX1.num_recs_per_item)
 
 
@@ -247,9 +256,15 @@ def q_item_weight_quantiles(spark, d):
     return S.item_weight_quantiles(_fx1(spark, d), exact=True)
 
 
-@query("item_weight_quantiles_approx")
+@query("item_weight_quantiles_approx",
+       f"SELECT unnest(CAST({S.TWENTY_ONE!r} AS DOUBLE[])) AS quantile, true AS within_bound")
 def q_item_weight_quantiles_approx(spark, d):
-    return S.item_weight_quantiles(_fx1(spark, d), exact=False)
+    """The default mode's promise: each value's rank is within n / accuracy of the wanted one."""
+    found = S.item_weight_quantiles(_fx1(spark, d), exact=False, accuracy=APPROX_ACCURACY)
+    weights = _fx1(spark, d).groupBy("item").agg(F.sum("weight").alias("weight"))
+    eps = 1 / APPROX_ACCURACY + 1e-9
+    return S.rank_bounds(weights, "weight", found).select("quantile", (
+        (F.col("quantile") >= F.col("below") - eps) & (F.col("quantile") <= F.col("upto") + eps)).alias("within_bound"))
 
 
 @query("item_rec_names", Q._with(
@@ -289,7 +304,7 @@ def q_logistic_round_trip(spark, d):
 
 @query("delimited_scan", Q._with([Q.SIG_FX1], _sel([U_, "item", "weight"], "sig", ("weight",))))
 def q_delimited_scan(spark, d):
-    path = f"{scratch_dir(spark)}/delimited_scan/{uuid.uuid4().hex}"
+    path = scratch_folder(spark, "delimited-scan")
     IO.write_delimited(_fx1(spark, d), path)
     return IO.read_delimited(spark, path, IO.SIGNAL_SCHEMA)
 
@@ -299,9 +314,13 @@ def _fx2(spark, d):
     return TD.typed_signals_fx2(spark, d)
 
 
+def _p2(spark, d):
+    return fx2(TD.table(spark, d, "events").count())
+
+
 def _detailed2(spark, d):
-    return D.build_item_item_graph_detailed(_fx2(spark, d), FX2.logistic_param, FX2.min_link_weight,
-                                            FX2.max_links_per_user)
+    p = _p2(spark, d)
+    return D.build_item_item_graph_detailed(_fx2(spark, d), p.logistic_param, p.min_link_weight, p.max_links_per_user)
 
 
 _G12 = [Q.SIG_FX2] + Q.g12(FX2)
@@ -364,7 +383,7 @@ def q_detailed_two_hop(spark, d):
 @query("rec_detailed", Q._with(_G12 + Q.g5(FX2.prior) + Q.n5_long(FX2.initial_nhood_size, FX2.num_recs_per_item),
                                _sel(_DET_COLS, "recs_long", ("weight", "raw_weight"))))
 def q_rec_detailed(spark, d):
-    return _detailed_long(R.item_item_recs_detailed(_fx2(spark, d), FX2))
+    return _detailed_long(R.item_item_recs_detailed(_fx2(spark, d), _p2(spark, d)))
 
 
 @query("remove_bots", Q._with(
@@ -385,11 +404,13 @@ def q_select_signals(spark, d):
 
 
 # ============================================================================ FX3 family
-def _events(spark, d):
+UNUSED = ["gravatar-ids", "contrib-signals", "interest-signals"]  # the tracks are filters of the canonical signals
+
+
+def _events(spark, d, root=None):
     """Stage-1 tables of the FX3 event log, written once per query into the
     shared scratch folder and read back (lineage cut, no recomputation)."""
-    root = f"{scratch_dir(spark)}/fx3/{uuid.uuid4().hex}"
-    return P.stage_parse(spark, TD.event_log_fx3(spark, d), root, FX3, skip=["gravatar-ids"])
+    return P.stage_parse(spark, TD.event_log_fx3(spark, d), root or scratch_folder(spark, "fx3"), FX3, skip=UNUSED)
 
 
 def _lazy_events(spark, d):
@@ -398,10 +419,9 @@ def _lazy_events(spark, d):
 
 
 def _stage2(spark, d):
-    root = f"{scratch_dir(spark)}/fx3/{uuid.uuid4().hex}"
-    P.stage_parse(spark, TD.event_log_fx3(spark, d), root, FX3, skip=["gravatar-ids"])
-    P.stage_item_graph(spark, root, FX3, skip=["item-item-recs"])
-    return root
+    root = scratch_folder(spark, "fx3")
+    tables = _events(spark, d, root)
+    return tables | P.stage_item_graph(spark, root, FX3, skip=["item-item-recs"], tables=tables)
 
 
 _EV = Q.events_all(FX3.max_activity_considered)
@@ -417,7 +437,7 @@ _JSON_COLS = ["actor", "gravatar_id", "owner", "name", "fork", "language", "desc
 def q_json_scan(spark, d):
     """The event log written as JSON lines in two folders and scanned
     back with the nested schema; nested fields are read by path (P12)."""
-    root = f"{scratch_dir(spark)}/json_scan/{uuid.uuid4().hex}"
+    root = scratch_folder(spark, "json-scan")
     logs = TD.event_log_fx3(spark, d)
     forks = F.col("repository.fork") == "true"
     logs.filter(forks).write.mode("overwrite").json(f"{root}/a")
@@ -471,8 +491,8 @@ def q_interest_signals(spark, d):
                                     "UNION ALL SELECT \"user\", item, weight, mapped_from_fork, 'interest' AS track "
                                     "FROM interest"))
 def q_split_signals(spark, d):
-    """P6 + P7: one SPLIT of the canonical signals into the two tracks."""
-    ev = _lazy_events(spark, d)
+    """P6 + P7: one SPLIT of the canonical signals, written once, into the two tracks."""
+    ev = _events(spark, d)
     return (ev["contrib-signals"].withColumn("track", F.lit("contrib"))
             .unionByName(ev["interest-signals"].withColumn("track", F.lit("interest"))))
 
@@ -489,7 +509,6 @@ def q_item_quality(spark, d):
     _EV, f"SELECT {_s('v')} AS quantile_value, {_s(f'(ln((1 + {QUALITY_Y!r}) / (1 - {QUALITY_Y!r})) / v)')} "
          f"AS logistic_param FROM (SELECT quantile_cont(quality_score, {QUALITY_Q!r}) AS v FROM quality)"))
 def q_fit_logistic(spark, d):
-    from cograph.functions.scale import fit_logistic_param
     return fit_logistic_param(_lazy_events(spark, d)["item-metadata"], "quality_score", QUALITY_Q, QUALITY_Y, exact=True)
 
 
@@ -539,20 +558,20 @@ _IRO = ("SELECT g.item_A AS item, g.rank, g.item_B AS rec, m.language, m.num_for
 
 @query("item_recs_output", Q._with(_QG, _IRO))
 def q_item_recs_output(spark, d):
-    return R.item_recs_output(_qgraph(spark, d), _events(spark, d)["item-metadata"])
+    ev = _events(spark, d)
+    return R.item_recs_output(R.quality_item_graph(ev["interest-signals"], ev["item-metadata"], FX3), ev["item-metadata"])
 
 
 @query("serving_item_recs", Q._with(
     _QG, "SELECT item AS repo_lowered, rank, rec, language AS lang, num_forks AS forks, num_stars AS stars, "
          f"description FROM ({_IRO})"))
 def q_serving_item_recs(spark, d):
-    return IO.serving_item_recs(R.item_recs_output(_qgraph(spark, d), _events(spark, d)["item-metadata"]))
+    return IO.serving_item_recs(q_item_recs_output(spark, d))
 
 
 def _channels(spark, d):
-    root = _stage2(spark, d)
-    t = P.read_stage(spark, root, ["contrib-signals", "interest-signals", "item-metadata", "item-item-graph"])
-    return t, t["item-item-graph"]
+    t = _stage2(spark, d)
+    return t, R.both_channels(t["contrib-signals"], t["interest-signals"]), t["item-item-graph"]
 
 
 _CH = _EV + Q.channels(FX3)
@@ -560,18 +579,14 @@ _CH = _EV + Q.channels(FX3)
 
 @query("channel_dedupe", Q._with(_CH, "SELECT \"user\", item, reason_item, rank, channel FROM dedup"))
 def q_channel_dedupe(spark, d):
-    ev, g = _channels(spark, d)
-    c = U.build_user_recs(ev["contrib-signals"], g, FX3.num_recs_per_user, FX3.diversity_adjust)
-    i = U.build_user_recs(ev["interest-signals"], g, FX3.num_recs_per_user, FX3.diversity_adjust)
-    return U.channel_dedupe(c, i)
+    _, signals, g = _channels(spark, d)
+    return R.deduped_channels(signals, g, FX3)
 
 
 @query("recs_fork_flag", Q._with(_CH, "SELECT \"user\", item, reason_item, old_rank, mapped_from_fork FROM iff"))
 def q_recs_fork_flag(spark, d):
-    ev, g = _channels(spark, d)
-    c = U.build_user_recs(ev["contrib-signals"], g, FX3.num_recs_per_user, FX3.diversity_adjust)
-    i = U.build_user_recs(ev["interest-signals"], g, FX3.num_recs_per_user, FX3.diversity_adjust)
-    return U.recs_with_fork_flag(U.split_channel(U.channel_dedupe(c, i), 2), ev["interest-signals"])
+    ev, signals, g = _channels(spark, d)
+    return U.recs_with_fork_flag(U.split_channel(R.deduped_channels(signals, g, FX3), 2), ev["interest-signals"])
 
 
 _OUT_COLS = [U_, "rank", "item", "reason_item", "mapped_from_fork", "num_forks", "num_stars", "language",
@@ -580,23 +595,36 @@ _OUT_COLS = [U_, "rank", "item", "reason_item", "mapped_from_fork", "num_forks",
 
 @query("user_recs_output", Q._with(_CH, f"SELECT {', '.join(_OUT_COLS)} FROM cout"))
 def q_user_recs_output(spark, d):
-    ev, g = _channels(spark, d)
+    ev, _, g = _channels(spark, d)
     return R.channel_recs(ev["contrib-signals"], ev["interest-signals"], g, ev["item-metadata"], FX3)[0]
 
 
 @query("rec_channels", Q._with(_CH, f"SELECT {', '.join(_OUT_COLS)}, 1 AS channel FROM cout UNION ALL "
                                     f"SELECT {', '.join(_OUT_COLS)}, 2 AS channel FROM iout"))
 def q_rec_channels(spark, d):
-    ev, g = _channels(spark, d)
-    c, i = R.channel_recs(ev["contrib-signals"], ev["interest-signals"], g, ev["item-metadata"], FX3)
-    return c.withColumn("channel", F.lit(1)).unionByName(i.withColumn("channel", F.lit(2)))
+    return _rec_channels(spark, d, "worst")
+
+
+def _rec_channels(spark, d, prefer):
+    ev, signals, g = _channels(spark, d)
+    return R.channel_outputs(R.deduped_channels(signals, g, FX3, prefer), signals, ev["item-metadata"])
+
+
+_CH_BEST = _EV + Q.channels(FX3, "best")
+
+
+@query("rec_channels_best", Q._with(_CH_BEST, f"SELECT {', '.join(_OUT_COLS)}, 1 AS channel FROM cout UNION ALL "
+                                              f"SELECT {', '.join(_OUT_COLS)}, 2 AS channel FROM iout"))
+def q_rec_channels_best(spark, d):
+    """V4 as its comment in the application describes it: the better rank stays."""
+    return _rec_channels(spark, d, "best")
 
 
 @query("serving_user_recs", Q._with(
     _CH, "SELECT \"user\" AS user_lowered, rank, item AS rec, reason_item AS reason, mapped_from_fork AS reason_flag, "
          "num_forks AS forks, num_stars AS stars, language AS lang, description FROM iout"))
 def q_serving_user_recs(spark, d):
-    ev, g = _channels(spark, d)
+    ev, _, g = _channels(spark, d)
     return IO.serving_user_recs(
         R.channel_recs(ev["contrib-signals"], ev["interest-signals"], g, ev["item-metadata"], FX3)[1])
 
@@ -604,3 +632,49 @@ def q_serving_user_recs(spark, d):
 @query("serving_gravatars", Q._with(_EV, "SELECT DISTINCT \"user\", gravatar_id AS gravatar FROM grav"))
 def q_serving_gravatars(spark, d):
     return IO.serving_gravatars(_lazy_events(spark, d)["gravatar-ids"])
+
+
+_META_COLS = ["item", "popularity", "num_forks", "num_stars", "language", "description"]
+
+
+@query("delimited_metadata", Q._with(
+    _EV, "SELECT item, popularity, num_forks, num_stars, chr(9) || language || chr(10) AS language, "
+         "'\"' || description || chr(13) || chr(10) || ' ' AS description, num_forks > num_stars AS flag, "
+         "CASE WHEN num_forks % 2 = 0 THEN '' END AS empty FROM imeta"))
+def q_delimited_metadata(spark, d):
+    """S3/S4 on a table of strings, numbers and booleans: tabs, quotes, line
+    breaks, blanks, empty strings and nulls survive the round trip."""
+    meta = E.latest_metadata(E.parse_events(TD.event_log_fx3(spark, d))).select(
+        "item", "popularity", "num_forks", "num_stars", F.concat(F.lit("\t"), "language", F.lit("\n")).alias("language"),
+        F.concat(F.lit('"'), "description", F.lit("\r\n ")).alias("description"),
+        (F.col("num_forks") > F.col("num_stars")).alias("flag"), F.when(F.col("num_forks") % 2 == 0, "").alias("empty"))
+    path = scratch_folder(spark, "delimited-metadata")
+    IO.write_delimited(meta, path)
+    return IO.read_delimited(spark, path, meta.schema)
+
+
+_SERVED = ["serving", "hash_key", "range_key", "value", "reason", "flag"]
+_SERVED_SQL = (
+    "SELECT 'gravatars' AS serving, \"user\" AS hash_key, NULL::INTEGER AS range_key, gravatar_id AS value, NULL::VARCHAR AS reason, NULL::INTEGER AS flag FROM grav "
+    f"UNION ALL SELECT 'item-recs', item, rank, rec, NULL, NULL FROM ({_IRO}) "
+    "UNION ALL SELECT 'user-contrib-recs', \"user\", rank, item, reason_item, mapped_from_fork FROM cout "
+    "UNION ALL SELECT 'user-interest-recs', \"user\", rank, item, reason_item, mapped_from_fork FROM iout")
+
+
+@query("staged_serving", Q._with(_CH, _SERVED_SQL))
+def q_staged_serving(spark, d):
+    """The event log as JSON files, the four stages, keys checked, the
+    dated serving tables written and read back."""
+    root = scratch_folder(spark, "staged")
+    TD.event_log_fx3(spark, d).write.json(f"{root}/logs")
+    P.run_pipeline(spark, f"{root}/logs", f"{root}/tables", FX3, snapshot="2014-01-01")
+    columns = {"gravatars": ("user", None, "gravatar", None, None), "item-recs": ("repo_lowered", "rank", "rec", None, None)}
+    out = None
+    for name in P.SERVING:
+        h, r, v, reason, flag = columns.get(name, ("user_lowered", "rank", "rec", "reason", "reason_flag"))
+        pick = lambda c, kind: (F.col(c) if c else F.lit(None)).cast(kind)
+        rows = IO.read_table(spark, f"{root}/tables/serving/{name}_2014-01-01").select(
+            F.lit(name).alias("serving"), pick(h, "string").alias("hash_key"), pick(r, "int").alias("range_key"), pick(v, "string").alias("value"),
+            pick(reason, "string").alias("reason"), pick(flag, "int").alias("flag"))
+        out = rows if out is None else out.unionByName(rows)
+    return out

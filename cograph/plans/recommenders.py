@@ -106,17 +106,32 @@ def item_recs_output(item_graph: DataFrame, item_metadata: DataFrame) -> DataFra
     return out.repartition("item").sortWithinPartitions("item", "rank")
 
 
+def both_channels(contrib_signals: DataFrame, interest_signals: DataFrame) -> DataFrame:
+    """Signals of both tracks with their channel number, 1 and 2."""
+    return contrib_signals.withColumn("channel", F.lit(1)).unionByName(interest_signals.withColumn("channel", F.lit(2)))
+
+
+def deduped_channels(signals: DataFrame, item_graph: DataFrame, p: RecParams = RecParams.application(),
+                     prefer: str = "worst") -> DataFrame:
+    """E9, first part: V3 for both channels in one pass, then V4.
+    ``signals`` have a channel column (see `both_channels`)."""
+    recs = U.build_user_recs(signals, item_graph, p.num_recs_per_user, p.diversity_adjust, by=["channel"])
+    return U.dedupe_channels(recs, prefer)
+
+
+def channel_outputs(deduped: DataFrame, signals: DataFrame, item_metadata: DataFrame) -> DataFrame:
+    """E9, second part: V5 -> V6 for both channels; channel and the output columns."""
+    return U.postprocess_recs(U.recs_with_fork_flag(deduped, signals, by=["channel"]), item_metadata, by=["channel"])
+
+
 def channel_recs(contrib_signals: DataFrame, interest_signals: DataFrame, item_graph: DataFrame,
                  item_metadata: DataFrame, p: RecParams = RecParams.application(),
                  prefer: str = "worst") -> tuple[DataFrame, DataFrame]:
-    """Two channels of user recs (contributions, interests): V3 x 2 -> V4
-    -> V5 -> V6.  Returns (contrib_recs, interest_recs) with columns user,
-    rank, item, reason_item, mapped_from_fork, num_forks, num_stars, language,
-    description."""
-    n, div = p.num_recs_per_user, p.diversity_adjust
-    c = U.build_user_recs(contrib_signals, item_graph, n, div)
-    i = U.build_user_recs(interest_signals, item_graph, n, div)
-    both = U.channel_dedupe(c, i, prefer)
-    c2 = U.recs_with_fork_flag(U.split_channel(both, 1), contrib_signals)
-    i2 = U.recs_with_fork_flag(U.split_channel(both, 2), interest_signals)
-    return U.postprocess_recs(c2, item_metadata), U.postprocess_recs(i2, item_metadata)
+    """Two channels of user recs (contributions, interests): V3 -> V4 -> V5
+    -> V6, both channels in one plan.  Returns (contrib_recs, interest_recs)
+    with columns user, rank, item, reason_item, mapped_from_fork, num_forks,
+    num_stars, language, description; a caller that wants both writes
+    `channel_outputs` once and splits what it wrote."""
+    signals = both_channels(contrib_signals, interest_signals)
+    both = channel_outputs(deduped_channels(signals, item_graph, p, prefer), signals, item_metadata)
+    return U.split_channel(both, 1), U.split_channel(both, 2)

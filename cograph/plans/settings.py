@@ -6,9 +6,16 @@ from cograph.params import RecParams
 FX1 = RecParams(logistic_param=1.0, min_link_weight=1.0, prior=4.0, max_links_per_user=100,
                 num_recs_per_item=20, initial_nhood_size=20, num_recs_per_user=10,
                 diversity_adjust=False)
-# FX2 (typed event signals): every pair of its 100 items is linked with sums
-# 9.5..28.9, so the threshold is 15.
-FX2 = FX1.with_(min_link_weight=15.0)
+# FX2 (typed event signals): every pair of its 100 items is linked, and the sums
+# grow with the table, so the threshold is a share of its rows: about the median link.
+FX2_LINK_SHARE = 0.00189
+FX2 = FX1.with_(min_link_weight=f"(SELECT count(*) * CAST({FX2_LINK_SHARE!r} AS DOUBLE) FROM events)")  # as the SQL twins see it
+
+
+def fx2(rows: int) -> RecParams:
+    return FX2.with_(min_link_weight=rows * FX2_LINK_SHARE)
+
+
 # FX3 (event log): the application's own parameters.
 FX3 = RecParams.application()
 

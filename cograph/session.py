@@ -3,7 +3,10 @@ shared scratch folder (``spark.checkpoint.dir``)."""
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -36,13 +39,37 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8, app: str =
 
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (the checkpoint
-    folder of the SparkContext).  Only where the session has none (local
-    tests) is a private temporary folder set, through ``setCheckpointDir``;
-    ``spark.checkpoint.dir`` itself cannot be changed on a running session."""
+    folder of the SparkContext).  A local session without one, as in tests, gets
+    a private temporary folder; on a cluster that would be invisible to the
+    executors and is an error."""
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="cograph-ckpt-"))
         d = sc.getCheckpointDir()
     d = str(d)
     return d[len("file:"):] if d.startswith("file:") and not d.startswith("file://") else d
+
+
+_made: list[tuple] = []
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for intermediate tables below the shared folder.  Results may
+    be read lazily at any time, so it is removed when the driver ends."""
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _made:
+        atexit.register(_remove_scratch)
+    _made.append((spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), path))
+    return path
+
+
+def _remove_scratch() -> None:
+    for jvm, conf, path in _made:
+        try:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+        except Exception:  # noqa: BLE001 - the JVM may have ended before
+            return

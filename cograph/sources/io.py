@@ -27,6 +27,11 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("created_at", T.StringType()),
 ])
 
+# one convention for writing and reading delimited files: spaces, line breaks and empty strings survive
+QUOTING = {"quoteAll": "true", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\\N", "lineSep": "\n",
+           "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+# Fixed names: the fields of the event log above and of the serving tables below are the input and output format.
 SIGNAL_SCHEMA = T.StructType([
     T.StructField("user", T.LongType()), T.StructField("item", T.LongType()),
     T.StructField("weight", T.DoubleType())])
@@ -44,13 +49,15 @@ def read_event_logs(spark: SparkSession, paths: Sequence[str] | str) -> DataFram
 
 # ----------------------------------------------------------------------------- S3, S4
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = "\t") -> DataFrame:
-    """S3: delimited text bound by position to ``schema`` (no header, no inference)."""
-    return spark.read.schema(schema).option("sep", sep).option("header", "false").csv(path)
+    """S3: delimited text bound by position to ``schema`` (no header, no
+    inference).  Quoted values may hold separators, quotes and line breaks."""
+    return spark.read.schema(schema).options(sep=sep, header="false", **QUOTING, multiLine="true").csv(path)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = "\t") -> None:
-    """Delimited sink; the target is replaced (overwrite)."""
-    df.write.mode("overwrite").option("sep", sep).option("header", "false").csv(path)
+    """Delimited sink; the target is replaced (overwrite).  Strings are
+    quoted, an empty one is told from a null, quotes are doubled."""
+    df.write.mode("overwrite").options(sep=sep, header="false", **QUOTING).csv(path)
 
 
 def write_table(df: DataFrame, path: str, key: str | None = None,

@@ -1,6 +1,6 @@
 """Views that map the supplied TPC-H-like tables onto the reference's inputs
 (FIXTURES.md: FX1-FX7).  Every view is a lazy DataFrame over the whole tables,
-so its work grows with them; DuckDB twins live in ``cograph.sources.testdata_sql``.
+so its work grows with them; their DuckDB twins are in ``cograph.plans.oracle_sql``.
 """
 
 from __future__ import annotations
@@ -50,7 +50,7 @@ def event_log_fx3(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(F.col("l_linestatus") == "O", "WatchEvent")
              .otherwise("IssuesEvent"))
     return j.select(
-        F.when(F.col("l_linenumber") == 7, F.lit(None)).otherwise(F.col("c_name")).alias("actor"),
+        F.col("c_name").alias("actor"),
         F.struct(
             F.when(F.col("c_custkey") % 2 == 0, F.md5("c_name"))
             .when(F.col("c_custkey") % 3 == 0, F.lit("short")).alias("gravatar_id"),
@@ -72,18 +72,18 @@ def event_log_fx3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_metadata_fx4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FX4 (item, metadata_field) = (part, brand) for parts of size <= 45."""
-    return table(spark, sf_dir, "part").filter(F.col("p_size") <= 45).select(
+    """FX4 (item, metadata_field) = (part, brand)."""
+    return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("item"), F.col("p_brand").alias("metadata_field"))
 
 
 def item_item_signals_fx5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FX5 extra item-item signals: line 1 -> line 2 of each order, negative
-    for a high discount on line 1."""
+    """FX5 extra item-item signals: each line of an order -> the next one,
+    negative for a high discount on the first of the two."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_discount")
-    x = li.filter(F.col("l_linenumber") == 1).alias("x")
-    y = li.filter(F.col("l_linenumber") == 2).alias("y")
-    return x.join(y, F.col("x.l_orderkey") == F.col("y.l_orderkey")).filter(
+    x, y = li.alias("x"), li.alias("y")
+    return x.join(y, (F.col("x.l_orderkey") == F.col("y.l_orderkey"))
+                  & (F.col("x.l_linenumber") + 1 == F.col("y.l_linenumber"))).filter(
         F.col("x.l_partkey") != F.col("y.l_partkey")).select(
         F.col("x.l_partkey").alias("item_A"), F.col("y.l_partkey").alias("item_B"),
         F.when(F.col("x.l_discount") >= 0.08, F.lit(-1.0)).otherwise(F.lit(2.0)).alias("weight"))
@@ -100,8 +100,8 @@ def dest_items_fx6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def item_names_fx7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FX7 item names; parts larger than 45 have none (tests the fall-backs)."""
-    return table(spark, sf_dir, "part").filter(F.col("p_size") <= 45).select(
+    """FX7 item names."""
+    return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
 
 
