@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cograph.functions.skew import salted_join
 from cograph.llm.common import scratch_table, shuffle_partitions, small_batches
-from cograph.session import scratch_dir
+from cograph.session import scratch_folder
 
 # fixed values of the format
 VERSION = b"WARC/1.1"
@@ -231,4 +231,4 @@ def read_archive(manifest: DataFrame, out_dir: str, payloads: bool = True) -> Da
 
 def archive_folder(spark) -> str:
     """A new folder below the shared checkpoint folder."""
-    return f"{scratch_dir(spark)}/warc-{uuid.uuid4().hex}"
+    return scratch_folder(spark, "warc")
