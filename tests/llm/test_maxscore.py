@@ -1,0 +1,74 @@
+"""MaxScore against a full scan."""
+
+import numpy as np
+import pytest
+
+from cograph.llm import maxscore
+
+
+def full_scan(rows, queries, k):
+    out = []
+    for q, x in queries:
+        scores = sorted((-sum(a * b for a, b in zip(x, v)), i) for i, v in rows if i != q)
+        out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:k], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("low,high,dims,n", [(-50, 50, 16, 3000), (0, 3, 6, 2500), (-2, 1, 3, 1500), (0, 1, 4, 1200)])
+def test_a_shard(low, high, dims, n):
+    r = np.random.default_rng(dims)
+    ids = np.sort(r.choice(10 * n, n, replace=False)).astype(np.int64)
+    vectors = r.integers(low, high + 1, (n, dims))
+    shard = maxscore.Shard(ids, vectors)
+    for q in r.choice(n, 12, replace=False):
+        rows, scores = shard.top(int(ids[q]), vectors[q], 10)
+        want = full_scan(list(zip(ids.tolist(), vectors.tolist())), [(int(ids[q]), vectors[q].tolist())], 10)
+        assert list(zip(ids[rows].tolist(), scores.tolist())) == [(i, s) for _, _, i, s in sorted(want, key=lambda x: x[1])]
+
+
+def test_non_essential_terms_are_not_traversed():
+    r = np.random.default_rng(1)
+    vectors = np.concatenate((r.integers(0, 5, (8000, 30)), r.integers(0, 100, (8000, 2))), axis=1)
+    shard = maxscore.Shard(np.arange(8000), vectors)
+    seen = []
+
+    class Postings:
+        def __init__(self, values):
+            self.values = values
+
+        def __getitem__(self, at):
+            if isinstance(at, tuple):
+                seen.append(len(at[0]))
+                return self.values[at]
+            return self.values[at]
+
+    shard.postings = Postings(shard.postings)
+    shard.top(-1, np.array([1] * 30 + [50, 60]), 10)
+    assert seen[0] == 32 and max(seen[1:]) < 10
+
+
+def test_sharded_search(spark):
+    r = np.random.default_rng(7)
+    rows = [(i, r.integers(-4, 5, 8).tolist()) for i in range(0, 900, 3)]
+    rows += [(1000 + i, rows[5][1]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<long>").repartition(5)
+    queries = [x for x in rows if x[0] % 100 == 0]
+    got = maxscore.top_k(df, df.filter("vec_id % 100 = 0"), 10, shard_rows=50, query_rows=4).collect()
+    assert sorted(map(tuple, got)) == full_scan(rows, queries, 10)
+
+
+def test_rows_that_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [0.5, -0.25, 1.0], "x"), (1, None, "x"), (2, [1.0, None, 1.0], "x"), (3, [nan, 1.0, 1.0], "x"), (4, [inf, 0.0, 0.0], "x"),
+            (100, [0.3, 0.3, 0.3], "x"), (100, [0.3, 0.3, 0.3], "x"), (7, [], "x"), (8, [2.0], "x"), (None, [1.0, 1.0, 1.0], "x"), (9, [-0.0004, 0.0, 0.0], "x")]
+    v = maxscore.integer_vectors(spark.createDataFrame(rows, "vec_id int, embedding array<float>, score string"))
+    kept = {r.vec_id: r.vector for r in v.collect()}
+    assert set(kept) == {0, 100, 7, 8, 9} and kept[0] == [512, -256, 1024] and kept[9] == [-1, 0, 0]
+    got = sorted(map(tuple, maxscore.top_k(v, v.filter("vec_id % 100 = 0")).collect()))
+    assert got == full_scan(list(kept.items()), [(i, x) for i, x in kept.items() if i % 100 == 0], 10)
+
+
+def test_nothing_to_search(spark):
+    v = spark.createDataFrame([], "vec_id long, vector array<long>")
+    one = spark.createDataFrame([(0, [1, 2])], "vec_id long, vector array<long>")
+    assert maxscore.top_k(v, v).collect() == [] and maxscore.top_k(one, v).collect() == [] and maxscore.top_k(one, one).collect() == []
