@@ -35,10 +35,10 @@ def _empty(df: DataFrame) -> DataFrame:
 
 
 def quantiles(df: DataFrame, col: str, qs: Sequence[float], exact: bool = False,
-              accuracy: int = 10000, bucket_rows: int = 1_000_000) -> DataFrame:
+              accuracy: int = 10000, bucket_rows: int = 1_000_000, buckets: int | None = None) -> DataFrame:
     """Rows (quantile, value) for each q in ``qs``.  The exact mode runs jobs
     while the plan is built; it aims at ``bucket_rows`` values per bucket, with
-    1,000 to 100,000 buckets, and fails if a wanted rank is not found."""
+    1,000 to 100,000 buckets (or ``buckets``), and fails if a wanted rank is not found."""
     qs = [float(q) for q in qs]
     if any(not 0.0 <= q <= 1.0 for q in qs):
         raise ValueError("quantiles must lie in [0, 1]")
@@ -47,10 +47,11 @@ def quantiles(df: DataFrame, col: str, qs: Sequence[float], exact: bool = False,
         arr = v.agg(F.percentile_approx("v", F.array(*[F.lit(q) for q in qs]), accuracy).alias("a"))
         qarr = F.array(*[F.lit(q) for q in qs])
         return arr.select(F.inline(F.arrays_zip(qarr.alias("quantile"), F.col("a").alias("value"))))
-    return _exact_quantiles(v, qs, accuracy, bucket_rows)
+    return _exact_quantiles(v, qs, accuracy, bucket_rows, buckets)
 
 
-def _exact_quantiles(v: DataFrame, qs: list[float], accuracy: int, bucket_rows: int) -> DataFrame:
+def _exact_quantiles(v: DataFrame, qs: list[float], accuracy: int, bucket_rows: int,
+                     buckets: int | None = None) -> DataFrame:
     spark = v.sparkSession
     path = scratch_folder(spark, "quantiles")
     v.write.parquet(path)
@@ -58,7 +59,7 @@ def _exact_quantiles(v: DataFrame, qs: list[float], accuracy: int, bucket_rows:
     n = v.count()
     if n == 0:
         return _empty(v)
-    buckets = min(100_000, max(1000, n // bucket_rows))
+    buckets = buckets or min(100_000, max(1000, n // bucket_rows))
     fracs = [i / buckets for i in range(1, buckets)]
     cuts = v.agg(F.percentile_approx("v", F.array(*[F.lit(f) for f in fracs]), accuracy)).first()[0]
     splits = [-math.inf] + sorted(set(cuts)) + [math.inf]

@@ -27,7 +27,8 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("created_at", T.StringType()),
 ])
 
-# one convention for writing and reading delimited files: spaces, line breaks and empty strings survive
+# one convention for writing and reading delimited files: spaces, line breaks and empty strings survive;
+# a string that is the null mark itself reads as null
 QUOTING = {"quoteAll": "true", "quote": '"', "escape": '"', "emptyValue": "", "nullValue": "\\N", "lineSep": "\n",
            "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 

@@ -1,9 +1,11 @@
 import json
 import os
+import shutil
 
 import pytest
 
 from cograph.operators import events as E
+from cograph.params import RecParams
 from cograph.plans import pipeline as P
 from cograph.sources import io as IO
 
@@ -80,6 +82,48 @@ def test_pipeline_runs_and_resumes(spark, tmp_path):
     assert sorted(grav.columns) == ["gravatar", "user"] and grav.count() == 2
 
 
+def test_pipeline_serves_no_stale_tables(spark, tmp_path):
+    paths, root = _write_logs(tmp_path), str(tmp_path / "out")
+    p = RecParams.application().with_(min_link_weight=0.1)
+    every = ["parse", "item_graph", "user_recs", "serving"]
+    run = lambda **kw: P.run_pipeline(spark, paths, root, **({"p": p} | kw))
+    assert run() == every and run() == []
+    shutil.rmtree(f"{root}/fork-map")
+    assert run() == every                                   # all that was derived from it
+    shutil.rmtree(f"{root}/user-recs")
+    assert run() == ["user_recs", "serving"]
+    assert run(p=p.with_(prior=1.0)) == every               # other parameters
+    assert run(p=p.with_(prior=1.0), prefer="best") == every
+    assert run(p=p.with_(prior=1.0), prefer="best", snapshot="d2") == ["serving"]
+    assert run(p=p.with_(prior=1.0), prefer="best", resume=False) == every
+    with open(tmp_path / "more.json", "w") as f:
+        f.write("{}\n")
+    assert P.run_pipeline(spark, [*([paths] if isinstance(paths, str) else paths), str(tmp_path / "more.json")], root, p=p.with_(prior=1.0), prefer="best") == every
+
+
+def test_a_broken_run_leaves_nothing_marked_as_done(spark, tmp_path, monkeypatch):
+    paths, root = _write_logs(tmp_path), str(tmp_path / "out")
+    p = RecParams.application().with_(min_link_weight=0.1)
+    P.run_pipeline(spark, paths, root, p)
+
+    def fail(*args, **kw):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(P, "stage_item_graph", fail)
+        with pytest.raises(OSError):
+            P.run_pipeline(spark, paths, root, p.with_(prior=1.0))
+    assert P.run_pipeline(spark, paths, root, p.with_(prior=1.0)) == ["item_graph", "user_recs", "serving"]
+
+
+def test_delimited_text_survives(spark, tmp_path):
+    rows = [("a\tb", "line\r\nbreak\n", True, 1), ('"quoted"', "", False, 2), (" blanks ", None, None, None), ("n", "back\\slash", True, 3), ("", "é😀", False, 4)]
+    df = spark.createDataFrame(rows, "a string, b string, c boolean, d int")
+    IO.write_delimited(df, str(tmp_path / "t"))
+    back = [tuple(r) for r in IO.read_delimited(spark, str(tmp_path / "t"), df.schema).collect()]
+    assert sorted(back, key=str) == sorted(rows, key=str)
+
+
 def test_serving_key_check(spark, tmp_path):
     df = spark.createDataFrame([("a", 1), ("a", 1)], "repo_lowered string, rank int")
     with pytest.raises(ValueError):
@@ -100,6 +144,8 @@ def test_scratch_dir_when_the_session_has_none():
     from cograph.session import scratch_dir
 
     class Ctx:
+        master = "local[4]"
+
         def __init__(self):
             self.d = None
 
@@ -121,6 +167,11 @@ def test_scratch_dir_when_the_session_has_none():
         conf = Conf()
 
     fake = FakeSession()
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):  # executors elsewhere would not see a private folder
+        fake.sparkContext.master = master
+        with pytest.raises(RuntimeError):
+            scratch_dir(fake)
+    fake.sparkContext.master = "local[4]"
     d = scratch_dir(fake)
     assert d.endswith("/abc") and not d.startswith("file:")
     assert scratch_dir(fake) == d

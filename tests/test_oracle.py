@@ -4,10 +4,11 @@ import pytest
 
 import __spark_entry__ as entry
 from cograph.oracle_check import compare, duck
+from cograph.plans import queries as core
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = core.SPARK
+SQL = core.SQL
 
 
 @pytest.fixture(scope="module")
@@ -15,10 +16,14 @@ def con():
     return duck(SF)
 
 
-def test_every_query_has_a_twin_or_is_rows_only():
-    rows_only = set(QUERIES) - set(SQL)
-    assert rows_only == {"item_weight_quantiles_approx"}
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_a_twin_and_is_registered():
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
+def test_an_empty_result_is_no_match(spark, con):
+    ok, msg = compare(spark.sql("SELECT 1 AS a WHERE false"), con, "SELECT 1 AS a WHERE false")
+    assert not ok and "no rows" in msg
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
