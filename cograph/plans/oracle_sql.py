@@ -8,6 +8,8 @@ engine's own rule (significant bits), so the twins do not share its rounding.
 
 from __future__ import annotations
 
+from cograph.operators import events as E
+from cograph.operators.graph import OWNER_PATTERN
 from cograph.params import RecParams
 
 
@@ -195,15 +197,19 @@ def v3(n: int, diversity: bool, sig: str = "sig", recs: str = "recs", name: str
 
 
 # ----------------------------------------------------------------------------- events
+def _in(values) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
 def parsed() -> list[str]:
-    return [EVENTS_FX3, """parsed AS (SELECT * FROM (SELECT lower(actor) AS "user",
+    return [EVENTS_FX3, f"""parsed AS (SELECT * FROM (SELECT lower(actor) AS "user",
         lower(owner || '/' || name) AS item, type AS signal, created_at AS "timestamp", gravatar_id,
         name AS repo_name, coalesce(fork = 'true', false) AS is_a_fork, forks AS num_forks, stargazers AS num_stars,
-        coalesce(language, 'Unknown') AS language, substr(description, 1, 100) AS description
+        coalesce(language, '{E.UNKNOWN_LANGUAGE}') AS language, substr(description, 1, {E.DESCRIPTION_CHARS}) AS description
       FROM logs WHERE actor IS NOT NULL AND owner IS NOT NULL AND name IS NOT NULL AND fork IS NOT NULL
         AND type IS NOT NULL AND created_at IS NOT NULL
-        AND type IN ('ForkEvent', 'PullRequestEvent', 'PushEvent', 'WatchEvent')
-        AND name NOT IN ('try_git', 'Spoon-Knife')) WHERE NOT starts_with(item, '/'))"""]
+        AND type IN {_in(E.SIGNAL_EVENT_TYPES)}
+        AND name NOT IN {_in(E.DEMO_REPO_NAMES)}) WHERE NOT starts_with(item, '/'))"""]
 
 
 def _d(cols: list[str]) -> str:
@@ -211,7 +217,7 @@ def _d(cols: list[str]) -> str:
 
 
 def gravatars() -> list[str]:
-    return [f"""grav AS (SELECT "user", gravatar_id FROM parsed WHERE length(gravatar_id) = 32
+    return [f"""grav AS (SELECT "user", gravatar_id FROM parsed WHERE length(gravatar_id) = {E.GRAVATAR_ID_CHARS}
         QUALIFY row_number() OVER (PARTITION BY "user" ORDER BY {_d(['"timestamp"', 'gravatar_id'])}) = 1)"""]
 
 
@@ -233,10 +239,10 @@ def forkmap() -> list[str]:
 def canonical() -> list[str]:
     return ["""csig AS (SELECT p."user", coalesce(m.source_item, p.item) AS item, p.signal,
         m.source_item IS NOT NULL AS mapped_from_fork FROM parsed p LEFT JOIN fmap m ON p.item = m.fork_item)""",
-            """contrib AS (SELECT "user", item, 1.0::DOUBLE AS weight, mapped_from_fork FROM csig
-        WHERE signal IN ('PushEvent', 'PullRequestEvent'))""",
-            """interest AS (SELECT "user", item, CASE WHEN signal = 'ForkEvent' THEN 3.0 ELSE 1.0 END::DOUBLE AS weight,
-        mapped_from_fork FROM csig WHERE signal NOT IN ('PushEvent', 'PullRequestEvent') OR signal IS NULL)"""]
+            f"""contrib AS (SELECT "user", item, 1.0::DOUBLE AS weight, mapped_from_fork FROM csig
+        WHERE signal IN {_in(E.CONTRIB_EVENT_TYPES)})""",
+            f"""interest AS (SELECT "user", item, CASE WHEN signal = '{E.FORK_EVENT_TYPE}' THEN 3.0 ELSE 1.0 END::DOUBLE AS weight,
+        mapped_from_fork FROM csig WHERE signal NOT IN {_in(E.CONTRIB_EVENT_TYPES)} OR signal IS NULL)"""]
 
 
 def quality(cap: float) -> list[str]:
@@ -261,7 +267,7 @@ def quality_graph(p: RecParams) -> list[str]:
 
 def owner_div(src: str, name: str) -> list[str]:
     return [f"""{name}_o AS (SELECT item_A, item_B, weight / CAST(row_number() OVER (PARTITION BY item_A,
-        CASE WHEN contains(CAST(item_B AS VARCHAR), '/') THEN regexp_extract(CAST(item_B AS VARCHAR), '(.*)/.*', 1) END
+        CASE WHEN contains(CAST(item_B AS VARCHAR), '/') THEN regexp_extract(CAST(item_B AS VARCHAR), '{OWNER_PATTERN}', 1) END
         ORDER BY {_sk('weight')} DESC NULLS LAST, item_B ASC NULLS LAST) AS DOUBLE) AS weight, raw_weight FROM {src})""",
             f"""{name} AS (SELECT item_A, item_B, weight, raw_weight, CAST(row_number() OVER (PARTITION BY item_A
         ORDER BY {_sk('weight')} DESC NULLS LAST, item_B ASC NULLS LAST) AS INTEGER) AS rank FROM {name}_o)"""]

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from cograph.functions.skew import salted_join
 from cograph.operators import events as E
 from cograph.operators import graph as G
 from cograph.operators import inspect as X
@@ -93,3 +94,14 @@ def test_results_do_not_change(spark, split):
     got = {(r.item_A, r.item_B): r.weight for r in G.bayes_adjust(links(spark), weights(spark), 4.0).collect()}
     count = {i: sum(1 for x in range(N_ROWS) if x % 500 == i) for i in range(500)}
     assert got == {(i, b): (i % 17 + 1.0) / (count[b] + 4.0) for i in range(N_ROWS) for b in [7 if i % 3 == 0 else i % 500]}
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("hint", [None, "merge"])
+def test_salted_join_is_the_plain_join(spark, how, hint):
+    large = spark.createDataFrame([(k, i) for i in range(200) for k in ([7] if i % 3 == 0 else [i % 11, None])], "k int, v int")
+    small = spark.createDataFrame([(k, str(k)) for k in range(3, 9)] + [(4, "again"), (None, "null")], "k int, w string")
+    got = salted_join(large, small, "k", how, hint=hint)
+    want = large.join(small, "k", how)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
