@@ -109,7 +109,7 @@ def fingerprints(docs: DataFrame, p: Winnowing = Winnowing()) -> DataFrame:
     return texts_of(docs).mapInArrow(run, "doc_id long, hashes array<bigint>, positions array<int>")
 
 
-def with_next(docs: DataFrame, rows_per_bucket: int = 20_000, most_buckets: int = 100_000) -> DataFrame:
+def with_next(docs: DataFrame, rows_per_bucket: int = 4_000, most_buckets: int = 100_000) -> DataFrame:
     """Rows (bucket, lead, doc_id, text) whose order by bucket, lead and
     descending doc_id is that of the documents; each bucket ends with a row
     ``lead`` = true: the first document of the next bucket, or for the last
