@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cograph.functions.skew import salted_join
-from cograph.llm.common import scratch_table, shuffle_partitions, small_batches
+from cograph.llm.common import shuffle_partitions, small_batches
 from cograph.session import scratch_folder
 
 # fixed values of the format
@@ -31,8 +31,8 @@ HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nConten
 
 @dataclass(frozen=True)
 class Writer:
-    roll_bytes: int = 16 << 20
-    shard_bytes: int = 64 << 20
+    roll_bytes: int = 4 << 20
+    shard_bytes: int = 16 << 20
     bins: int = 65_536
     least_revisit: int = 0  # smaller payloads are always written in full
     date: str = "1970-01-01T00:00:00Z"
@@ -139,7 +139,7 @@ def write_archive(pages: DataFrame, out_dir: str, w: Writer = Writer()) -> DataF
     rows = pages.select("page_id", F.lit(1).alias("kind"), "url", "html", F.lit(None).cast("long").alias("refers_to")).union(notes)
     from pyspark.ml.feature import Bucketizer
 
-    place = Bucketizer(splits=[float("-inf"), *(map(float, cuts) if cuts else [0.0]), float("inf")], inputCol="place", outputCol="range")
+    place = Bucketizer(splits=[float("-inf"), *(map(float, cuts) if cuts else [2.0**64]), float("inf")], inputCol="place", outputCol="range")
     rows = place.transform(rows.withColumn("place", F.coalesce(F.col("page_id").cast("double"), F.lit(float("-1e300"))))) \
         .withColumn("shard", F.col("range").cast("int")).drop("place", "range")
     schema = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("name", pa.string()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha1", pa.string())])
