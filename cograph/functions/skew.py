@@ -26,7 +26,8 @@ def splittable_join(large: DataFrame, small: DataFrame, left_key: str, right_key
 
 
 def _zero(key: str):
-    return F.pmod(F.hash(F.col(key)), F.lit(1))
+    # never null, so that no null filter is inferred below one side's exchange and both sides can still share one
+    return F.hash(F.col(key)).bitwiseAND(F.lit(0))
 
 
 def salted_join(large: DataFrame, small: DataFrame, on: str | list[str], how: str = "inner",

@@ -36,8 +36,8 @@ def typed_signals_fx2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_log_fx3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FX3 event log with the reference's nested schema (one row per line item).
     An item is a fork iff its brand number is <= 8."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber",
-                                                 "l_returnflag", "l_linestatus")
+    # dealt by the key of the first join: a single large file then keeps all cores busy
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag", "l_linestatus").repartition("l_orderkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
