@@ -28,7 +28,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = salted_join(both, least, "u", hint="merge").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = scratch_table(large.filter("u <> v").distinct(), "cc-large")
+        large = scratch_table(large.filter("u <> v"), "cc-large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = salted_join(large, least, "u", hint="merge").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),

@@ -132,18 +132,18 @@ def bucket_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def near(values: np.ndarray, bits: int) -> list[tuple[int, int]]:
-    """Links within ``bits`` differing bits that connect all that are so
-    connected, as a spanning forest: at most len(values) - 1 links."""
+    """Links (first, member) from the first value of each component over
+    distances of up to ``bits`` to its other members: at most len(values) - 1."""
     left = np.arange(len(values))
     links = []
     while len(left):
-        front, left = [int(left[0])], left[1:]
+        first, left = int(left[0]), left[1:]
+        front = [first]
         while front and len(left):
-            x = front.pop()
-            hit = np.bitwise_count(values[left] ^ values[x]) <= bits
-            for y in left[hit].tolist():
-                links.append((x, y))
-                front.append(y)
+            hit = np.bitwise_count(values[left] ^ values[front.pop()]) <= bits
+            members = left[hit].tolist()
+            links += [(first, y) for y in members]
+            front += members
             left = left[~hit]
     return links
 
@@ -173,8 +173,9 @@ def bucket_links(keys: np.ndarray, fps: np.ndarray, bits: int) -> tuple[list, li
 
 
 def fingerprint_links(distinct: DataFrame, bits: int = 4) -> DataFrame:
-    """Links (a, b) between different fingerprints ``fp`` at most ``bits`` <= 4
-    apart: enough of them that components over the links are exact."""
+    """Links (a, b) between different fingerprints ``fp`` that are connected over
+    distances of at most ``bits`` <= 4: enough of them that components over the
+    links are exact.  Within a bucket they join at its components' first members."""
     if not 0 <= bits <= 4:
         raise ValueError("the keys cover distances up to 4")
     spark = distinct.sparkSession

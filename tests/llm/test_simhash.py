@@ -81,11 +81,15 @@ def test_decoding_corrects_three_errors():
     assert (simhash.decode(code) == simhash.decode(words)).all()
 
 
-def test_near_gives_a_spanning_forest():
+def test_near_links_each_component_to_its_first_member():
     r = np.random.default_rng(5)
     values = np.unique(np.concatenate([c ^ (np.uint64(1) << r.integers(0, 64, 40).astype(np.uint64)) for c in r.integers(0, 1 << 63, 4, dtype=np.uint64)]))
     links = simhash.near(values, 2)
-    assert len(links) == len(values) - 4 and all((values[a] ^ values[b]).item().bit_count() <= 2 for a, b in links)
+    group = {a: frozenset([a, *(y for x, y in links if x == a)]) for a, _ in links}
+    assert len(group) == 4 and sum(map(len, group.values())) == len(values) and all(a == min(g) for a, g in group.items())
+    close = lambda x, y: (values[x] ^ values[y]).item().bit_count() <= 2
+    assert all(any(close(x, y) for y in g if y != x) for g in group.values() for x in g)
+    assert not any(close(x, y) for g in group.values() for x in g for y in set(range(len(values))) - g)
 
 
 def test_oversized_buckets_give_the_same_components(spark, monkeypatch):
