@@ -1,7 +1,8 @@
 """Lexical retrieval packing: documents that share rare terms fill a window together.
 
-Documents are tokenised and dealt to shards of a bounded number of tokens.  A
-shard holds a BM25 inverted index of its documents, weighted with document
+Documents are tokenised and ordered by a min-hash of their heaviest BM25 terms
+that other documents have too, so that lexical neighbours lie together; runs of
+a bounded number of tokens in that order are the shards.  A shard holds a BM25 inverted index of its documents, weighted with document
 frequencies and the mean length of the whole corpus; terms are token ids, so
 the frequency table is bounded by the vocabulary.  A seed document asks the
 index for unused neighbours, which fill its window in the order of their
@@ -19,6 +20,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from cograph.llm.common import blocks, scratch_table, small_batches, texts_of
@@ -117,6 +119,45 @@ def document_frequencies(tokens: DataFrame) -> np.ndarray:
     return found
 
 
+def term_weights(ids: np.ndarray, idf: np.ndarray, mean: float, p: Packing) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct terms of a document and their BM25 weights."""
+    t, tf = np.unique(ids, return_counts=True)
+    return t, idf[t] * tf * (p.k1 + 1) / (tf + p.k1 * (1 - p.b + p.b * len(ids) / mean))
+
+
+def lexical_key(ids: np.ndarray, idf: np.ndarray, df: np.ndarray, mean: float, p: Packing) -> tuple[int, int]:
+    """The two smallest hashes among the ``query_terms`` heaviest terms of a
+    document that another document has too: texts that share most of them
+    mostly share these."""
+    t, w = term_weights(ids, idf, mean, p)
+    shared = df[t] > 1
+    t, w = t[shared], w[shared]
+    if len(t) > p.query_terms:
+        t = t[np.lexsort((t, -w))[:p.query_terms]]
+    h = t.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h = np.sort((h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(2)).astype(np.int64)
+    return tuple([*h[:2].tolist(), -1, -1][:2])
+
+
+def _idf(df: np.ndarray, n_docs: int) -> np.ndarray:
+    return np.log1p((n_docs - df + 0.5) / (df + 0.5))
+
+
+def keyed_tokens(tokens: DataFrame, df: np.ndarray, n_docs: int, mean: float, p: Packing) -> DataFrame:
+    """(doc_id, n, ids, key, key2): the documents of `tokenized` with their lexical key."""
+    held = tokens.sparkSession.sparkContext.broadcast(df)  # one number for each id of the vocabulary
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.binary()), ("key", pa.int64()), ("key2", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf = _idf(held.value, n_docs)
+        for b in batches:
+            keys = [lexical_key(token_ids(x), idf, held.value, mean, p) for x in b.column("ids").to_pylist()]
+            if keys:
+                yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("doc_id", "n", "ids")), *(pa.array(k, pa.int64()) for k in zip(*keys))], schema=schema)
+
+    return tokens.filter("n >= 0").mapInArrow(run, "doc_id long, n long, ids binary, key long, key2 long")
+
+
 class Shard:
     """BM25 index of one shard's documents."""
 
@@ -124,8 +165,7 @@ class Shard:
         self.n, self.query_terms = len(ids), p.query_terms
         terms, docs, weights, self.queries = [], [], [], []
         for d, x in enumerate(ids):
-            t, tf = np.unique(x, return_counts=True)
-            w = idf[t] * tf * (p.k1 + 1) / (tf + p.k1 * (1 - p.b + p.b * len(x) / mean))
+            t, w = term_weights(x, idf, mean, p)
             terms.append(t)
             docs.append(np.full(len(t), d, np.int32))
             weights.append(w.astype(np.float32))
@@ -216,27 +256,41 @@ def pack(docs: DataFrame, tokenizer_file: str, p: Packing = Packing()) -> DataFr
     tokens = scratch_table(tokenized(docs, tokenizer_file, p.end_id), "pack-tokens")
     total = tokens.filter("n >= 0").agg(F.count("*").alias("docs"), F.sum("n").alias("tokens")).first()
     n_docs, n_tokens = total["docs"], total["tokens"] or 0
-    df = document_frequencies(tokens)
-    idf = docs.sparkSession.sparkContext.broadcast(np.log1p((n_docs - df + 0.5) / (df + 0.5)))
     mean = n_tokens / max(1, n_docs)
+    df = document_frequencies(tokens)
+    keyed = keyed_tokens(tokens, df, n_docs, mean, p)
     shards = max(1, -(-n_tokens // p.shard_tokens))
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
                         ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
+    idf = docs.sparkSession.sparkContext.broadcast(_idf(df, n_docs))
 
-    def shard_pieces(group: pa.Table) -> pa.Table:
-        group = group.sort_by([("doc_id", "ascending"), ("n", "ascending"), ("ids", "ascending")])
-        ids = [token_ids(x) for x in group.column("ids").to_pylist()]
-        doc_ids = group.column("doc_id").to_pylist()
-        base = group.column("shard")[0].as_py() << 32
+    def shard_pieces(rows: list[tuple], base: int) -> pa.Table:
+        rows.sort(key=lambda x: (x[0] is None, x[0] or 0, x[1], x[2]))
+        ids = [token_ids(x) for _, _, x in rows]
         sizes = [len(x) for x in ids]
         found = fill(sizes, Shard(ids, idf.value, mean, p), p.window)
         return pa.table([
-            pa.array([doc_ids[d] for d, *_ in found], pa.int64()), pa.array([x[1] for x in found], pa.int64()), pa.array([x[2] for x in found], pa.int64()),
+            pa.array([rows[d][0] for d, *_ in found], pa.int64()), pa.array([x[1] for x in found], pa.int64()), pa.array([x[2] for x in found], pa.int64()),
             pa.array([ids[d][s:s + n].tobytes() for d, s, n, _, _ in found], pa.binary()), pa.array([sizes[x[0]] for x in found], pa.int64()),
             pa.array([base + x[3] for x in found], pa.int64()), pa.array([x[4] for x in found], pa.int64())], schema=schema)
 
-    return tokens.filter("n >= 0").withColumn("shard", F.pmod(F.xxhash64("doc_id", "ids"), F.lit(shards))) \
-        .groupBy("shard").applyInArrow(shard_pieces, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Shards of ``shard_tokens`` tokens in the order of the rows."""
+        base, no = TaskContext.get().partitionId() << 44, 0
+        rows, held = [], 0
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "ids"))):
+                if rows and held + row[1] > p.shard_tokens:
+                    yield from shard_pieces(rows, base | no << 32).to_batches(max_chunksize=4096)
+                    rows, held, no = [], 0, no + 1
+                rows.append(row)
+                held += row[1]
+        if rows:
+            yield from shard_pieces(rows, base | no << 32).to_batches(max_chunksize=4096)
+
+    order = ["key", "key2", F.xxhash64("doc_id", "ids")]  # the last deals a hot key to several shards
+    return keyed.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("doc_id", "n", "ids") \
+        .mapInArrow(run, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
 def padding(length, window: int = 2048):

@@ -1,10 +1,11 @@
 """Packing: tokens against the tokenizer itself, and a partition of all tokens without padding."""
 
+import random
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
-from llm_cases import corpus
+from llm_cases import corpus, words
 from tokenizers import Tokenizer
 
 from cograph.llm import packing
@@ -96,3 +97,21 @@ def test_statistics_cover_the_corpus(docs):
     got = packing.document_frequencies(packing.tokenized(docs, FILE, 1))
     want = np.bincount(np.concatenate([np.unique(x) for x in reference_ids([t for _, t in corpus()])]), minlength=len(got))
     assert (got == want).all()
+
+
+def test_lexical_neighbours_share_a_shard(spark):
+    """Topics of four texts among many shards: texts of a topic meet far more often than by chance."""
+    rows = []
+    for topic in range(120):
+        own = words(40_000 + topic, 60).split()
+        for i in range(4):
+            r = random.Random(topic * 10 + i)
+            rows.append((topic * 4 + i, " ".join(r.sample(own, 50) + words(90_000 + topic * 4 + i, 10).split())))
+    random.Random(1).shuffle(rows)
+    p = packing.Packing(window=256, shard_tokens=8000)
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), FILE, p).collect()
+    check(rows, pieces, 256)
+    shard = {x.doc_id: x.sequence_id >> 32 for x in pieces}
+    assert len(set(shard.values())) > 8
+    together = [shard[t * 4] == shard[t * 4 + i] for t in range(120) for i in (1, 2, 3)]
+    assert np.mean(together) > 0.3  # by chance one in as many as there are shards
