@@ -159,18 +159,17 @@ def keyed_tokens(tokens: DataFrame, df: np.ndarray, n_docs: int, mean: float, p:
 
 
 class Shard:
-    """BM25 index of one shard's documents."""
+    """BM25 index of one shard's documents; a seed asks with all its terms."""
 
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean: float, p: Packing):
-        self.n, self.query_terms = len(ids), p.query_terms
+        self.n = len(ids)
         terms, docs, weights, self.queries = [], [], [], []
         for d, x in enumerate(ids):
             t, w = term_weights(x, idf, mean, p)
             terms.append(t)
             docs.append(np.full(len(t), d, np.int32))
             weights.append(w.astype(np.float32))
-            top = np.argpartition(-w, p.query_terms)[:p.query_terms] if len(w) > p.query_terms else np.arange(len(w))
-            self.queries.append(t[top])
+            self.queries.append(t)
         term = np.concatenate(terms)
         order = np.argsort(term, kind="stable")
         self.docs, self.weights = np.concatenate(docs)[order], np.concatenate(weights)[order]
@@ -180,7 +179,7 @@ class Shard:
         self.unused = np.ones(self.n, bool)
 
     def neighbours(self, doc: int) -> Iterator[int]:
-        """Unused documents that share a query term with ``doc``, best first, ties to the smaller number."""
+        """Unused documents that share a term with ``doc``, best first, ties to the smaller number."""
         spans = [slice(self.starts[t], self.starts[t + 1]) for t in self.queries[doc].tolist()]
         at = np.concatenate([self.docs[s] for s in spans])
         scores = np.bincount(at, np.concatenate([self.weights[s] for s in spans]), minlength=self.n)

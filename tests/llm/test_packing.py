@@ -93,6 +93,15 @@ def test_scores_are_bm25():
     assert list(shard.neighbours(0)) == want
 
 
+def test_a_seed_asks_with_all_its_terms():
+    """Its 16 heaviest terms are its own alone; the neighbours share the others."""
+    idf = np.concatenate((np.full(50, 1.0), np.full(50, 9.0)))
+    ids = [np.array([*range(50, 70), 1, 2, 3], np.uint32), np.array([70, 1], np.uint32), np.array([71, 1, 2, 3], np.uint32), np.array([72, 9], np.uint32)]
+    shard = packing.Shard(ids, idf, 8.0, packing.Packing())
+    shard.unused[0] = False
+    assert list(shard.neighbours(0)) == [2, 1]
+
+
 def test_statistics_cover_the_corpus(docs):
     got = packing.document_frequencies(packing.tokenized(docs, FILE, 1))
     want = np.bincount(np.concatenate([np.unique(x) for x in reference_ids([t for _, t in corpus()])]), minlength=len(got))
