@@ -3,7 +3,8 @@
 Every k-gram of code points gets a rolling hash; each window of w consecutive
 hashes contributes its minimum, the rightmost on ties.  Any common run of at
 least w + k - 1 code points then leaves a common hash in both fingerprints, and
-no run shorter than k is ever matched.  Hashes and positions are kept.
+no run shorter than k is ever matched.  With k = 8 and w = 16 that is any run of
+23 code points, so the first half of every text of 46 or more.  Hashes and positions are kept.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ BASE = 0x9E3779B97F4A7C15
 
 @dataclass(frozen=True)
 class Winnowing:
-    k: int = 20
-    w: int = 64
+    k: int = 8
+    w: int = 16
 
 
 def gram_hashes(codes: np.ndarray, k: int) -> np.ndarray:

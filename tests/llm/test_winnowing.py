@@ -49,6 +49,15 @@ def test_common_runs_leave_a_common_hash():
         assert set(wn.winnow(wn.code_points(a), p)[0].tolist()) & set(wn.winnow(wn.code_points(b), p)[0].tolist())
 
 
+def test_half_of_a_short_text_leaves_a_common_hash():
+    r = random.Random(4)
+    for n in range(46, 170):
+        text, other = ("".join(r.choice("abcdefgh ") for _ in range(n)) for _ in range(2))
+        edited = text[:n - n // 2] + other[:n // 2]
+        a, b = (wn.winnow(wn.code_points(t), wn.Winnowing())[0] for t in (text, edited))
+        assert wn.likeness(a, b) > 0, n
+
+
 def ordered(rows):
     rows = [(d, t or "") for d, t in rows]
     return sorted(rows, key=lambda x: (x[0] is None, -(x[0] or 0), x[1]))
