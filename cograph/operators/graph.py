@@ -13,7 +13,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cograph.functions.ranking import rank_within, top_k
+from cograph.functions.ranking import distributed_rank, rank_within, top_k
 from cograph.functions.scale import logistic_scale, popularity_boost, sort_key
 from cograph.functions.skew import splittable_join
 
@@ -174,15 +174,18 @@ def diversify_links(ii_links: DataFrame, metadata: DataFrame, max_rank: int | No
     item_B shares the same metadata value.  Links to items without metadata
     drop; several metadata rows per item multiply links (inner join).
 
-    ``max_rank`` keeps only links ranked up to it within their group, through
-    a group-limited window (partial limit before the shuffle), for callers
-    that keep at most ``max_rank`` links per item anyway (see E5)."""
+    Without ``max_rank`` every link is returned; the ranks are counted over
+    ranges of (item, value, weight), so a value that most links share is split
+    over tasks (one table is written when this is called).  ``max_rank`` keeps
+    only links ranked up to it within their group, through a group-limited
+    window (partial limit before the shuffle), for callers that keep at most
+    ``max_rank`` links per item anyway (see E5)."""
     l, m = ii_links.alias("l"), metadata.alias("m")
     j = splittable_join(l, m, "l.item_B", "m.item").select(
         "l.item_A", "l.item_B", "l.weight", "l.raw_weight", F.col("m.metadata_field"))
     order = [F.desc_nulls_last(sort_key("weight")), F.asc_nulls_last("item_B")]
     if max_rank is None:
-        r = rank_within(j, ["item_A", "metadata_field"], order, "feature_rank")
+        r = distributed_rank(j, ["item_A", "metadata_field"], order, "feature_rank")
     else:
         r = top_k(j, ["item_A", "metadata_field"], order, max_rank, "feature_rank")
     return r.select("item_A", "item_B", (F.col("weight") / F.col("feature_rank")).alias("weight"),

@@ -8,7 +8,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -66,6 +66,14 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: evaluated once, whatever
+    reads it, and a lost executor cannot change what later steps see."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _remove_scratch() -> None:
     for jvm, conf, path in _made:
         try:
