@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cograph.llm import compression_quality, maxscore, merge_replay, packing, preference, simhash, substring_dedup, suffix_dedup, warc, winnowing
+from cograph.llm import compression_quality, maxscore, merge_replay, merkle, packing, preference, simhash, substring_dedup, suffix_dedup, warc, winnowing
 
 #: A document is kept when its quality score reaches this.
 QUALITY_CUT = 0.3
@@ -70,6 +70,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_documents(_table(spark, sf_dir, "documents"))
+
+
 SPARK = {
     "op1_retrieval_packing": op1_retrieval_packing,
     "op2_substring_dedup": op2_substring_dedup,
@@ -81,6 +85,7 @@ SPARK = {
     "op8_warc": op8_warc,
     "op9_preference": op9_preference,
     "op10_simhash": op10_simhash,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 OP3_SQL = """
@@ -144,7 +149,65 @@ SELECT pair_id, CAST(any_value(split) AS BIGINT) AS prompt_turns,
 FROM e GROUP BY pair_id
 """
 
+def _field(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen(CAST({x} AS VARCHAR)) || ':' || CAST({x} AS VARCHAR) END"
+
+
+# crc32 of a decimal number: for each character its code and eight steps (marked -1)
+_CRC32 = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten([[CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]
+  FOR c IN string_split(CAST(doc_id AS VARCHAR), '')])),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295)"""
+
+OP13_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, {_field("doc_id")} || {_field("source")} || {_field("lang")} AS head,
+         CAST(n_chars AS HUGEINT) AS n_chars, {_field("text")} AS tail,
+         doc_id IS NOT NULL AND {_CRC32} % 7 = 0 AS changed
+  FROM documents
+), l AS (
+  SELECT rid, doc_id, lang, sha256(head || {_field("n_chars")} || tail) AS leaf,
+         CASE WHEN changed THEN sha256(head || {_field("(n_chars + 1)")} || tail) ELSE sha256(head || {_field("n_chars")} || tail) END AS shown
+  FROM d
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM l
+), up(lang, lvl, pos, h, n) AS (
+  SELECT lang, 0, pos, leaf, count(*) OVER (PARTITION BY lang) FROM p
+  UNION ALL
+  SELECT lang, lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 1) // 2) FROM up WHERE n > 1 GROUP BY lang, lvl, pos // 2
+), s AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos FROM up WHERE n = 1
+), top(lvl, pos, h, n) AS (
+  SELECT 0, pos, subroot, count(*) OVER () FROM s
+  UNION ALL
+  SELECT lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), any_value((n + 1) // 2) FROM top WHERE n > 1 GROUP BY lvl, pos // 2
+), own AS (
+  SELECT p.rid, c.lvl AS step, c.pos & 1 AS side, b.h
+  FROM p JOIN up c ON c.lang IS NOT DISTINCT FROM p.lang AND c.n > 1 AND c.pos = p.pos >> c.lvl
+  LEFT JOIN up b ON b.lang IS NOT DISTINCT FROM c.lang AND b.lvl = c.lvl AND b.pos = xor(c.pos, 1)
+  UNION ALL
+  SELECT p.rid, 1000 + c.lvl, c.pos & 1, b.h
+  FROM p JOIN s ON s.lang IS NOT DISTINCT FROM p.lang JOIN top c ON c.n > 1 AND c.pos = s.pos >> c.lvl
+  LEFT JOIN top b ON b.lvl = c.lvl AND b.pos = xor(c.pos, 1)
+), path AS (
+  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY step) AS k FROM own
+), fold(rid, k, h) AS (
+  SELECT rid, CAST(0 AS BIGINT), shown FROM p
+  UNION ALL
+  SELECT f.rid, x.k, sha256(CASE WHEN x.h IS NULL THEN f.h WHEN x.side = 1 THEN x.h || f.h ELSE f.h || x.h END)
+  FROM fold f JOIN path x ON x.rid = f.rid AND x.k = f.k + 1
+), folded AS (
+  SELECT rid, arg_max(h, k) AS folded_root FROM fold GROUP BY rid
+), proofs AS (
+  SELECT rid, sha256(coalesce(string_agg(h, '' ORDER BY k), '')) AS proof_sha256 FROM path GROUP BY rid
+)
+SELECT p.doc_id, p.leaf, s.subroot, r.h AS root, coalesce(q.proof_sha256, sha256('')) AS proof_sha256,
+       f.folded_root, f.folded_root = r.h AS verified
+FROM p JOIN s ON s.lang IS NOT DISTINCT FROM p.lang JOIN top r ON r.n = 1
+JOIN folded f ON f.rid = p.rid LEFT JOIN proofs q ON q.rid = p.rid
+"""
+
 SQL: dict[str, str] = {
+    "op13_merkle_manifest": OP13_SQL,
     "op3_maxscore": OP3_SQL,
     "op9_preference": OP9_SQL,
 }

@@ -1,0 +1,115 @@
+"""The manifest against a tree built and folded level by level in plain Python."""
+
+import random
+import zlib
+from hashlib import sha256
+
+import numpy as np
+import pytest
+
+from cograph.llm import merkle
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, tree string, digest string, position string, block string"
+
+
+def h(*digests):
+    return sha256("".join(digests).encode()).hexdigest()
+
+
+def leaf(doc_id, source, lang, n_chars, text):
+    values = [None if v is None else str(v) for v in (doc_id, source, lang, n_chars, text)]
+    return h(*["-" if v is None else f"{len(v.encode())}:{v}" for v in values])
+
+
+def levels(digests):
+    out = [digests]
+    while len(out[-1]) > 1:
+        out.append([h(*out[-1][i:i + 2]) for i in range(0, len(out[-1]), 2)])
+    return out
+
+
+def path(tree, at):
+    """(side, sibling) of each level below the root."""
+    out = []
+    for nodes in tree[:-1]:
+        beside = nodes[at ^ 1] if at ^ 1 < len(nodes) else None
+        out.append((at & 1, beside))
+        at >>= 1
+    return out
+
+
+def by_hand(rows):
+    """rows of (doc_id, text, lang, source, n_chars)."""
+    trees = {}
+    for doc_id, text, lang, source, n in rows:
+        own = leaf(doc_id, source, lang, n, text)
+        odd = doc_id is not None and n is not None and zlib.crc32(str(doc_id).encode()) % 7 == 0
+        trees.setdefault(lang, []).append(((doc_id is not None, doc_id or 0, own), leaf(doc_id, source, lang, n + 1, text) if odd else own, doc_id))
+    names = sorted(trees, key=lambda x: (x is not None, (x or "").encode()))
+    built = {x: levels([k[2] for k, _, _ in sorted(trees[x], key=lambda r: r[0])]) for x in names}
+    top = levels([built[x][-1][0] for x in names])
+    out = []
+    for at, x in enumerate(names):
+        for i, (key, shown, doc_id) in enumerate(sorted(trees[x], key=lambda r: r[0])):
+            steps = path(built[x], i) + path(top, at)
+            proof = h(*[s for _, s in steps if s])
+            for side, s in steps:
+                shown = h(shown) if s is None else h(s, shown) if side else h(shown, s)
+            out.append((doc_id, key[2], built[x][-1][0], top[-1][0], proof, shown, shown == top[-1][0]))
+    return sorted(out, key=str)
+
+
+def run(spark, rows, parts=4):
+    clash = [(*r, "clash", "clash", "clash", "clash") for r in rows]
+    got = merkle.verify_documents(spark.createDataFrame(clash, SCHEMA).repartition(parts))
+    assert got.columns == ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    return sorted(map(tuple, got.collect()), key=str)
+
+
+@pytest.mark.parametrize("height", range(0, 9))
+def test_addresses(height):
+    """Every place is taken once, a subtree's bottom parts are contiguous, the root comes first."""
+    places = np.concatenate([merkle.address(d, np.arange(1 << d), height) for d in range(height + 1)])
+    assert sorted(places.tolist()) == list(range((2 << height) - 1)) and places[0] == 0
+    if height >= 1:
+        top = (height + 1) // 2
+        size = (1 << height + 1 - top) - 1
+        for part in range(1 << top):
+            own = np.concatenate([merkle.address(top + d, (part << d) + np.arange(1 << d), height) for d in range(height + 1 - top)])
+            first = (1 << top) - 1 + part * size
+            assert sorted(own.tolist()) == list(range(first, first + size))
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 8, 9, 100, 4095, 4096])
+def test_a_block(n):
+    digests = [sha256(str(i).encode()).digest() for i in range(n)]
+    block = merkle.Block.build(0, digests)
+    tree = levels([d.hex() for d in digests])
+    assert block.root.hex() == tree[-1][0]
+    for i in {0, n // 2, n - 1}:
+        steps = merkle.steps(block.paths(np.array([i]))[0].tobytes())
+        assert [None if side == merkle.ALONE else d.hex() for side, d in steps] == [s for _, s in path(tree, i)]
+        assert merkle.fold(digests[i], steps) == block.root
+
+
+def test_every_case(spark):
+    r = random.Random(1)
+    texts = [None, "", "é漢😀", "x" * 300_000, "same", "same", " a:b-\n"]
+    rows = [(i, texts[i % 7], ["en", "de", None, "", "éa", "zz"][i * i % 6], r.choice(["s", None]), r.choice([None, 0, i])) for i in range(300)]
+    rows += [(5, "again", "en", None, 1), (None, "no id", "en", "s", 2), (None, None, None, None, None), (-3, "minus", "only", "s", 9)]
+    rows += [rows[7]] * 5 + [rows[-1]] * 2
+    r.shuffle(rows)
+    got = run(spark, rows)
+    assert got == by_hand(rows)
+    assert {x[-1] for x in got} == {True, False}
+
+
+def test_a_hot_tree_and_many_trees_over_several_blocks(spark):
+    """More than a block of leaves in one lang, and more than a block of langs."""
+    rows = [(i, "t", "hot", None, i) for i in range(9001)] + [(100_000 + i, str(i), f"lang{i}", "s", 3) for i in range(4099)]
+    assert run(spark, rows) == by_hand(rows)
+
+
+def test_a_single_row_and_no_rows(spark):
+    assert run(spark, [(1, "a", "en", "s", 1)]) == by_hand([(1, "a", "en", "s", 1)])
+    assert run(spark, []) == []
