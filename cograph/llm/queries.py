@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cograph.llm import compression_quality, maxscore, merge_replay, merkle, packing, preference, simhash, substring_dedup, suffix_dedup, warc, winnowing
+from cograph.llm import blockmax, compression_quality, maxscore, merge_replay, merkle, packing, preference, simhash, stream_dedup, substring_dedup, suffix_dedup, warc, winnowing
+from cograph.session import scratch_folder
 
 #: A document is kept when its quality score reaches this.
 QUALITY_CUT = 0.3
@@ -70,6 +71,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream_dedup.exact_duplicates(spark, stream_dedup.Source(f"{sf_dir}/documents.parquet"), scratch_folder(spark, "dedup-state"))
+
+
+def op12_block_max_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blockmax.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_documents(_table(spark, sf_dir, "documents"))
 
@@ -85,6 +94,8 @@ SPARK = {
     "op8_warc": op8_warc,
     "op9_preference": op9_preference,
     "op10_simhash": op10_simhash,
+    "op11_stream_dedup": op11_stream_dedup,
+    "op12_block_max_maxscore": op12_block_max_maxscore,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -206,7 +217,38 @@ FROM p JOIN s ON s.lang IS NOT DISTINCT FROM p.lang JOIN top r ON r.n = 1
 JOIN folded f ON f.rid = p.rid LEFT JOIN proofs q ON q.rid = p.rid
 """
 
+_TERMS = r"unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
+
+OP12_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, text FROM documents
+), t AS (
+  SELECT rid, term, count(*) AS tf FROM (SELECT rid, {_TERMS} AS term FROM d) GROUP BY rid, term
+), l AS (
+  SELECT rid, CAST(sum(tf) AS BIGINT) AS n FROM t GROUP BY rid
+), s AS (
+  SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM l
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * s.docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM t, s GROUP BY term, s.docs
+), q AS (
+  SELECT item_id, term, count(*) AS c FROM (SELECT item_id, {_TERMS} AS term FROM benchmark) GROUP BY item_id, term
+), x AS (
+  SELECT q.item_id, t.rid, CAST(sum(q.c * w.w * ((1000000000 * t.tf) // (1000 * t.tf + 12 * (75 + (25 * l.n * s.docs) // s.total)))) AS BIGINT) AS score
+  FROM q JOIN t USING (term) JOIN w USING (term) JOIN l USING (rid), s GROUP BY q.item_id, t.rid
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM x JOIN d USING (rid) WHERE score > 0 QUALIFY rank <= 20
+"""
+
+OP11_SQL = """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) WINDOW w AS (PARTITION BY t)
+"""
+
 SQL: dict[str, str] = {
+    "op11_stream_dedup": OP11_SQL,
+    "op12_block_max_maxscore": OP12_SQL,
     "op13_merkle_manifest": OP13_SQL,
     "op3_maxscore": OP3_SQL,
     "op9_preference": OP9_SQL,
