@@ -20,8 +20,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from cograph.functions.skew import splittable_join
 from cograph.llm.common import scratch_table
 
-PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
-ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Settings of the state: RocksDB, without space set aside for the logs of each of many small stores.
+STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+              "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 CORE_BYTES = 64 << 20  # of a batch, for each core
 
 
@@ -67,18 +68,20 @@ def absorb(source: Source, spark: SparkSession, folder: str, batch_bytes: int |
     shared storage, one folder for one table) and returns the whole state:
     (digest, keep struct<doc_id, file, row>, n)."""
     state = source.stream(spark, batch_bytes).groupBy("digest").agg(_stays().alias("keep"), F.count("*").alias("n"))
-    before = spark.conf.get(PROVIDER_CONF)
-    spark.conf.set(PROVIDER_CONF, ROCKS_DB)
-    try:  # the query takes its settings when it starts
+    before = {c: spark.conf.get(c, None) for c in STATE_CONF}
+    for c, value in STATE_CONF.items():
+        spark.conf.set(c, value)
+    try:
         query = state.writeStream.outputMode("update").format("noop").option("checkpointLocation", folder).trigger(availableNow=True).start()
+        query.awaitTermination()
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/state")
+        if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):  # no file has come yet
+            return spark.createDataFrame([], "digest binary, keep struct<doc_id: long, file: string, row: long>, n long")
+        kept = spark.read.format("statestore").option("path", folder).load()
+        return scratch_table(kept.select("key.digest", "value.*").toDF("digest", "keep", "n"), "dedup-digests")
     finally:
-        spark.conf.set(PROVIDER_CONF, before)
-    query.awaitTermination()
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/state")
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):  # no file has come yet
-        return spark.createDataFrame([], "digest binary, keep struct<doc_id: long, file: string, row: long>, n long")
-    kept = spark.read.format("statestore").option("path", folder).load()
-    return kept.select("key.digest", "value.*").toDF("digest", "keep", "n")
+        for c, value in before.items():
+            spark.conf.unset(c) if value is None else spark.conf.set(c, value)
 
 
 def resolve(rows: DataFrame, state: DataFrame) -> DataFrame:

@@ -72,10 +72,10 @@ def test_state_is_carried_over_batches_and_runs(spark, tmp_path):
 
 
 def test_settings_are_left_as_they_were(spark, tmp_path):
-    before = spark.conf.get(stream_dedup.PROVIDER_CONF)
+    before = [spark.conf.get(c, None) for c in stream_dedup.STATE_CONF]
     write(spark, f"{tmp_path}/t", [(1, "a")], 1)
     assert run(spark, f"{tmp_path}/t", f"{tmp_path}/state") == by_hand([(1, "a")])
-    assert spark.conf.get(stream_dedup.PROVIDER_CONF) == before
+    assert [spark.conf.get(c, None) for c in stream_dedup.STATE_CONF] == before
 
 
 def test_a_single_file_and_no_rows(spark, tmp_path):
