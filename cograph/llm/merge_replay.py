@@ -4,7 +4,8 @@ The distinct words of a block of documents form one array of byte tokens.  An
 inverted index holds, for each merge rank, the positions whose pair it merges;
 ranks are applied in order to all words at once, and only the two neighbours of
 a merged pair are looked up again.  Within a word the leftmost pair of the
-lowest rank goes first, as in the tiktoken library.
+lowest rank goes first, as in the tiktoken library.  A word of over
+``LONG_WORD`` bytes, such as a run of letters, has an index of its own.
 
 A block is the part of the corpus that one task holds (``BLOCK_BYTES`` of whole
 texts): merge ranks are fixed, so an index over all words of the corpus would
@@ -16,6 +17,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,7 @@ from cograph.llm.wordblocks import WordEncoder
 
 BLOCK_BYTES = 16 << 20
 NEVER = np.int32(1 << 30)
+LONG_WORD = 256  # bytes; a longer word is replayed by itself
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -54,9 +57,60 @@ class MergeTable:
         at = np.searchsorted(self.keys, key)
         return np.where(self.keys[at] == key, self.made[at], NEVER)
 
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        return dict(zip(self.keys[:-1].tolist(), self.made[:-1].tolist()))
+
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, end of each word's ids)."""
         raw = [w.encode() for w in words]
+        long = [i for i, w in enumerate(raw) if len(w) > LONG_WORD]
+        if not long:
+            return self.replay(raw)
+        ids, ends = self.replay([w for w in raw if len(w) <= LONG_WORD])
+        parts, counts, at = [], [], 0
+        bounds = np.concatenate(([0], ends))
+        for i, stop in zip([*long, len(raw)], [*(i - n for n, i in enumerate(long)), len(raw) - len(long)]):
+            parts.append(ids[bounds[at]:bounds[stop]])  # the short words up to the next long one
+            counts.append(np.diff(bounds[at:stop + 1]))
+            at = stop
+            if i < len(raw):
+                parts.append(np.array(self.merge_long(raw[i]), np.uint32))
+                counts.append(np.array([len(parts[-1])], np.int64))
+        return np.concatenate(parts), np.cumsum(np.concatenate(counts))
+
+    def merge_long(self, raw: bytes) -> list[int]:
+        """The ids of one word, whose pairs wait in a heap by rank and place: the
+        time grows with the length, not with its square."""
+        pairs = self.pairs
+        token = self.byte_ids[np.frombuffer(raw, np.uint8)].tolist()
+        n = len(token)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        first = self.rank(token[:-1], token[1:]).astype(np.int64)
+        queue = ((first << 32) | np.arange(n - 1))[first < NEVER].tolist()
+        heapq.heapify(queue)
+        while queue:
+            entry = heapq.heappop(queue)
+            rank, i = entry >> 32, entry & 0xFFFFFFFF
+            j = after[i]
+            if token[i] < 0 or j >= n or pairs.get(token[i] << 32 | token[j]) != rank:
+                continue  # one of the two has changed meanwhile
+            token[i], token[j] = rank, -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                made = pairs.get(rank << 32 | token[k])
+                if made is not None:
+                    heapq.heappush(queue, made << 32 | i)
+            h = before[i]
+            if h >= 0:
+                made = pairs.get(token[h] << 32 | rank)
+                if made is not None:
+                    heapq.heappush(queue, made << 32 | h)
+        return [t for t in token if t >= 0]
+
+    def replay(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words that are replayed together."""
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
         token = self.byte_ids[np.frombuffer(b"".join(raw), np.uint8)]
         n = len(token)

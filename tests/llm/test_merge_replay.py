@@ -1,6 +1,7 @@
 """Merge replay against the tiktoken library."""
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -9,7 +10,7 @@ import pytest
 import tiktoken
 from llm_cases import corpus
 
-from cograph.llm import merge_replay
+from cograph.llm import merge_replay, wordblocks
 from cograph.llm.wordblocks import WordEncoder, span_hashes
 
 FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -58,3 +59,44 @@ def test_span_hashes_depend_on_content_alone():
     codes = np.array([5, 6, 7, 0, 5, 6, 7, 5, 6], np.uint32)
     h = span_hashes(codes, np.array([0, 4, 0, 7]), np.array([3, 7, 2, 9]))
     assert h[0] == h[1] and h[2] == h[3] and h[0] != h[2]
+
+
+def thue_morse(n: int, letters: str) -> str:
+    """Such a word and its mirror of 2,048 letters have equal polynomial hashes modulo 2**64, whatever the odd base."""
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_with_equal_hashes_are_told_apart(spark, library):
+    a, b = thue_morse(2048, "ab"), thue_morse(2048, "ba")
+    rows = [(0, a), (1, b), (2, f"{b} {a} {b}"), (3, "x")]
+    want = library.encode_ordinary_batch([t for _, t in rows])
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (np.frombuffer(r.ids, "<u4").tolist(), bytes(r.decoded).decode()) for r in merge_replay.encode(df, FILE, round_trip=True).collect()}
+    assert got == {i: (ids, t) for (i, t), ids in zip(rows, want)}
+
+
+def test_all_words_with_one_hash(monkeypatch, ranks, library):
+    """Whatever the hash, words are equal only if their characters are."""
+    monkeypatch.setattr(wordblocks, "span_hashes", lambda codes, starts, ends: np.zeros(len(starts), np.uint64))
+    monkeypatch.setattr(wordblocks, "CHUNK_CHARS", 40)
+    table = merge_replay.MergeTable(ranks)
+    encoder = wordblocks.WordEncoder(table.encode_words)
+    for block in (["one two one", "two  three", "", "one"], ["four one", "three two four"], ["" , "é é ee"]):
+        assert [x.tolist() for x in encoder.encode(block)] == library.encode_ordinary_batch(block)
+
+
+@pytest.mark.parametrize("text", ["x" * 20_000, "ab" * 5_000, "the" * 3_000, "".join(random.Random(4).choices("abcdeé", k=9_000)), "a" * 300 + " b " + "c" * 257 + "!" * 400])
+def test_long_words(text, ranks, library):
+    table = merge_replay.MergeTable(ranks)
+    assert [x.tolist() for x in wordblocks.WordEncoder(table.encode_words).encode([text, "short", text])] == library.encode_ordinary_batch([text, "short", text])
+
+
+def test_a_megabyte_of_one_letter(ranks):
+    table = merge_replay.MergeTable(ranks)
+    began = time.process_time()
+    ids = table.merge_long(b"x" * 1_000_000)
+    assert time.process_time() - began < 30
+    back = {r: t for t, r in ranks.items()}
+    assert b"".join(back[i] for i in ids) == b"x" * 1_000_000
+    short = table.merge_long(b"x" * 10_000)
+    assert ids[:len(short) - 8] == short[:-8]
