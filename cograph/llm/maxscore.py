@@ -68,10 +68,9 @@ def _matrix(vectors: list, width: int) -> np.ndarray:
     return out
 
 
-def _distinct(table: pa.Table) -> tuple[np.ndarray, list]:
-    """Ids ascending and their vectors; a repeated id keeps its smallest vector."""
+def _ordered(table: pa.Table) -> tuple[np.ndarray, list]:
+    """Ids ascending and their vectors, of every row."""
     rows = sorted(zip(table.column("vec_id").to_pylist(), table.column("vector").to_pylist()))
-    rows = [r for i, r in enumerate(rows) if not i or rows[i - 1][0] != r[0]]
     return np.array([r[0] for r in rows], np.int64), [r[1] for r in rows]
 
 
@@ -90,8 +89,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int =
     ``vectors`` (vec_id long, vector array<long>) with the highest inner
     product, ties to the smaller vec_id, never the query's own id.
 
-    Shorter vectors count as padded with zeros.  A repeated vec_id is one
-    vector, its smallest.  Fewer than k candidates give as many rows; no
+    Shorter vectors count as padded with zeros.  Rows that repeat a vec_id are
+    candidates of their own; queries that repeat one share its ``k`` rows, the
+    best of any of them, and equal pairs count each time.  Fewer than k candidates give as many rows; no
     queries or no candidates give none.  The query set meets all shards in
     blocks of at most ``query_rows`` queries and ``shard_rows`` vectors.
     """
@@ -101,7 +101,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int =
     groups = max(1, -(-m // query_rows))
 
     def deal(df: DataFrame, own: str, parts: int, other: str, copies: int) -> DataFrame:
-        return df.select("vec_id", "vector", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int").alias(own),
+        return df.select("vec_id", "vector", F.pmod(F.xxhash64("vec_id", "vector", F.monotonically_increasing_id()), F.lit(parts)).cast("int").alias(own),
                          F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias(other))
 
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
@@ -109,8 +109,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int =
     def search(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
-        ids, rows = _distinct(left)
-        query_ids, asked = _distinct(right)
+        ids, rows = _ordered(left)
+        query_ids, asked = _ordered(right)
         width = max(1, max(map(len, rows)), max(map(len, asked)))
         shard = Shard(ids, _matrix(rows, width))
         out = []

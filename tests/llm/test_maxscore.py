@@ -60,7 +60,7 @@ def test_sharded_search(spark):
 def test_rows_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [0.5, -0.25, 1.0], "x"), (1, None, "x"), (2, [1.0, None, 1.0], "x"), (3, [nan, 1.0, 1.0], "x"), (4, [inf, 0.0, 0.0], "x"),
-            (100, [0.3, 0.3, 0.3], "x"), (100, [0.3, 0.3, 0.3], "x"), (7, [], "x"), (8, [2.0], "x"), (None, [1.0, 1.0, 1.0], "x"), (9, [-0.0004, 0.0, 0.0], "x")]
+            (100, [0.3, 0.3, 0.3], "x"), (7, [], "x"), (8, [2.0], "x"), (None, [1.0, 1.0, 1.0], "x"), (9, [-0.0004, 0.0, 0.0], "x")]
     v = maxscore.integer_vectors(spark.createDataFrame(rows, "vec_id int, embedding array<float>, score string"))
     kept = {r.vec_id: r.vector for r in v.collect()}
     assert set(kept) == {0, 100, 7, 8, 9} and kept[0] == [512, -256, 1024] and kept[9] == [-1, 0, 0]
@@ -68,6 +68,15 @@ def test_rows_that_take_no_part(spark):
     assert got == full_scan(list(kept.items()), [(i, x) for i, x in kept.items() if i % 100 == 0], 10)
 
 
+def test_every_row_of_a_repeated_id_is_a_candidate(spark):
+    rows = [(0, [1, 1]), (5, [1, 0]), (5, [9, 9]), (5, [9, 9]), (6, [2, 2]), (7, [-1, 0]), (0, [50, 50])] + [(8, [3, 3])] * 30
+    v = spark.createDataFrame(rows, "vec_id long, vector array<long>").repartition(5)
+    got = sorted(tuple(r) for r in maxscore.top_k(v, v.filter("vec_id = 6"), 40, shard_rows=4).collect())
+    assert [x[3] for x in got] == sorted((2 * (a + b) for i, (a, b) in rows if i != 6), reverse=True)
+    both = sorted(tuple(r) for r in maxscore.top_k(v, v.filter("vec_id = 0"), 3).collect())
+    assert both == [(0, 1, 5, 900), (0, 2, 5, 900), (0, 3, 8, 300)]
+
+
 def test_nothing_to_search(spark):
     v = spark.createDataFrame([], "vec_id long, vector array<long>")
     one = spark.createDataFrame([(0, [1, 2])], "vec_id long, vector array<long>")
