@@ -55,16 +55,22 @@ def fingerprint(text: bytes, words_per_shingle: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, words_per_shingle: int = 4) -> DataFrame:
-    """(doc_id, fp): one row per row of ``docs``; fp holds the 64 bits in a signed long."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """(doc_id, k1, k2, fp): one row per row of ``docs``; fp holds the 64 bits in
+    a signed long, k1 and k2 are two 64-bit hashes of the text."""
+    names = ["doc_id", "k1", "k2"]
+    schema = pa.schema([(c, pa.int64()) for c in [*names, "fp"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(t.as_buffer().to_pybytes(), words_per_shingle) for t in b.column("text")], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps.view(np.int64))], schema=schema)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(fps.view(np.int64))], schema=schema)
 
     small_batches(docs.sparkSession)
-    return texts_of(docs).mapInArrow(run, "doc_id long, fp long")
+    return texts_of(docs).select("doc_id", *_text_keys("text"), "text").mapInArrow(run, "doc_id long, k1 long, k2 long, fp long")
+
+
+def _text_keys(text: str) -> tuple:
+    return F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")
 
 
 @lru_cache(None)
@@ -260,7 +266,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, bits: int = 4)
     result.  A null doc_id keeps its row and is never a component_id, except
     where a component has no other id (then component_id is null).
     """
-    fps = scratch_table(fingerprints(docs, words_per_shingle), "simhash")
+    fps = scratch_table(fingerprints(docs, words_per_shingle).select("doc_id", "fp"), "simhash")
     distinct = scratch_table(fps.groupBy("fp").agg(F.min("doc_id").alias("doc")), "simhash-distinct")
     parts = connected_components(fingerprint_links(distinct, bits)).select(F.col("node").alias("fp"), "component")
     members = distinct.join(parts, "fp", "left").select("fp", "doc", F.coalesce("component", "fp").alias("component"))
@@ -270,10 +276,20 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, bits: int = 4)
 
 
 def keep_one(docs: DataFrame, words_per_shingle: int = 4, bits: int = 4) -> DataFrame:
-    """One document of each component of ``docs``, the one with the smallest
-    doc_id, all columns.  Rows that repeat a doc_id are one document, of which
-    one row stays; rows without doc_id cannot be named and stay."""
-    winners = scratch_table(near_duplicates(docs, words_per_shingle, bits).filter("component_id is not null")
-                            .select(F.col("component_id").alias("_winner")).distinct(), "simhash-kept")
-    kept = docs.join(winners, docs["doc_id"].cast("long") == winners["_winner"], "left_semi")
-    return kept.dropDuplicates(["doc_id"]).union(docs.filter(F.col("doc_id").isNull()))
+    """One document of each component of ``docs``, all columns: the one with the
+    smallest doc_id, a null id counting as larger than any other.  Of documents
+    that share this id, or of several without one, the text with the smallest
+    hashes stays; of rows with one id and text the one with the smallest hash of
+    all columns.  Documents of different components are never taken for one
+    another, whatever their ids."""
+    fps = scratch_table(fingerprints(docs, words_per_shingle), "simhash")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "k1", "k2"))
+    distinct = scratch_table(fps.groupBy("fp").agg(first.alias("first")), "simhash-distinct")
+    parts = connected_components(fingerprint_links(distinct, bits)).select(F.col("node").alias("fp"), "component")
+    winners = scratch_table(distinct.join(parts, "fp", "left").groupBy(F.coalesce("component", "fp")).agg(F.min("first").alias("first"))
+                            .select(*(F.col(f"first.{c}").alias(f"_{c}") for c in ("doc_id", "k1", "k2"))), "simhash-kept")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col("doc_id").cast("long").alias("_id"), text.alias("_text")) \
+        .select("_row", "_id", F.xxhash64("_text").alias("_a"), F.xxhash64(F.lit(1), "_text").alias("_b"))
+    kept = keyed.join(winners, (F.col("_a") == F.col("_k1")) & (F.col("_b") == F.col("_k2")) & F.col("_id").eqNullSafe(F.col("_doc_id")), "left_semi")
+    return kept.groupBy("_id", "_a", "_b").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row")).select("_row.*")
