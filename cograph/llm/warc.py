@@ -1,10 +1,11 @@
 """Deterministic sharded WARC writer and reader.
 
-Records are range-partitioned by page_id at cut points taken from an exact
-histogram, sorted, and written as one gzip member each to files that roll at a
-compressed size.  A file gets a temporary name until it is whole; the manifest,
-written last, names the files that count.  Content and names depend on the rows
-alone, so a repeated task writes the same file again.
+Records are range-partitioned by page_id, then by the payload's digest, at cut
+points that hold equal numbers of bytes between them, sorted, and written as one
+gzip member each to files that roll at a compressed size.  A file gets a
+temporary name until it is whole; the manifest, written last, names the files
+that count.  Content and names depend on the rows alone, so a repeated task
+writes the same file again; only equal rows are dealt by their place in the input.
 """
 
 from __future__ import annotations
@@ -16,16 +17,19 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cograph.functions.skew import salted_join
-from cograph.llm.common import shuffle_partitions, small_batches
+from cograph.llm.common import scratch_table, shuffle_partitions, small_batches
 from cograph.session import scratch_folder
 
 # fixed values of the format
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+READ_BYTES = 1 << 16
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
 
 
@@ -33,7 +37,7 @@ HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nConten
 class Writer:
     roll_bytes: int = 4 << 20
     shard_bytes: int = 16 << 20
-    bins: int = 65_536
+    most_shards: int = 65_536  # shards grow beyond shard_bytes rather than become more
     least_revisit: int = 0  # smaller payloads are always written in full
     date: str = "1970-01-01T00:00:00Z"
 
@@ -76,13 +80,17 @@ def member(data: bytes) -> bytes:
 
 def parse(archive: bytes) -> Iterator[dict]:
     """Records of an archive: their header fields, and ``payload``."""
-    rest = archive
-    while rest:
-        z = zlib.decompressobj(31)
-        data = z.decompress(rest) + z.flush()
-        if not z.eof:
-            raise ValueError("truncated gzip member")
-        rest = z.unused_data
+    at, whole = 0, memoryview(archive)
+    while at < len(whole):
+        z, parts = zlib.decompressobj(31), []
+        while not z.eof:
+            if at >= len(whole):
+                raise ValueError("truncated gzip member")
+            part = whole[at:at + READ_BYTES]
+            parts.append(z.decompress(part))
+            at += len(part)
+        at -= len(z.unused_data)
+        data = b"".join(parts)
         head, _, body = data.partition(b"\r\n\r\n")
         version, *lines = head.decode().split("\r\n")
         if version.encode() != VERSION:
@@ -103,22 +111,60 @@ def revisits(pages: DataFrame, least: int = 0) -> DataFrame:
     return salted_join(seen.select("page_id", "sha1"), last, "sha1", hint="merge").filter("page_id < refers_to").select("page_id", "sha1", "refers_to").distinct()
 
 
-def _cuts(pages: DataFrame, w: Writer) -> list[int]:
-    """Smallest page_id of each shard but the first: exact byte counts of at
-    most ``bins`` equal id ranges, joined until ``shard_bytes`` are reached."""
-    ends = pages.agg(F.min("page_id").alias("a"), F.max("page_id").alias("b")).first()
-    if ends["a"] is None:
-        return []
-    width = (ends["b"] - ends["a"]) // w.bins + 1
-    ranges = pages.filter("page_id is not null").groupBy(F.floor((F.col("page_id") - F.lit(ends["a"])) / F.lit(width)).alias("bin")) \
-        .agg(F.sum(F.octet_length("html") + 512).alias("bytes")).orderBy("bin").collect()
-    cuts, held = [], 0
-    for r in ranges:
-        if held and held + r["bytes"] > w.shard_bytes:
-            cuts.append(ends["a"] + r["bin"] * width)
-            held = 0
+def _place(html: str) -> list[Column]:
+    """Order of a record: page_id (``low`` for null), the digest of its payload, a salt that deals equal records."""
+    return [F.coalesce("page_id", F.lit(-(1 << 63))).alias("id"), F.xxhash64(F.sha1(F.col(html).cast("binary"))).alias("digest"),
+            F.xxhash64("url", F.monotonically_increasing_id()).alias("salt")]
+
+
+def _cuts(pages: DataFrame, w: Writer) -> np.ndarray:
+    """Place (id, digest, salt) of the first record of each shard but the first:
+    rows in their order, cut wherever ``shard_bytes`` more have gone by."""
+    sized = pages.select(*_place("html"), (F.octet_length("html") + 512).cast("long").alias("bytes"))
+    order = ["id", "digest", "salt"]
+    dealt = scratch_table(sized.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "warc-sizes")
+    parts = dealt.groupBy("part").agg(F.sum("bytes").alias("bytes")).orderBy("part").collect()  # one row per task
+    total = sum(r["bytes"] for r in parts)
+    unit = max(w.shard_bytes, -(-total // w.most_shards))
+    before, held = [], 0
+    for r in parts:
+        before.append((r["part"], held))
         held += r["bytes"]
-    return cuts
+    if held <= unit:
+        return np.zeros((0, 3), np.int64)
+    offsets = F.broadcast(pages.sparkSession.createDataFrame(before, "part int, held long"))  # one row per task
+    so_far = F.sum("bytes").over(Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    shard = F.floor((F.col("held") + F.coalesce(so_far, F.lit(0))) / unit)
+    first = dealt.join(offsets, "part").withColumn("shard", shard).groupBy("shard").agg(F.min(F.struct(*order)).alias("first"))
+    rows = first.orderBy("shard").select("first.*").collect()[1:]  # at most ``most_shards``
+    return np.array([tuple(r) for r in rows], np.int64).reshape(-1, 3)
+
+
+def shards_of(cuts: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Shard of each place: the number of cuts that are not greater, compared by id, then digest, then salt."""
+    low, high = np.zeros(len(places), np.int64), np.full(len(places), len(cuts))
+    for i in range(cuts.shape[1]):
+        open_ = np.flatnonzero(low < high)
+        if not len(open_):
+            break
+        values, spans = np.unique(np.stack((low[open_], high[open_]), axis=1), axis=0, return_inverse=True)
+        for n, (a, b) in enumerate(values.tolist()):
+            rows = open_[spans.ravel() == n]
+            low[rows] = a + np.searchsorted(cuts[a:b, i], places[rows, i], "left")
+            high[rows] = a + np.searchsorted(cuts[a:b, i], places[rows, i], "right")
+    return high
+
+
+def _sharded(rows: DataFrame, cuts: np.ndarray, columns: list[str], name: str) -> DataFrame:
+    if not len(cuts):
+        return rows.withColumn(name, F.lit(0))
+    told = rows.sparkSession.sparkContext.broadcast(cuts)  # at most ``most_shards``
+
+    @F.pandas_udf("int")
+    def shard(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
+        return pd.Series(shards_of(told.value, np.stack((a, b, c), axis=1).astype(np.int64)), dtype="int32")
+
+    return rows.withColumn(name, shard(*columns))
 
 
 def write_archive(pages: DataFrame, out_dir: str, w: Writer = Writer()) -> DataFrame:
@@ -135,13 +181,13 @@ def write_archive(pages: DataFrame, out_dir: str, w: Writer = Writer()) -> DataF
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                          F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     cuts = _cuts(pages, w)
-    notes = revisits(pages, w.least_revisit).select("page_id", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), F.col("sha1").alias("html"), "refers_to")
-    rows = pages.select("page_id", F.lit(1).alias("kind"), "url", "html", F.lit(None).cast("long").alias("refers_to")).union(notes)
-    from pyspark.ml.feature import Bucketizer
-
-    place = Bucketizer(splits=[float("-inf"), *(map(float, cuts) if cuts else [2.0**64]), float("inf")], inputCol="place", outputCol="range")
-    rows = place.transform(rows.withColumn("place", F.coalesce(F.col("page_id").cast("double"), F.lit(float("-1e300"))))) \
-        .withColumn("shard", F.col("range").cast("int")).drop("place", "range")
+    pages = _sharded(pages.select("*", *_place("html")), cuts, ["id", "digest", "salt"], "shard").drop("id", "digest", "salt")
+    # a revisit is told to every shard that can hold records of its page and payload
+    notes = revisits(pages, w.least_revisit).select("page_id", "sha1", "refers_to", F.col("page_id").alias("id"), F.xxhash64("sha1").alias("digest"),
+                                                    F.lit(-(1 << 63)).alias("least"), F.lit((1 << 63) - 1).alias("most"))
+    notes = _sharded(_sharded(notes, cuts, ["id", "digest", "least"], "low"), cuts, ["id", "digest", "most"], "high")
+    notes = notes.select(F.explode(F.sequence("low", "high")).alias("shard"), "page_id", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), F.col("sha1").alias("html"), "refers_to")
+    rows = pages.select("shard", "page_id", F.lit(1).alias("kind"), "url", "html", F.lit(None).cast("long").alias("refers_to")).union(notes)
     schema = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("name", pa.string()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha1", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

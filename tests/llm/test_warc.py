@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import os
 
+import numpy as np
 import pytest
 
 from cograph.llm import warc
@@ -30,7 +31,7 @@ def key(row):
     return tuple((x is None, x) for x in row)
 
 
-@pytest.mark.parametrize("writer", [warc.Writer(), warc.Writer(roll_bytes=700, shard_bytes=1500, bins=4)])
+@pytest.mark.parametrize("writer", [warc.Writer(), warc.Writer(roll_bytes=700, shard_bytes=1500)])
 def test_round_trip(spark, tmp_path, writer):
     pages = spark.createDataFrame(PAGES, SPEC).repartition(3)
     manifest = warc.write_archive(pages, f"{tmp_path}/w", writer)
@@ -47,7 +48,7 @@ def test_round_trip(spark, tmp_path, writer):
 
 
 def test_files_do_not_depend_on_the_input_order(spark, tmp_path):
-    w = warc.Writer(roll_bytes=700, shard_bytes=1500, bins=4)
+    w = warc.Writer(roll_bytes=700, shard_bytes=1500)
     a = warc.write_archive(spark.createDataFrame(PAGES, SPEC).repartition(4), f"{tmp_path}/a", w).collect()
     b = warc.write_archive(spark.createDataFrame(PAGES[::-1], SPEC).coalesce(1), f"{tmp_path}/b", w).collect()
     assert sorted(a) == sorted(b)
@@ -74,6 +75,26 @@ def test_small_payloads_can_be_left_alone(spark, tmp_path):
     assert all(r.record_type == "response" for r in rows)
 
 
+@pytest.mark.parametrize("far", [None, 10**15])
+def test_shards_hold_equal_bytes_whatever_the_ids(spark, tmp_path, far):
+    """One id far out, a third of the rows without id, a third equal rows."""
+    w = warc.Writer(shard_bytes=20_000)
+    rows = [(i, f"http://{i}", f"<p>{i * i} {'z' * 900}</p>", "x") for i in range(300)] + [(None, f"http://n{i}", f"{i}{'n' * 900}", "x") for i in range(300)]
+    rows += [(77, "http://same", "s" * 900, "x")] * 300 + ([(far, "http://far", "far", "x")] if far else [])
+    manifest = warc.write_archive(spark.createDataFrame(rows, SPEC).repartition(5), f"{tmp_path}/w", w)
+    sizes = [r.n for r in manifest.groupBy("shard").agg({"records": "sum"}).toDF("shard", "n").collect()]
+    assert len(sizes) >= 60 and max(sizes) <= 40 and sum(sizes) == len(rows)
+    got = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, None if r.payload is None else bytes(r.payload)) for r in warc.read_archive(manifest, f"{tmp_path}/w").collect()]
+    assert sorted(got, key=key) == sorted(expected(rows), key=key)
+
+
+def test_shard_of_a_place():
+    cuts = np.array([(1, 5, 5), (1, 5, 9), (1, 7, 0), (4, 0, 0), (4, 0, 0)], np.int64)
+    places = np.array([(0, 9, 9), (1, 5, 4), (1, 5, 5), (1, 5, 8), (1, 5, 9), (1, 6, 99), (1, 7, 0), (3, 0, 0), (4, -1, 0), (4, 0, 0), (9, 9, 9)], np.int64)
+    want = [sum(tuple(c) <= tuple(x) for c in cuts.tolist()) for x in places.tolist()]
+    assert warc.shards_of(cuts, places).tolist() == want
+
+
 def test_no_pages(spark, tmp_path):
     manifest = warc.write_archive(spark.createDataFrame([], SPEC), f"{tmp_path}/w")
     assert manifest.collect() == [] and warc.read_archive(manifest, f"{tmp_path}/w").collect() == []
