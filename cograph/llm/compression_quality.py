@@ -18,17 +18,18 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from cograph.llm.common import small_batches, texts_of
+from cograph.llm.common import scratch_table, small_batches, texts_of
 
 
 @dataclass(frozen=True)
 class Fit:
-    """Bounds of the fit: labelled rows of each class for the dictionaries and
-    for the curve, characters taken of a dictionary row, dictionary bytes."""
+    """Bounds of the fit: labelled rows of each class for the dictionaries (at
+    most half of a small class) and for the curve, chunks of their texts that a
+    dictionary is built from, dictionary bytes."""
 
     dictionary_rows: int = 500
     curve_rows: int = 1000
-    dictionary_chars: int = 8192
+    dictionary_chunks: int = 16_384
     dictionary_bytes: int = 1 << 20
     chunk_bytes: int = 1024
     level: int = 3
@@ -69,8 +70,11 @@ def held_out(doc_id: str = "doc_id", folds: int = 5):
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(folds)) == 0, F.lit(False))
 
 
-def _dictionary(texts: list[str], size: int) -> bytes:
-    samples = [t[i:i + 1024].encode() for t in texts for i in range(0, len(t), 1024)]
+CHUNK_CHARS = 1024
+
+
+def _dictionary(chunks: list[str], size: int) -> bytes:
+    samples = [c.encode() for c in chunks]
     size = min(size, sum(map(len, samples)) // 4)
     if size < 256:
         return b""
@@ -98,8 +102,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Quality
     """Fit on labelled rows outside the held-out fold.
 
     For each class the rows with the smallest hash of doc_id are taken, at most
-    ``dictionary_rows + curve_rows``; a hash also says which of the two they
-    serve.  Null labels, labels other than 0 and 1 and labels without a
+    ``dictionary_rows + curve_rows``: the first ``dictionary_rows``, or half of
+    fewer, for its dictionary, the others for the curve.  A dictionary is built
+    from whole texts, cut into chunks of 1,024 characters; if there are more
+    than ``dictionary_chunks``, those of the smallest hashes are taken, from
+    anywhere in the texts.  Null labels, labels other than 0 and 1 and labels without a
     document are ignored; repeated labels of a document count once, the larger
     one if they differ.  With one class or none, every score is the share of
     label 1 (1/2 without labels).
@@ -110,13 +117,19 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Quality
         .filter("doc_id is not null and quality in (0, 1)").filter(~held_out()) \
         .groupBy("doc_id").agg(F.max("quality").alias("quality"))
     counts = dict(usable.groupBy("quality").count().collect())
-    picked = [usable.filter(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows) for q in (0, 1)]
-    sample = picked[0].union(picked[1])  # at most 2 * rows ids, so it can be broadcast
-    labelled = texts_of(docs).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
-    turn = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("use")), F.lit(rows)) < fit.dictionary_rows
-    texts: dict[int, list[str]] = {0: [], 1: []}
-    for r in labelled.filter(turn).select("doc_id", "quality", F.substring("text", 1, fit.dictionary_chars).alias("text")).orderBy("doc_id").collect():
-        texts[r["quality"]].append(r["text"])
+    sample = []  # at most 2 * rows of (doc_id, class, whether it serves the dictionary)
+    for q in (0, 1):
+        ids = [r["doc_id"] for r in usable.filter(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()]
+        first = min(fit.dictionary_rows, len(ids) // 2)
+        sample += [(i, q, n < first) for n, i in enumerate(ids)]
+    picked = F.broadcast(spark.createDataFrame(sample, "doc_id long, quality int, turn boolean"))
+    # an id with several texts has the one of the smallest hash
+    labelled = texts_of(docs).join(picked, "doc_id").groupBy("doc_id", "quality", "turn").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    labelled = scratch_table(labelled, "quality-labelled")
+    turn = F.col("turn")
+    cuts = F.sequence(F.lit(0), F.greatest(F.length("text") - 1, F.lit(0)), F.lit(CHUNK_CHARS))
+    chunk = labelled.filter(turn & (F.length("text") > 0)).select("doc_id", "quality", F.posexplode(F.transform(cuts, lambda i: F.substring(F.col("text"), i + 1, F.lit(CHUNK_CHARS)))).alias("at", "chunk"))
+    texts = {q: [r["chunk"] for r in chunk.filter(F.col("quality") == q).orderBy(F.xxhash64("doc_id", "at"), "doc_id", "at").limit(fit.dictionary_chunks).collect()] for q in (0, 1)}
     share = (counts.get(1, 0) + 0.5) / (sum(counts.values()) + 1)
     model = QualityModel(_dictionary(texts[1], fit.dictionary_bytes), _dictionary(texts[0], fit.dictionary_bytes), 0.0, float(np.log(share / (1 - share))), fit)
     if min(counts.get(0, 0), counts.get(1, 0)) == 0:
