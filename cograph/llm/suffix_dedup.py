@@ -173,7 +173,7 @@ def candidate_anchors(texts: DataFrame, p: Repeats) -> DataFrame:
 def repeated_starts(texts: DataFrame, p: Repeats) -> DataFrame:
     """(k1, k2, start, n): runs of starts in a text whose strings occur elsewhere in the distinct texts."""
     spark = texts.sparkSession
-    schema = pa.schema([("lead", pa.binary()), ("k1", pa.int64()), ("k2", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("bytes", pa.binary())])
+    schema = pa.schema([("lead", pa.binary()), ("k1", pa.int64()), ("k2", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("shift", pa.int64()), ("bytes", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pieces of the candidate anchors.  Of pieces with equal bytes within a
@@ -197,7 +197,7 @@ def repeated_starts(texts: DataFrame, p: Repeats) -> DataFrame:
                 content = text[s:s + m + p.length - 1]
                 entry = held.setdefault(content, (text[a:a + p.gram], []))
                 size += 0 if entry[1] else len(content)
-                entry[1].append((k1, k2, s, m))
+                entry[1].append((k1, k2, s, m, a - s))
             if size > BLOCK_BYTES // 2:
                 yield from flush()
                 held, size = {}, 0
@@ -214,7 +214,9 @@ def repeated_starts(texts: DataFrame, p: Repeats) -> DataFrame:
             base = np.cumsum(sizes) - sizes
             piece = np.repeat(np.arange(len(n)), n)
             place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            mask = repeated(data, base[piece] + place, lead[piece], p.length)
+            # equal strings hold their anchor at equal offsets
+            group = lead[piece] * p.length + t.column("shift").to_numpy()[piece] - place
+            mask = repeated(data, base[piece] + place, group, p.length)
             gap = np.zeros(len(mask) + len(n), bool)  # a break after each piece
             gap[np.arange(len(mask)) + piece] = mask
             begin, end = runs(gap)
@@ -222,7 +224,7 @@ def repeated_starts(texts: DataFrame, p: Repeats) -> DataFrame:
             first = begin - owner - (np.cumsum(n) - n)[owner] + start[owner]
             k1, k2 = t.column("k1").to_numpy()[owner], t.column("k2").to_numpy()[owner]
             empty = pa.nulls(len(owner), pa.binary())
-            yield from pa.table([empty, pa.array(k1), pa.array(k2), pa.array(first), pa.array(end - begin), empty], schema=schema).to_batches()
+            yield from pa.table([empty, pa.array(k1), pa.array(k2), pa.array(first), pa.array(end - begin), pa.array(end - end), empty], schema=schema).to_batches()
 
         held: list[pa.RecordBatch] = []
         count, big = 0, None
@@ -259,8 +261,9 @@ def repeated_starts(texts: DataFrame, p: Repeats) -> DataFrame:
             yield from resolve(pa.Table.from_batches(held))
 
     small_batches(spark)
-    spec = "lead binary, k1 long, k2 long, start long, n long, bytes binary"
-    cut_pieces = with_texts(texts, candidate_anchors(texts, p), ["h"]).mapInArrow(cut, spec)
+    spec = "lead binary, k1 long, k2 long, start long, n long, shift long, bytes binary"
+    # written first: the splitters are sampled from it, which would cut all texts twice
+    cut_pieces = scratch_table(with_texts(texts, candidate_anchors(texts, p), ["h"]).mapInArrow(cut, spec), "repeat-pieces")
     found = scratch_table(cut_pieces.repartitionByRange(shuffle_partitions(spark), "lead").sortWithinPartitions("lead").mapInArrow(sort_buckets, spec), "repeats")
     return found.filter("bytes is null").select("k1", "k2", "start", "n").union(
         oversized_starts(found.filter("bytes is not null").select("k1", "k2", "start", "n", "bytes"), p))
