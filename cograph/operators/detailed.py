@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cograph.functions.scale import logistic_scale
-from cograph.operators.graph import contract_user_items, item_popularity, mirror_links, semi_join_items, top_links_per_user
+from cograph.operators.graph import item_pairs, item_popularity, mirror_links, semi_join_items
 
 # Fixed values that must equal the reference's: the reserved link_data key
 # holding the number of users behind a link (it overrides a signal type of that name, Q15).
@@ -77,10 +77,9 @@ def build_item_item_graph_detailed(typed_signals: DataFrame, logistic_param: flo
           .select("user", "item", logistic_scale("w", logistic_param).alias("weight")))
     item_weights = item_popularity(ui)
     keep = item_weights.filter(F.col("overall_weight") >= F.lit(float(min_link_weight))).select("item")
-    top = top_links_per_user(semi_join_items(ui, keep), max_links_per_user)
     # Weights first: of the many pairs only those of links that pass the
     # threshold go on to have their signals counted.
-    pairs = contract_user_items(top, keep_user=True)
+    pairs = item_pairs(semi_join_items(ui, keep), max_links_per_user, keep_user=True)
     half = (pairs.groupBy("item_A", "item_B")
             .agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("num_users"))
             .filter(F.col("weight") >= F.lit(float(min_link_weight))))

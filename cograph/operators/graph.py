@@ -39,10 +39,13 @@ def item_popularity(ui_weights: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- G3, G4
+BLOCK_ITEMS = 2048  # items of a user that are paired in one place
+
+
 def top_links_per_user(ui_weights: DataFrame, k: int | None, rank_col: str | None = None) -> DataFrame:
     """Each user's ``k`` strongest items (weight desc, item asc).  The cap is
     part of the graph's definition and drops the weaker items of a user;
-    ``None`` keeps all, at the price of a quadratic number of pairs per user."""
+    ``None`` keeps all, whose quadratic number of pairs `item_pairs` spreads."""
     return top_k(ui_weights, ["user"],
                  [F.desc_nulls_last(sort_key("weight")), F.asc_nulls_last("item")], k, rank_col)
 
@@ -64,6 +67,40 @@ def contract_user_items(ui_top: DataFrame, keep_user: bool = False) -> DataFrame
                   ).select(*cols)
 
 
+def contract_in_blocks(ui: DataFrame, keep_user: bool = False, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """G3 for users with any number of items: the same rows as `contract_user_items`.
+
+    A user's items are dealt by hash into g groups of about ``block_items``.
+    Each of the g(g+1)/2 pairs of groups is a join key of its own, so the pairs
+    of one user are made in that many places, none of which meets more than two
+    groups; an item goes to the g cells of its group.  A user of up to
+    ``block_items`` items is one cell.  Beyond that only the numbers of groups
+    of such users are joined to their rows (at most one row per ``block_items``
+    of the input), and a hot user's rows are split there."""
+    many = ui.groupBy("user").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block_items).select(
+        "user", F.ceil(F.col("n") / block_items).cast("int").alias("groups"))
+    groups = F.coalesce(F.col("m.groups"), F.lit(1))
+    dealt = splittable_join(ui.alias("u"), many.alias("m"), "u.user", "m.user", "left").select(
+        "u.user", "u.item", "u.weight", groups.alias("groups"), F.pmod(F.xxhash64("u.item"), groups).cast("int").alias("own"))
+    cells = dealt.select("user", "item", "weight", "own", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("other")).select(
+        "user", "item", "weight", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+    a, b = cells.alias("a"), cells.alias("b")
+    on = ((F.col("a.user") == F.col("b.user")) & (F.col("a.x") == F.col("b.x")) & (F.col("a.y") == F.col("b.y"))
+          & (F.col("a.item") < F.col("b.item")) & ((F.col("a.x") == F.col("a.y")) | (F.col("a.own") != F.col("b.own"))))
+    cols = [F.col("a.item").alias("item_A"), F.col("b.item").alias("item_B"),
+            F.least(F.col("a.weight"), F.col("b.weight")).alias("weight")]
+    return a.join(b, on).select(*cols, *([F.col("a.user").alias("user")] if keep_user else []))
+
+
+def item_pairs(ui: DataFrame, max_links_per_user: int | None, keep_user: bool = False, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """R1 + G3: pairs of each user's ``max_links_per_user`` strongest items.
+    Where that leaves more than ``block_items`` items to a user, pairs are made in blocks."""
+    top = top_links_per_user(ui, max_links_per_user)
+    if max_links_per_user is None or max_links_per_user > block_items:
+        return contract_in_blocks(top, keep_user, block_items)
+    return contract_user_items(top, keep_user)
+
+
 def mirror_links(half: DataFrame) -> DataFrame:
     """Both directions of symmetric half links (item_A < item_B).
 
@@ -90,14 +127,13 @@ def semi_join_items(ui: DataFrame, keep: DataFrame) -> DataFrame:
 
 
 def build_item_item_graph(signals: DataFrame, logistic_param: float, min_link_weight: float,
-                          max_links_per_user: int) -> tuple[DataFrame, DataFrame]:
+                          max_links_per_user: int | None, block_items: int = BLOCK_ITEMS) -> tuple[DataFrame, DataFrame]:
     """(ii_links[item_A, item_B, weight], item_weights[item, overall_weight]).
 
     The same threshold prunes items (popularity) before pairing and links
     (summed weight) after it.  The popularity table itself is not cut (Q12)."""
     ui_filt, item_weights = filtered_user_items(signals, logistic_param, min_link_weight)
-    top = top_links_per_user(ui_filt, max_links_per_user)
-    half = (contract_user_items(top)
+    half = (item_pairs(ui_filt, max_links_per_user, block_items=block_items)
             .groupBy("item_A", "item_B").agg(F.sum("weight").alias("weight"))
             .filter(F.col("weight") >= F.lit(float(min_link_weight))))
     return mirror_links(half), item_weights

@@ -6,11 +6,15 @@ partial aggregation, the default at scale.
 Exact mode (linear interpolation between order statistics, like SQL
 ``quantile_cont``) without ever pulling a group into one task:
   0. the column is stored once, so every pass sees the same values;
-  1. n = count, and approximate cut points, more of them the larger n is;
-  2. rows per value bucket (Bucketizer, JVM side) -> bucket offsets;
-  3. only the buckets holding a wanted rank are expanded to a histogram of
-     distinct values (a hot value collapses in a partial aggregate), whose
-     running count locates the exact order statistics.
+  1. every wanted rank lies in an interval of values, at first the whole line;
+     an interval with more than ``bucket_rows`` rows and more than one value is
+     cut at approximate quantiles of its own rows, its parts are counted
+     (Bucketizer, JVM side), and the part that holds the rank goes on.  Each
+     round divides an interval by up to 1,000, so their number grows with
+     log(n), and no last interval is larger than ``bucket_rows``;
+  2. only those last intervals are expanded to a histogram of distinct values
+     (a hot value collapses in a partial aggregate), whose running count locates
+     the exact order statistics.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cograph.session import scratch_folder
+from cograph.session import stored
 
 TWENTY_ONE = [i / 20 for i in range(21)]  # min, 5 %, ..., 95 %, max
 
@@ -35,10 +39,11 @@ def _empty(df: DataFrame) -> DataFrame:
 
 
 def quantiles(df: DataFrame, col: str, qs: Sequence[float], exact: bool = False,
-              accuracy: int = 10000, bucket_rows: int = 1_000_000, buckets: int | None = None) -> DataFrame:
+              accuracy: int = 10000, bucket_rows: int = 1_000_000, parts: int = 1000) -> DataFrame:
     """Rows (quantile, value) for each q in ``qs``.  The exact mode runs jobs
-    while the plan is built; it aims at ``bucket_rows`` values per bucket, with
-    1,000 to 100,000 buckets (or ``buckets``), and fails if a wanted rank is not found."""
+    while the plan is built: rounds that cut into ``parts`` until no more than
+    ``bucket_rows`` rows have to be ranked together; it fails if a wanted rank
+    is not found."""
     qs = [float(q) for q in qs]
     if any(not 0.0 <= q <= 1.0 for q in qs):
         raise ValueError("quantiles must lie in [0, 1]")
@@ -47,60 +52,76 @@ def quantiles(df: DataFrame, col: str, qs: Sequence[float], exact: bool = False,
         arr = v.agg(F.percentile_approx("v", F.array(*[F.lit(q) for q in qs]), accuracy).alias("a"))
         qarr = F.array(*[F.lit(q) for q in qs])
         return arr.select(F.inline(F.arrays_zip(qarr.alias("quantile"), F.col("a").alias("value"))))
-    return _exact_quantiles(v, qs, accuracy, bucket_rows, buckets)
+    return _exact_quantiles(v, qs, accuracy, bucket_rows, parts)
 
 
-def _exact_quantiles(v: DataFrame, qs: list[float], accuracy: int, bucket_rows: int,
-                     buckets: int | None = None) -> DataFrame:
+def _exact_quantiles(v: DataFrame, qs: list[float], accuracy: int, bucket_rows: int, parts: int) -> DataFrame:
     spark = v.sparkSession
-    path = scratch_folder(spark, "quantiles")
-    v.write.parquet(path)
-    v = spark.read.parquet(path)
+    v = stored(v, "quantiles")
     n = v.count()
     if n == 0:
         return _empty(v)
-    buckets = buckets or min(100_000, max(1000, n // bucket_rows))
-    fracs = [i / buckets for i in range(1, buckets)]
-    cuts = v.agg(F.percentile_approx("v", F.array(*[F.lit(f) for f in fracs]), accuracy)).first()[0]
-    splits = [-math.inf] + sorted(set(cuts)) + [math.inf]
-    if len(splits) < 3:
-        splits = [-math.inf, 0.0, math.inf]
-    bz = Bucketizer(splits=splits, inputCol="v", outputCol="b")
-    bv = bz.transform(v)
-    counts = sorted((int(r["b"]), int(r["cnt"])) for r in
-                    bv.groupBy("b").agg(F.count(F.lit(1)).alias("cnt")).collect())
-    offsets, acc = {}, 0
-    for b, c in counts:
-        offsets[b] = (acc, c)
-        acc += c
-
-    def locate(rank: int):
-        for b, (start, c) in offsets.items():
-            if start <= rank < start + c:
-                return b, rank - start
-        raise AssertionError("rank outside the data")
-
-    wanted = []  # (q, which, bucket, local rank, frac)
+    wanted = {}  # (q, which) -> (rank, share of the upper value)
     for q in qs:
         pos = q * (n - 1)
-        lo, hi = math.floor(pos), math.ceil(pos)
-        for which, r in (("lo", lo), ("hi", hi)):
-            b, lr = locate(r)
-            wanted.append((q, which, float(b), lr, pos - lo))
-    need_b = sorted({w[2] for w in wanted})
-    hist = (bv.filter(F.col("b").isin(need_b)).groupBy("b", "v").agg(F.count(F.lit(1)).alias("c")))
+        for which, rank in (("lo", math.floor(pos)), ("hi", math.ceil(pos))):
+            wanted[q, which] = rank, pos - math.floor(pos)
+    last = narrowed(v, sorted({r for r, _ in wanted.values()}), n, accuracy, bucket_rows, parts)
+    spans = sorted(set(last.values()))
+    rows = [(i, rank, rank - spans[i][2]) for rank, span in last.items() for i in [spans.index(span)]]
+    # at most 2 * len(qs) rows: a fixed-size literal frame, safe to broadcast
+    wdf = F.broadcast(spark.createDataFrame(rows, "b int, rank long, r long"))
+    hist = v.withColumn("b", _which(spans)).filter("b is not null").groupBy("b", "v").agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     hist = hist.withColumn("end", F.sum("c").over(w)).withColumn("start", F.col("end") - F.col("c"))
-    # at most 2 * len(qs) rows: a fixed-size literal frame, safe to broadcast
-    wdf = spark.createDataFrame(wanted, "q double, which string, b double, r long, frac double")
-    found = F.broadcast(wdf).alias("w").join(
-        hist.alias("h"), (F.col("w.b") == F.col("h.b")) & (F.col("w.r") >= F.col("h.start"))
-        & (F.col("w.r") < F.col("h.end"))).select("w.q", "w.which", F.col("h.v").alias("v"))
-    hit = {(r["q"], r["which"]): r["v"] for r in found.collect()}  # two values per quantile
-    if lost := [(q, which) for q, which, *_ in wanted if (q, which) not in hit]:
+    found = wdf.alias("w").join(hist.alias("h"), (F.col("w.b") == F.col("h.b")) & (F.col("w.r") >= F.col("h.start")) & (F.col("w.r") < F.col("h.end")))
+    hit = {r["rank"]: r["v"] for r in found.select("w.rank", "h.v").collect()}  # two values per quantile
+    if lost := [k for k, (rank, _) in wanted.items() if rank not in hit]:
         raise RuntimeError(f"ranks not found in their buckets: {lost}")
-    rows = [(q, hit[q, "lo"] + frac * (hit[q, "hi"] - hit[q, "lo"])) for q, which, _, _, frac in wanted if which == "lo"]
-    return spark.createDataFrame(rows, _empty(v).schema)
+    lo, hi = ({q: hit[wanted[q, which][0]] for q in qs} for which in ("lo", "hi"))
+    return spark.createDataFrame([(q, lo[q] + wanted[q, "lo"][1] * (hi[q] - lo[q])) for q in qs], _empty(v).schema)
+
+
+def _which(spans: list[tuple]):
+    """Number of the interval that holds ``v``, or null; the last one up to infinity holds it too."""
+    return F.coalesce(*[F.when((F.col("v") >= low) & (F.lit(high == math.inf) | (F.col("v") < high)), F.lit(i)) for i, (low, high, *_) in enumerate(spans)])
+
+
+def narrowed(v: DataFrame, ranks: list[int], n: int, accuracy: int, bucket_rows: int, parts: int) -> dict[int, tuple]:
+    """For each 0-based rank among the ``n`` values ``v`` the interval (low,
+    high, rows below, rows) that holds it, low <= v < high (or = infinity).  An interval has at
+    most ``bucket_rows`` rows, or one value."""
+    found = {r: (-math.inf, math.inf, 0, n) for r in ranks}
+    small: set[tuple] = set()
+    fracs = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    while True:
+        wide = sorted({s for s in found.values() if s[3] > bucket_rows and s not in small})
+        if not wide:
+            return found
+        rows = v.withColumn("s", _which(wide)).filter("s is not null")
+        # an interval's approximate quantiles, and its extremes, which tell whether it has one value
+        cuts = {r["s"]: r for r in rows.groupBy("s").agg(F.percentile_approx("v", fracs, accuracy).alias("cuts"), F.min("v").alias("a"), F.max("v").alias("b")).collect()}
+        splits = {-math.inf, math.inf}
+        for i, (low, high, _, _) in enumerate(wide):
+            r = cuts[i]
+            if r["a"] == r["b"]:
+                small.add(wide[i])
+                continue
+            # the value after a cut begins a part too, so that a hot value becomes a part of its own
+            inner = {x for c in r["cuts"] for x in (c, math.nextafter(c, math.inf)) if r["a"] < x <= r["b"]}
+            splits |= {low, high} | (inner or {r["b"]})
+        edges = sorted(splits)
+        if len(edges) < 3:
+            continue
+        counted = Bucketizer(splits=edges, inputCol="v", outputCol="b").transform(rows).groupBy("s", "b").agg(F.count(F.lit(1)).alias("c")).collect()
+        spans: dict[int, list[tuple]] = {}
+        for r in sorted(counted, key=lambda r: (r["s"], r["b"])):
+            own = spans.setdefault(r["s"], [])
+            below = own[-1][2] + own[-1][3] if own else wide[r["s"]][2]
+            own.append((edges[int(r["b"])], edges[int(r["b"]) + 1], below, r["c"]))
+        for rank, span in found.items():
+            if span in wide and span not in small:
+                found[rank] = next(s for s in spans[wide.index(span)] if s[2] <= rank < s[2] + s[3])
 
 
 def rank_bounds(df: DataFrame, col: str, found: DataFrame) -> DataFrame:

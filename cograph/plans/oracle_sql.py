@@ -92,7 +92,9 @@ def ui_filtered(min_w: float) -> list[str]:
             f"(SELECT item FROM iw WHERE overall_weight >= {_dbl(min_w)}))"]
 
 
-def top_users(k: int) -> list[str]:
+def top_users(k: int | None) -> list[str]:
+    if k is None:
+        return ["top AS (SELECT * FROM uif)"]
     return [f"top AS (SELECT *, row_number() OVER (PARTITION BY \"user\" ORDER BY {_sk('weight')} DESC NULLS LAST, "
             f"item ASC NULLS LAST) AS urank FROM uif QUALIFY urank <= {k})"]
 

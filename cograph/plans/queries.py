@@ -22,11 +22,12 @@ from cograph.operators import inspect as X
 from cograph.operators import neighbours as N
 from cograph.operators import stats as S
 from cograph.operators import users as U
+from cograph.plans import incremental as INC
 from cograph.plans import oracle_sql as Q
 from cograph.plans import pipeline as P
 from cograph.plans import recommenders as R
 from cograph.plans.settings import (BOT_THRESHOLD, FX1, FX2, FX3, N2_NHOOD, N2_RECS, N4_NHOOD, QUALITY_Q,
-                                    QUALITY_Y, SELECT_ITEMS, TOP_K_QUERY, fx2)
+                                    QUALITY_Y, SELECT_ITEMS, TOP_K_QUERY, UNCAPPED_BLOCK, fx2)
 from cograph.sources import io as IO
 from cograph.sources import testdata as TD
 from cograph.session import scratch_folder
@@ -114,6 +115,13 @@ def q_item_item_graph(spark, d):
     return _graph1(spark, d)[0]
 
 
+@query("item_item_graph_uncapped", Q._with([Q.SIG_FX1] + Q.g4(FX1.with_(max_links_per_user=None)),
+                                           _sel(["item_A", "item_B", "weight"], "links", ("weight",))))
+def q_item_item_graph_uncapped(spark, d):
+    """G3 without the cap: all pairs of all items of a user, made in blocks."""
+    return G.build_item_item_graph(_fx1(spark, d), FX1.logistic_param, FX1.min_link_weight, None, UNCAPPED_BLOCK)[0]
+
+
 @query("graph_bayes", Q._with(_G4_1 + Q.g5(FX1.prior),
                               _sel(["item_A", "item_B", "weight", "raw_weight"], "adj", ("weight", "raw_weight"))))
 def q_graph_bayes(spark, d):
@@ -450,6 +458,50 @@ def q_json_scan(spark, d):
                           "type", "created_at")
 
 
+_YEARS = {"1993": "created_at < '1994'", "1995": "created_at >= '1994' AND created_at < '1996'", "1998": "created_at >= '1996'"}
+
+
+@query("quarantine", Q._with(_EV, (
+    "SELECT 'malformed' AS kind, '{\"actor\":\"' || actor AS line, count(*) AS n FROM logs WHERE type = 'IssuesEvent' GROUP BY actor "
+    "UNION ALL SELECT 'event', \"user\", count(*) FROM parsed GROUP BY \"user\"")))
+def q_quarantine(spark, d):
+    """JSON lines of which all of one event type are cut off within the
+    first value: they are found again in the quarantine table, the others are parsed."""
+    root = scratch_folder(spark, "quarantine")
+    logs = TD.event_log_fx3(spark, d)
+    line = F.to_json(F.struct(*logs.columns))
+    cut = F.concat(F.lit('{"actor":"'), F.col("actor"))
+    logs.select(F.when(F.col("type") == "IssuesEvent", cut).otherwise(line).alias("value")).write.text(f"{root}/logs")
+    P.stage_parse(spark, IO.read_event_logs(spark, f"{root}/logs", keep_malformed=True), root, FX3, skip=UNUSED)
+    bad = IO.read_table(spark, f"{root}/{P.QUARANTINE}").groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+    good = IO.read_table(spark, f"{root}/parsed-logs").groupBy("user").agg(F.count(F.lit(1)).alias("n"))
+    return bad.select(F.lit("malformed").alias("kind"), "line", "n").union(good.select(F.lit("event"), "user", "n"))
+
+
+@query("daily_states", Q._with(_EV, (
+    f"SELECT 'gravatar' AS kind, \"user\" AS key, gravatar_id AS other, CAST(NULL AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS value FROM grav "
+    "UNION ALL SELECT 'fork', fork_item, source_item, NULL, NULL FROM fmap "
+    f"UNION ALL SELECT 'quality', item, language, CAST(num_forks AS BIGINT), {_s('quality_score')} FROM quality "
+    f"UNION ALL SELECT 'contrib', \"user\", item, count(*), {_s('sum(weight)')} FROM contrib GROUP BY \"user\", item "
+    f"UNION ALL SELECT 'interest', \"user\", item, count(*), {_s('sum(weight)')} FROM interest GROUP BY \"user\", item")))
+def q_daily_states(spark, d):
+    """S5/S8 day by day: three runs, each reads its own part of the log and
+    merges it into the states; the tables are those of a full run."""
+    root = scratch_folder(spark, "days")
+    logs = TD.event_log_fx3(spark, d)
+    for day, part in _YEARS.items():
+        logs.filter(part).write.json(f"{root}/logs/{day}")
+        INC.advance(spark, IO.read_event_logs(spark, f"{root}/logs/{day}"), root, day)
+    t = INC.stage_from_states(spark, root, f"{root}/tables", FX3)
+    none = F.lit(None)
+    sums = lambda kind, df: df.groupBy("user", "item").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("value")) \
+        .select(F.lit(kind).alias("kind"), F.col("user").alias("key"), F.col("item").alias("other"), "n", "value")
+    return (t["gravatar-ids"].select(F.lit("gravatar").alias("kind"), F.col("user").alias("key"), F.col("gravatar_id").alias("other"), none.cast("long").alias("n"), none.cast("double").alias("value"))
+            .union(t["fork-map"].select(F.lit("fork"), "fork_item", "source_item", none.cast("long"), none.cast("double")))
+            .union(t["item-metadata"].select(F.lit("quality"), "item", "language", F.col("num_forks").cast("long"), "quality_score"))
+            .union(sums("contrib", t["contrib-signals"])).union(sums("interest", t["interest-signals"])))
+
+
 @query("parse_events", Q._with(_EV, f"SELECT {', '.join(_PARSED_COLS)} FROM parsed"))
 def q_parse_events(spark, d):
     return E.parse_events(TD.event_log_fx3(spark, d))

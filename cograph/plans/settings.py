@@ -22,6 +22,7 @@ FX3 = RecParams.application()
 N2_NHOOD, N2_RECS = 5, 20      # neighbourhood pruning that leaves room for indirect recs
 N4_NHOOD = 5
 TOP_K_QUERY = 10               # top_links_per_user
+UNCAPPED_BLOCK = 16            # item_item_graph_uncapped: most users of FX1 have more items
 BOT_THRESHOLD = 70             # remove_bots on FX2
 SELECT_ITEMS = (1, 2)          # select_signals on FX2
 QUALITY_Q, QUALITY_Y = 0.995, 0.9   # fit_logistic: 99.5 % quantile of quality -> 0.9

@@ -39,13 +39,35 @@ SIGNAL_SCHEMA = T.StructType([
 
 
 # ----------------------------------------------------------------------------- S1, S2
-def read_event_logs(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
+MALFORMED, SOURCE_FILE = "_malformed", "_source_file"
+
+
+def read_event_logs(spark: SparkSession, paths: Sequence[str] | str, keep_malformed: bool = False) -> DataFrame:
     """Newline-delimited JSON event logs with an explicit nested schema;
     several paths or globs are read as one relation.  Malformed lines become
-    all-null rows (PERMISSIVE) and fall to the clean-up filter."""
+    all-null rows (PERMISSIVE) and fall to the clean-up filter.
+
+    With ``keep_malformed`` two more columns tell the text of a line that does
+    not fit the schema (null for the others) and its file, for `quarantine`.  A
+    line with a value of the wrong type is malformed too; its other fields are
+    still read, so it may also be an event."""
     if isinstance(paths, str):
         paths = [paths]
-    return spark.read.schema(EVENT_SCHEMA).option("mode", "PERMISSIVE").json(list(paths))
+    if not keep_malformed:
+        return spark.read.schema(EVENT_SCHEMA).option("mode", "PERMISSIVE").json(list(paths))
+    schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField(MALFORMED, T.StringType())])
+    logs = spark.read.schema(schema).options(mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED).json(list(paths))
+    return logs.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+
+
+def quarantine(scanned: DataFrame) -> DataFrame:
+    """(file, line) of the malformed lines of a scan that kept them."""
+    return scanned.filter(F.col(MALFORMED).isNotNull()).select(F.col(SOURCE_FILE).alias("file"), F.col(MALFORMED).alias("line"))
+
+
+def quarantine_counts(lines: DataFrame) -> DataFrame:
+    """(file, lines): malformed lines of each file."""
+    return lines.groupBy("file").agg(F.count(F.lit(1)).alias("lines"))
 
 
 # ----------------------------------------------------------------------------- S3, S4

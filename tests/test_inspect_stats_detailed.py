@@ -1,3 +1,6 @@
+import math
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -43,7 +46,7 @@ def test_exact_quantiles_match_numpy(spark, seed):
     vals = np.concatenate([rng.integers(0, 50, 3000).astype(float), np.full(2000, 7.0), rng.normal(size=500)])
     df = spark.createDataFrame([(float(v),) for v in vals], "v double")
     qs = S.TWENTY_ONE
-    got = dict(tuple(r) for r in S.quantiles(df, "v", qs, exact=True, buckets=50).collect())
+    got = dict(tuple(r) for r in S.quantiles(df, "v", qs, exact=True, bucket_rows=40, parts=7).collect())
     want = np.quantile(vals, qs)   # linear interpolation, like quantile_cont
     for q, w in zip(qs, want):
         assert got[q] == pytest.approx(w, abs=1e-9)
@@ -101,3 +104,20 @@ def test_graph_plan_limits_before_shuffle_and_prunes_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_returnflag:string>" in plan
+
+
+@pytest.mark.parametrize("parts", [4, 50])
+def test_quantile_intervals_are_bounded(spark, parts):
+    """However few parts an interval is cut into, rounds go on until it is small or one value."""
+    r = random.Random(parts)
+    values = [r.choice([7.0, 7.0, r.random(), r.gauss(0, 100), -0.0, 0.0, math.inf, -math.inf, 1e300]) for _ in range(4000)]
+    v = spark.createDataFrame([(x,) for x in values], "v double")
+    ordered = sorted(values)
+    found = S.narrowed(v, [0, 1, 1300, 2000, 2600, 3999], len(values), 100, 20, parts)
+    for rank, (low, high, below, rows) in found.items():
+        inside = [x for x in ordered if low <= x and (x < high or high == math.inf)]
+        assert low <= ordered[rank] and (ordered[rank] < high or high == math.inf)
+        assert len(inside) == rows and sum(x < low for x in ordered) == below and below <= rank < below + rows
+        assert rows <= 20 or len(set(inside)) == 1
+    got = dict(tuple(x) for x in S.quantiles(v, "v", [0.3, 0.5, 0.55], exact=True, accuracy=100, bucket_rows=20, parts=parts).collect())
+    assert got == {q: pytest.approx(float(np.quantile(np.array(values), q))) for q in (0.3, 0.5, 0.55)}
