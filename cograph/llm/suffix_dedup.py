@@ -77,33 +77,46 @@ def repeated(data: np.ndarray, starts: np.ndarray, groups: np.ndarray, length: i
     """Multikey quicksort of the suffixes at ``starts`` within ``groups``: mask
     of those that agree with another one of their group in ``length`` bytes.
 
-    Each round sorts what is still tied by the next eight bytes; a suffix that
-    differs from all others leaves.
+    Each round sorts what is still tied by the next eight bytes, where a tie has
+    different ones; a suffix that differs from all others leaves.
     """
     padded = np.concatenate((data, np.zeros(8, np.uint8)))
     word = np.zeros(len(data), np.uint64)
     for i in range(8):
         word = word << np.uint64(8) | padded[i:i + len(data)]
-    active, tied = np.arange(len(starts)), groups
+    active = np.argsort(groups, kind="stable")
+    tied = np.cumsum(np.diff(groups[active], prepend=groups[active[:1]]) != 0)
+    active, tied = _still_tied(active, tied)
     depths = [*range(0, length - 7, 8)]
     if depths[-1] + 8 < length:
         depths.append(length - 8)
     for depth in depths:
-        w = word[starts[active] + depth]
-        order = np.lexsort((w, tied))
-        active, tied, w = active[order], tied[order], w[order]
-        fresh = np.ones(len(active), bool)
-        fresh[1:] = (tied[1:] != tied[:-1]) | (w[1:] != w[:-1])
-        tied = np.cumsum(fresh) - 1
-        kept = np.bincount(tied, minlength=1)[tied] > 1
-        active, tied = active[kept], tied[kept]
         if not len(active):
             break
+        w = word[starts[active] + depth]
+        apart = np.flatnonzero((tied[1:] == tied[:-1]) & (w[1:] != w[:-1]))
+        if not len(apart):
+            continue
+        mixed = np.zeros(int(tied[-1]) + 1, bool)
+        mixed[tied[apart]] = True
+        rows = np.flatnonzero(mixed[tied])  # ties are in order, so sorting them leaves each in its place
+        order = rows[np.lexsort((w[rows], tied[rows]))]
+        active[rows], w[rows] = active[order], w[order]
+        fresh = np.zeros(len(active), bool)
+        fresh[1:] = (tied[1:] != tied[:-1]) | (w[1:] != w[:-1])
+        active, tied = _still_tied(active, np.cumsum(fresh))
     found = np.zeros(len(starts), bool)
     found[active] = True
     return found
 
 
+def _still_tied(active: np.ndarray, tied: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without those that are alone; ``tied`` numbers ties in order, from 0."""
+    sizes = np.bincount(tied)
+    kept = sizes[tied] > 1
+    return active[kept], (np.cumsum(sizes > 1) - 1)[tied[kept]]
+
+
 def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(begin, end) of the runs of true values."""
     edges = np.flatnonzero(np.diff(np.concatenate(([False], mask, [False])).astype(np.int8)))
