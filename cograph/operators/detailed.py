@@ -13,8 +13,10 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cograph.functions.bitmap import prefilter
 from cograph.functions.scale import logistic_scale
 from cograph.operators.graph import item_pairs, item_popularity, mirror_links, semi_join_items
+from cograph.session import stored
 
 # Fixed values that must equal the reference's: the reserved link_data key
 # holding the number of users behind a link (it overrides a signal type of that name, Q15).
@@ -65,7 +67,8 @@ def build_item_item_graph_detailed(typed_signals: DataFrame, logistic_param: flo
     such signals the contributing users had on either item, and NUM_USERS, the
     number of users that formed the link.
 
-    Returns (ii_links[item_A, item_B, weight, link_data], item_weights)."""
+    Returns (ii_links[item_A, item_B, weight, link_data], item_weights); the
+    kept links are written when this is called."""
     sig = typed_signals.filter(F.col("user").isNotNull() & F.col("item").isNotNull())
     # one partial+final aggregate per (user, item, type); the type domain is small
     per_type = sig.groupBy("user", "item", "signal_type").agg(
@@ -83,7 +86,10 @@ def build_item_item_graph_detailed(typed_signals: DataFrame, logistic_param: flo
     half = (pairs.groupBy("item_A", "item_B")
             .agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("num_users"))
             .filter(F.col("weight") >= F.lit(float(min_link_weight))))
-    kept = pairs.select("user", "item_A", "item_B").join(half.select("item_A", "item_B"), ["item_A", "item_B"])
+    half = stored(half, "detailed-links")
+    # of the pairs that are no part of a kept link, a bitmap of the links stops most before they are shuffled
+    ends = ["item_A", "item_B"]
+    kept = prefilter(pairs.select("user", *ends), half, ends).join(half.select(*ends), ends)
     ends = kept.select("user", "item_A", "item_B", F.explode(F.array("item_A", "item_B")).alias("item"))
     counts = per_type.filter(typed & F.col("user").isNotNull()).select("user", "item", "signal_type", "cnt")
     long = (ends.join(counts, ["user", "item"])

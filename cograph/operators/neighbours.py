@@ -13,9 +13,10 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cograph.functions.bitmap import prefilter
 from cograph.functions.ranking import top_k
 from cograph.functions.scale import sort_key
 from cograph.functions.skew import splittable_join
@@ -34,7 +35,7 @@ def direct_neighbours(ii_links: DataFrame, num_recs: int) -> DataFrame:
 
 def _pruned_graph(ii_links: DataFrame, nhood: int | None, carry: Sequence[str]) -> DataFrame:
     """Distance graph pruned to each item's ``nhood`` nearest neighbours
-    (``None``: not pruned; then the work per item is no longer bounded).
+    (``None``: not pruned, but ranked; then the work per item is no longer bounded).
     Links with weight <= 0 or null have no finite distance and are dropped (Q11);
     links with a null end are dropped too.  The explicit not-null filters make
     every reader of this graph carry the same filters (the optimizer would
@@ -61,9 +62,13 @@ def _best_paths(graph: DataFrame, hop_targets: DataFrame, num_recs: int,
     let Spark compute it once and reuse the exchange.  ``tie`` is a last
     tie-break that never decides anything:
     (item_A, item_B, mid) already identifies a path."""
+    bounded = "bound" in graph.columns
     g, h = graph.alias("g"), hop_targets.alias("h")
     # an item that very many others point at (a hub) is split over tasks
     j = splittable_join(g, h, "g.item_B", "h.item_A", "left")
+    if bounded:  # a path beyond the bound is none; with the first continuation its first hop goes on as a direct edge
+        near = F.coalesce(sort_key(F.col("g.dist") + F.col("h.dist")) <= sort_key("g.bound"), F.lit(True))
+        j = j.filter(F.col("h.item_A").isNull() | (F.col("h.hop_rank") == 1) | near)
 
     def parts(side):
         return ([F.col(f"{side}.raw_weight"), F.col(f"{side}.hop_rank")]
@@ -76,7 +81,7 @@ def _best_paths(graph: DataFrame, hop_targets: DataFrame, num_recs: int,
         F.col("g.item_A").alias("item_A"), F.col("g.item_B").alias("item_B"), F.col("g.dist").alias("dist"),
         F.col("g.raw_weight").alias("raw_weight"), *[F.col(f"g.{c}").alias(c) for c in carry],
         F.lit(None).cast(key_type).alias("mid"), F.lit(0).alias("indirect"), F.lit(None).cast(tie_type).alias("tie"))
-    two = F.when(F.col("h.item_A").isNotNull(), F.struct(
+    two = F.when(F.col("h.item_A").isNotNull() & near if bounded else F.col("h.item_A").isNotNull(), F.struct(
         F.col("g.item_A").alias("item_A"), F.col("h.item_B").alias("item_B"),
         (F.col("g.dist") + F.col("h.dist")).alias("dist"), F.lit(None).cast("double").alias("raw_weight"),
         *[F.lit(None).cast(graph.schema[c].dataType).alias(c) for c in carry],
@@ -86,6 +91,7 @@ def _best_paths(graph: DataFrame, hop_targets: DataFrame, num_recs: int,
     cand = (j.select(F.explode(F.array(F.when(first, direct), two)).alias("c")).filter(F.col("c").isNotNull())
             .select("c.*").filter(F.col("item_A") != F.col("item_B")))
     if dest_items is not None:
+        cand = prefilter(cand, dest_items, ["item_B"], ["item"])
         cand = cand.join(dest_items, cand["item_B"] == dest_items["item"], "left_semi")
     # Candidates per item_A are bounded (nhood + nhood^2), so one exchange by
     # item_A serves both the per-pair arg-min and the per-item top-N windows.
@@ -101,13 +107,40 @@ def _best_paths(graph: DataFrame, hop_targets: DataFrame, num_recs: int,
     return ranked.select(*out)
 
 
-def two_hop_neighbours(ii_links: DataFrame, nhood: int, num_recs: int,
-                       carry: Sequence[str] = (), with_linking_item: bool = False) -> DataFrame:
+def _bounded(graph: DataFrame, num_recs: int) -> DataFrame:
+    """The distance graph with ``bound``: the distance of item_A's
+    ``num_recs``-th nearest other item, null if it has fewer.  That many direct
+    edges are at least as near, so no path beyond it can be among the nearest
+    ``num_recs``.  A (item_A, item_B) pair must occur once."""
+    own = Window.partitionBy("item_A")
+    itself = F.max((F.col("item_A") == F.col("item_B")).cast("int")).over(own)
+    marked = graph.withColumn("__self", itself)
+    nth = F.max(F.when(F.col("hop_rank") == F.lit(num_recs) + F.col("__self"), F.col("dist"))).over(own)
+    return marked.withColumn("bound", nth).drop("__self")
+
+
+def two_hop_neighbours(ii_links: DataFrame, nhood: int | None, num_recs: int,
+                       carry: Sequence[str] = (), with_linking_item: bool = False, bounded: bool = False) -> DataFrame:
     """N2 (and N5 with ``carry=['link_data'], with_linking_item=True``): best
     recommendations among the 2-neighbourhood of each item, distance = 1/weight,
-    a path through an intermediate item may beat a weak direct link."""
+    a path through an intermediate item may beat a weak direct link.
+
+    ``bounded`` gives the same recommendations from fewer candidates, for a
+    large ``nhood`` or none: continuations that lead beyond the distance of
+    item_A's ``num_recs``-th nearest neighbour are dropped in the join, before
+    the candidates are shuffled and ranked.  It needs links without repeated
+    (item_A, item_B) pairs."""
     graph = _pruned_graph(ii_links, nhood, carry)
-    return _best_paths(graph, graph, num_recs, carry, None, with_linking_item)
+    return _best_paths(_bounded(graph, num_recs) if bounded else graph, graph, num_recs, carry, None, with_linking_item)
+
+
+def candidate_rows(ii_links: DataFrame, nhood: int | None, num_recs: int) -> DataFrame:
+    """(bounded, rows): two-hop paths that the search ranks, without and with the bound."""
+    graph = _pruned_graph(ii_links, nhood, ())
+    g, h = _bounded(graph, num_recs).alias("g"), graph.alias("h")
+    j = splittable_join(g, h, "g.item_B", "h.item_A").select(F.coalesce(sort_key(F.col("g.dist") + F.col("h.dist")) <= sort_key("g.bound"), F.lit(True)).alias("near"))
+    counts = j.agg(F.count(F.lit(1)).alias("a"), F.count(F.when(F.col("near"), 1)).alias("b"))
+    return counts.select(F.inline(F.array(F.struct(F.lit(False).alias("bounded"), F.col("a").alias("rows")), F.struct(F.lit(True).alias("bounded"), F.col("b").alias("rows")))))
 
 
 def available_neighbours(ii_links: DataFrame, source_items: DataFrame, dest_items: DataFrame,

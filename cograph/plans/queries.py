@@ -27,10 +27,11 @@ from cograph.plans import oracle_sql as Q
 from cograph.plans import pipeline as P
 from cograph.plans import recommenders as R
 from cograph.plans.settings import (BOT_THRESHOLD, FX1, FX2, FX3, N2_NHOOD, N2_RECS, N4_NHOOD, QUALITY_Q,
-                                    QUALITY_Y, SELECT_ITEMS, TOP_K_QUERY, UNCAPPED_BLOCK, fx2)
+                                    QUALITY_Y, SELECT_ITEMS, TOP_K_QUERY, UNCAPPED_BLOCK, WIDE_NHOOD, WIDE_RECS, fx2)
 from cograph.sources import io as IO
+from cograph.sources import keyed_sink as KS
 from cograph.sources import testdata as TD
-from cograph.session import scratch_folder
+from cograph.session import scratch_folder, stored
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -154,6 +155,13 @@ def q_neighbours_two_hop(spark, d):
     return N.two_hop_neighbours(_bayes1(spark, d), N2_NHOOD, N2_RECS)
 
 
+@query("rec_item_item_wide", Q._with(_G4_1 + Q.g5(FX1.prior) + Q.n2(WIDE_NHOOD, WIDE_RECS),
+                                     _sel(REC_COLS, "recs", ("weight", "raw_weight"))))
+def q_rec_item_item_wide(spark, d):
+    """E1 with a neighbourhood far larger than the list: paths are followed as far as the list reaches."""
+    return R.item_item_recs(_fx1(spark, d), FX1.with_(initial_nhood_size=WIDE_NHOOD, num_recs_per_item=WIDE_RECS))
+
+
 @query("rec_item_item", Q._with(_G4_1 + Q.g5(FX1.prior) + Q.n2(FX1.initial_nhood_size, FX1.num_recs_per_item),
                                 _sel(REC_COLS, "recs", ("weight", "raw_weight"))))
 def q_rec_item_item(spark, d):
@@ -621,6 +629,19 @@ def q_serving_item_recs(spark, d):
     return IO.serving_item_recs(q_item_recs_output(spark, d))
 
 
+@query("keyed_sink", Q._with(
+    _QG, "SELECT item AS repo_lowered, rank, rec, language AS lang, num_forks AS forks, num_stars AS stars, "
+         f"description FROM ({_IRO})"))
+def q_keyed_sink(spark, d):
+    """S6 through the committing sink: stale rows of all keys are put first and
+    replaced by the present ones, which are put twice."""
+    rows = stored(IO.serving_item_recs(q_item_recs_output(spark, d)), "item-recs")
+    path = scratch_folder(spark, "keyed")
+    for put in (rows.withColumns({"rec": F.lit("stale"), "stars": F.lit(-1)}), rows, rows):
+        KS.put_rows(put, path, "repo_lowered", "rank", buckets=8)
+    return KS.read_rows(spark, path, rows.schema)
+
+
 def _channels(spark, d):
     t = _stage2(spark, d)
     return t, R.both_channels(t["contrib-signals"], t["interest-signals"]), t["item-item-graph"]

@@ -22,10 +22,12 @@ def _graph(signals: DataFrame, p: RecParams):
 
 
 def item_item_recs(signals: DataFrame, p: RecParams = RecParams()) -> DataFrame:
-    """G4 -> G5 -> N2."""
+    """G4 -> G5 -> N2.  A neighbourhood larger than the list (or without
+    limit) is expanded only as far as the list reaches."""
     links, weights = _graph(signals, p)
     adj = G.bayes_adjust(links, weights, p.prior)
-    return N.two_hop_neighbours(adj, p.initial_nhood_size, p.num_recs_per_item)
+    wide = p.initial_nhood_size is None or p.initial_nhood_size > p.num_recs_per_item
+    return N.two_hop_neighbours(adj, p.initial_nhood_size, p.num_recs_per_item, bounded=wide)
 
 
 def user_item_recs(signals: DataFrame, item_recs: DataFrame, p: RecParams = RecParams()) -> DataFrame:

@@ -20,6 +20,7 @@ def fx2(rows: int) -> RecParams:
 FX3 = RecParams.application()
 
 N2_NHOOD, N2_RECS = 5, 20      # neighbourhood pruning that leaves room for indirect recs
+WIDE_NHOOD, WIDE_RECS = 60, 10  # a neighbourhood far larger than the list
 N4_NHOOD = 5
 TOP_K_QUERY = 10               # top_links_per_user
 UNCAPPED_BLOCK = 16            # item_item_graph_uncapped: most users of FX1 have more items
