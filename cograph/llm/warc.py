@@ -227,7 +227,8 @@ def write_archive(pages: DataFrame, out_dir: str, w: Writer = Writer()) -> DataF
             yield close()
 
     _make_folder(out_dir)
-    written = rows.repartition(shuffle_partitions(spark), "shard").sortWithinPartitions("shard", F.asc_nulls_first("page_id"), "kind", "url", "html") \
+    # one task for each shard at least, so that a task's bytes do not grow with the table
+    written = rows.repartition(max(shuffle_partitions(spark), len(cuts) + 1), "shard").sortWithinPartitions("shard", F.asc_nulls_first("page_id"), "kind", "url", "html") \
         .select("shard", "page_id", "kind", "url", "html", "refers_to").mapInArrow(run, "shard int, part int, name string, records long, bytes long, sha1 string")
     written.write.mode("errorifexists").parquet(f"{out_dir}/manifest")
     return spark.read.parquet(f"{out_dir}/manifest")
