@@ -37,16 +37,16 @@ def _rows(df):
 def test_days_give_the_tables_of_a_full_run(spark, tmp_path):
     paths = {day: _write(tmp_path / day, rows) for day, rows in DAYS.items()}
     root, full = str(tmp_path / "inc"), str(tmp_path / "full")
-    for n, (day, path) in enumerate(paths.items(), 1):
-        served = INC.run_day(spark, IO.read_event_logs(spark, path), root, day, PARAMS)
-        assert INC.versions(spark, root) == [n] if n == 1 else INC.versions(spark, root) == [n - 1, n]
-        assert set(served) == set(P.SERVING)
-        # as if all days so far had been read at once
-        P.run_pipeline(spark, [paths[d] for d in list(paths)[:n]], full, PARAMS, snapshot=day)
-        for name in [*P.STAGE1[1:], *P.STAGE2, *P.STAGE3]:
-            assert _rows(spark.read.parquet(f"{root}/tables/{name}")) == _rows(spark.read.parquet(f"{full}/{name}")), name
-        for name in P.SERVING:
-            assert _rows(spark.read.parquet(f"{root}/tables/serving/{name}_{day}")) == _rows(spark.read.parquet(f"{full}/serving/{name}_{day}")), name
+    for n, day in enumerate(["d1", "d2"], 1):
+        INC.advance(spark, IO.read_event_logs(spark, paths[day]), root, day)
+        assert INC.versions(spark, root) == [1, 2][:n]
+    served = INC.run_day(spark, IO.read_event_logs(spark, paths["d3"]), root, "d3", PARAMS)
+    assert INC.versions(spark, root) == [2, 3] and set(served) == set(P.SERVING)
+    P.run_pipeline(spark, list(paths.values()), full, PARAMS, snapshot="d3")  # as if all days had been read at once
+    for name in [*P.STAGE1[1:], *P.STAGE2, *P.STAGE3]:
+        assert _rows(spark.read.parquet(f"{root}/tables/{name}")) == _rows(spark.read.parquet(f"{full}/{name}")), name
+    for name in P.SERVING:
+        assert _rows(spark.read.parquet(f"{root}/tables/serving/{name}_d3")) == _rows(spark.read.parquet(f"{full}/serving/{name}_d3")), name
 
 
 def test_a_day_is_merged_once_and_a_broken_merge_leaves_the_version_before(spark, tmp_path, monkeypatch):
@@ -80,7 +80,22 @@ def test_states_merge(spark, tmp_path):
         assert _rows(at_once) == _rows(merged), name
 
 
-def test_malformed_lines_are_kept(spark, tmp_path):
+@pytest.fixture
+def only_parsing(spark, monkeypatch):
+    """The stages after the first write an empty table each."""
+    def tables(names):
+        def work(*args, **kw):
+            root = next(a for a in args if isinstance(a, str))
+            for n in names:
+                IO.write_table(spark.range(0).toDF("x"), f"{root}/{n}")
+        return work
+
+    monkeypatch.setattr(P, "stage_item_graph", tables(P.STAGE2))
+    monkeypatch.setattr(P, "stage_user_recs", tables([*P.STAGE3, P.DEDUPED]))
+    monkeypatch.setattr(P, "stage_serving", tables([f"serving/{n}" for n in P.SERVING]))
+
+
+def test_malformed_lines_are_kept(spark, tmp_path, only_parsing):
     paths = _write_logs(tmp_path)
     (tmp_path / "more").mkdir()
     odd = json.dumps(_ev("zoe", "own", "tool", False, "WatchEvent", "2014-01-02T00:00:00")).replace('"forks":', '"forks": "many", "x":')
@@ -97,7 +112,7 @@ def test_malformed_lines_are_kept(spark, tmp_path):
     assert P.run_pipeline(spark, [*paths, str(tmp_path / "more")], root, PARAMS) == []
 
 
-def test_a_file_rewritten_in_place_starts_all_stages_again(spark, tmp_path):
+def test_a_file_rewritten_in_place_starts_all_stages_again(spark, tmp_path, only_parsing):
     path, root = _write(tmp_path / "logs", DAYS["d1"]), str(tmp_path / "out")
     every = ["parse", "item_graph", "user_recs", "serving"]
     assert P.run_pipeline(spark, path, root, PARAMS) == every and P.run_pipeline(spark, path, root, PARAMS) == []
