@@ -167,20 +167,36 @@ class Shard:
         for d, x in enumerate(ids):
             t, w = term_weights(x, idf, mean, p)
             terms.append(t)
-            docs.append(np.full(len(t), d, np.int32))
-            weights.append(w.astype(np.float32))
+            docs.append(np.full(len(t), d, np.int64))
+            weights.append(w.astype(np.float32).astype(float))  # as numpy's weighted counts take them
             self.queries.append(t)
         term = np.concatenate(terms)
         order = np.argsort(term, kind="stable")
-        self.docs, self.weights = np.concatenate(docs)[order], np.concatenate(weights)[order]
-        term = term[order]
-        size = int(term[-1]) + 2
-        self.starts = np.searchsorted(term, np.arange(size))
+        self._hold(term[order], np.concatenate(docs)[order], np.concatenate(weights)[order])
         self.unused = np.ones(self.n, bool)
+        self.left = self.held = self.n
+
+    def _hold(self, term: np.ndarray, docs: np.ndarray, weights: np.ndarray) -> None:
+        self.term, self.docs, self.weights = term, docs, weights
+        self.starts = np.searchsorted(term, np.arange((int(term[-1]) if len(term) else -1) + 2))
+
+    def take(self, doc: int) -> None:
+        """Marks ``doc`` as used; when half of the postings belong to used documents, those go."""
+        self.unused[doc] = False
+        self.left -= 1
+        if 2 * self.left < self.held:
+            kept = self.unused[self.docs]
+            self._hold(self.term[kept], self.docs[kept], self.weights[kept])
+            self.held = self.left
 
     def neighbours(self, doc: int) -> Iterator[int]:
         """Unused documents that share a term with ``doc``, best first, ties to the smaller number."""
-        spans = [slice(self.starts[t], self.starts[t + 1]) for t in self.queries[doc].tolist()]
+        asked = self.queries[doc]
+        asked = asked[:np.searchsorted(asked, len(self.starts) - 1)]  # the highest terms may be gone
+        begin, end = self.starts[asked], self.starts[asked + 1]
+        spans = [slice(a, b) for a, b in zip(begin[begin < end].tolist(), end[begin < end].tolist())]
+        if not spans:
+            return
         at = np.concatenate([self.docs[s] for s in spans])
         scores = np.bincount(at, np.concatenate([self.weights[s] for s in spans]), minlength=self.n)
         scores[~self.unused] = 0
@@ -214,7 +230,7 @@ def fill(sizes: list[int], shard: Shard, window: int) -> list[tuple[int, int, in
                 next_seed += 1
             d = doc = next_seed
             neighbours = iter(())
-        shard.unused[d] = False
+        shard.take(d)
         start = 0
         while start < sizes[d]:
             length = min(room, sizes[d] - start)
@@ -257,7 +273,7 @@ def pack(docs: DataFrame, tokenizer_file: str, p: Packing = Packing()) -> DataFr
     n_docs, n_tokens = total["docs"], total["tokens"] or 0
     mean = n_tokens / max(1, n_docs)
     df = document_frequencies(tokens)
-    keyed = keyed_tokens(tokens, df, n_docs, mean, p)
+    keyed = scratch_table(keyed_tokens(tokens, df, n_docs, mean, p), "pack-keys")  # the ranges are sampled from it
     shards = max(1, -(-n_tokens // p.shard_tokens))
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
                         ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])

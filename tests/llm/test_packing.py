@@ -124,3 +124,20 @@ def test_lexical_neighbours_share_a_shard(spark):
     assert len(set(shard.values())) > 8
     together = [shard[t * 4] == shard[t * 4 + i] for t in range(120) for i in (1, 2, 3)]
     assert np.mean(together) > 0.3  # by chance one in as many as there are shards
+
+
+def test_dropping_used_documents_changes_no_window(monkeypatch):
+    r = np.random.default_rng(5)
+    ids = [np.append(r.zipf(1.3, r.integers(1, 400)) % 900, 1).astype(np.uint32) for _ in range(400)]
+    df = np.bincount(np.concatenate([np.unique(x) for x in ids]), minlength=901)
+    idf, mean, p = packing._idf(df, len(ids)), float(np.mean([len(x) for x in ids])), packing.Packing(window=512)
+    sizes = [len(x) for x in ids]
+    shard = packing.Shard(ids, idf, mean, p)
+    dropped = packing.fill(sizes, shard, p.window)
+    assert shard.held < len(ids) / 50 and len(shard.docs) < 1000
+
+    def keep(self, doc):
+        self.unused[doc] = False
+
+    monkeypatch.setattr(packing.Shard, "take", keep)
+    assert packing.fill(sizes, packing.Shard(ids, idf, mean, p), p.window) == dropped
