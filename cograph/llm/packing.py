@@ -159,7 +159,14 @@ def keyed_tokens(tokens: DataFrame, df: np.ndarray, n_docs: int, mean: float, p:
 
 
 class Shard:
-    """BM25 index of one shard's documents; a seed asks with all its terms."""
+    """BM25 index of one shard's documents; a seed asks with all its terms.
+
+    A term that many of the documents hold has its weights as a row with one
+    number for each document, which is added as a whole; the others have
+    posting lists.  Weights are rounded to 24 bits, so that sums do not depend
+    on their order."""
+
+    DENSE = 10  # a row takes less time than a list of over one document in so many
 
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean: float, p: Packing):
         self.n = len(ids)
@@ -168,50 +175,65 @@ class Shard:
             t, w = term_weights(x, idf, mean, p)
             terms.append(t)
             docs.append(np.full(len(t), d, np.int64))
-            weights.append(w.astype(np.float32).astype(float))  # as numpy's weighted counts take them
+            weights.append(w.astype(np.float32).astype(float))
             self.queries.append(t)
         term = np.concatenate(terms)
         order = np.argsort(term, kind="stable")
-        self._hold(term[order], np.concatenate(docs)[order], np.concatenate(weights)[order])
         self.unused = np.ones(self.n, bool)
-        self.left = self.held = self.n
-
-    def _hold(self, term: np.ndarray, docs: np.ndarray, weights: np.ndarray) -> None:
-        self.term, self.docs, self.weights = term, docs, weights
-        self.starts = np.searchsorted(term, np.arange((int(term[-1]) if len(term) else -1) + 2))
+        self.left = self.n
+        self._hold(np.arange(self.n), term[order], np.concatenate(docs)[order], np.concatenate(weights)[order])
+
+    def _hold(self, numbers: np.ndarray, term: np.ndarray, docs: np.ndarray, weights: np.ndarray) -> None:
+        """Index of the documents ``numbers``; postings, in the order of their terms, have places in it."""
+        self.numbers, self.held = numbers, len(numbers)
+        counts = np.bincount(term, minlength=1)
+        often = counts * self.DENSE > self.held
+        self.row = np.where(often, np.cumsum(often) - 1, -1)
+        self.rows = np.zeros((int(often.sum()), self.held))
+        dense = often[term]
+        self.rows[self.row[term[dense]], docs[dense]] = weights[dense]
+        self.term, self.docs, self.weights = term[~dense], docs[~dense], weights[~dense]
+        self.starts = np.concatenate(([0], np.cumsum(np.where(often, 0, counts))))
 
     def take(self, doc: int) -> None:
-        """Marks ``doc`` as used; when half of the postings belong to used documents, those go."""
+        """Marks ``doc`` as used; when half of the documents held are used, those go."""
         self.unused[doc] = False
         self.left -= 1
         if 2 * self.left < self.held:
-            kept = self.unused[self.docs]
-            self._hold(self.term[kept], self.docs[kept], self.weights[kept])
-            self.held = self.left
+            stays = self.unused[self.numbers]
+            place = np.cumsum(stays) - 1
+            kept = stays[self.docs]
+            often = np.flatnonzero(self.row >= 0)
+            rows = self.rows[:, stays]
+            r, d = np.nonzero(rows)
+            term = np.concatenate((self.term[kept], often[r]))
+            order = np.argsort(term, kind="stable")
+            self._hold(self.numbers[stays], term[order], np.concatenate((place[self.docs[kept]], d))[order],
+                       np.concatenate((self.weights[kept], rows[r, d]))[order])
 
     def neighbours(self, doc: int) -> Iterator[int]:
         """Unused documents that share a term with ``doc``, best first, ties to the smaller number."""
         asked = self.queries[doc]
-        asked = asked[:np.searchsorted(asked, len(self.starts) - 1)]  # the highest terms may be gone
+        asked = asked[:np.searchsorted(asked, len(self.row))]  # the highest terms may be gone
         begin, end = self.starts[asked], self.starts[asked + 1]
         spans = [slice(a, b) for a, b in zip(begin[begin < end].tolist(), end[begin < end].tolist())]
-        if not spans:
-            return
-        at = np.concatenate([self.docs[s] for s in spans])
-        scores = np.bincount(at, np.concatenate([self.weights[s] for s in spans]), minlength=self.n)
-        scores[~self.unused] = 0
-        best = 8
-        seen = 0
+        numbers, n = self.numbers, self.held
+        scores = np.bincount(np.concatenate([self.docs[s] for s in spans]), np.concatenate([self.weights[s] for s in spans]), minlength=n) \
+            if spans else np.zeros(n)
+        for r in self.row[asked].tolist():
+            if r >= 0:
+                scores += self.rows[r]
+        scores[~self.unused[numbers]] = 0
+        best, done = 8, np.inf
         while True:
-            found = np.flatnonzero(scores) if best >= self.n else np.argpartition(-scores, best)[:best]
-            found = found[np.lexsort((found, -scores[found]))]
-            found = found[scores[found] > 0]
-            for d in found[seen:].tolist():
+            low = -np.partition(-scores, best - 1)[best - 1] if best < n else 0
+            found = np.flatnonzero((scores < done) & (scores >= low) & (scores > 0))  # with all ties of the last
+            for d in numbers[found[np.lexsort((found, -scores[found]))]].tolist():
                 if self.unused[d]:
                     yield d
-            if len(found) < best or best >= self.n:
+            if low <= 0:
                 return
-            seen, best = 0, best * 8
+            best, done = best * 8, low
 
 
 def fill(sizes: list[int], shard: Shard, window: int) -> list[tuple[int, int, int, int, int]]:

@@ -141,3 +141,31 @@ def test_dropping_used_documents_changes_no_window(monkeypatch):
 
     monkeypatch.setattr(packing.Shard, "take", keep)
     assert packing.fill(sizes, packing.Shard(ids, idf, mean, p), p.window) == dropped
+
+
+def test_rows_of_frequent_terms_rank_as_lists_do(monkeypatch):
+    """Ties included: a seventh of the documents are copies of others."""
+    r = np.random.default_rng(6)
+    ids = [np.append(r.zipf(1.3, r.integers(1, 300)) % 900, 1).astype(np.uint32) for _ in range(300)]
+    ids += [ids[i] for i in r.integers(0, 300, 50)]
+    df = np.bincount(np.concatenate([np.unique(x) for x in ids]), minlength=901)
+    idf, mean, p = packing._idf(df, len(ids)), float(np.mean([len(x) for x in ids])), packing.Packing(window=512)
+    sizes = [len(x) for x in ids]
+    shard = packing.Shard(ids, idf, mean, p)
+    assert len(shard.rows) and len(shard.docs)
+    ranked = [list(shard.neighbours(d)) for d in range(0, 350, 7)]
+    filled = packing.fill(sizes, shard, p.window)
+    monkeypatch.setattr(packing.Shard, "DENSE", 0)
+    lists = packing.Shard(ids, idf, mean, p)
+    assert not len(lists.rows)
+    assert [list(lists.neighbours(d)) for d in range(0, 350, 7)] == ranked
+    assert packing.fill(sizes, lists, p.window) == filled
+
+
+def test_neighbours_break_ties_by_number():
+    """More documents with one score than the first look takes."""
+    ids = [np.array([5, 6, 1], np.uint32)] + [np.array([5, 1], np.uint32) for _ in range(40)]
+    df = np.bincount(np.concatenate([np.unique(x) for x in ids]), minlength=8)
+    shard = packing.Shard(ids, packing._idf(df, 41), 2.0, packing.Packing())
+    shard.take(0)
+    assert list(shard.neighbours(0)) == list(range(1, 41))
