@@ -53,12 +53,15 @@ def scratch_dir(spark: SparkSession) -> str:
     return d[len("file:"):] if d.startswith("file:") and not d.startswith("file://") else d
 
 
+#: Spark removes the shuffle files of an execution when that ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _made: list[tuple] = []
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder for intermediate tables below the shared folder.  Results may
-    be read lazily at any time, so it is removed when the driver ends."""
+    be read lazily at any time, so it is removed when the driver ends (or by `discard`)."""
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     if not _made:
         atexit.register(_remove_scratch)
@@ -66,12 +69,32 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read again: evaluated once, whatever
-    reads it, and a lost executor cannot change what later steps see."""
-    path = scratch_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    reads it, and a lost executor cannot change what later steps see.  With the
+    table committed, the shuffle files it was made from are removed."""
+    spark = df.sparkSession
+    path = scratch_folder(spark, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Removes the files of a `stored` table that nothing reads any more."""
+    files = table.inputFiles()
+    for made in [m for m in _made if files and f"/{m[2].rsplit('/', 1)[-1]}/" in files[0]]:
+        jvm, conf, path = made
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+        _made.remove(made)
 
 
 def _remove_scratch() -> None:

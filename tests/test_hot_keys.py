@@ -105,3 +105,24 @@ def test_salted_join_is_the_plain_join(spark, how, hint):
     want = large.join(small, "k", how)
     assert got.columns == want.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_stored_tables_leave_no_shuffle_files(spark, tmp_path):
+    """A stored table is read again and again after its shuffle is gone; a discarded one is gone itself."""
+    import os
+
+    from cograph.session import SHUFFLE_CLEANUP, discard, stored
+
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    sums = spark.range(50_000).selectExpr("id % 997 as k", "id as v").groupBy("k").sum("v")
+    table = stored(sums, "sums")
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+    assert table.count() == table.count() == sums.count() == 997
+    again = stored(table.join(sums.withColumnRenamed("sum(v)", "other"), "k"), "again")
+    folder = os.path.dirname(table.inputFiles()[0].removeprefix("file:"))
+    discard(table)
+    assert not os.path.exists(folder) and again.count() == 997
+    other = spark.range(3)
+    other.write.parquet(str(tmp_path / "other"))
+    discard(spark.read.parquet(str(tmp_path / "other")))  # no stored table: left alone
+    assert spark.read.parquet(str(tmp_path / "other")).count() == 3
