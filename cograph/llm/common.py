@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cograph.session import scratch_folder
+from cograph.session import stored
 
 #: Arrow batches that go to Python hold at most this many bytes.
 BATCH_BYTES = 8 << 20
@@ -23,9 +23,7 @@ def small_batches(spark: SparkSession, n_bytes: int = BATCH_BYTES) -> None:
 def scratch_table(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """``df`` written to the shared checkpoint folder and read again: lineage
     ends here, and a lost executor costs only the tasks of the current stage."""
-    path = scratch_folder(df.sparkSession, name)
-    df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored(df, name, codec)
 
 
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cograph.functions.skew import salted_join
 from cograph.llm.common import scratch_table
+from cograph.session import discard
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -22,7 +23,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     def mark(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
-    seen = mark(edges)
+    seen, first = mark(edges), edges
     nodes = edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct()
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -33,7 +34,10 @@ def connected_components(links: DataFrame) -> DataFrame:
         small = salted_join(large, least, "u", hint="merge").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        edges = scratch_table(small.filter("u <> v").distinct(), "cc-small")
+        old, edges = edges, scratch_table(small.filter("u <> v").distinct(), "cc-small")
+        discard(large)
+        if old is not first:  # the nodes are read from it
+            discard(old)
         before, seen = seen, mark(edges)
         if seen == before:
             break
