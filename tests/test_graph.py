@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -166,3 +167,21 @@ def test_add_item_item_recommender_null_mode_keeps_complete_rows(spark):
     null_targets = {r.item_B for r in item_item_recs_add_item_item(sig, extra, p, missing="null").collect()}
     zero_targets = {r.item_B for r in item_item_recs_add_item_item(sig, extra, p, missing="zero").collect()}
     assert "z" not in null_targets and "z" not in zero_targets
+
+
+def test_pairs_of_a_task_are_bounded(spark, monkeypatch):
+    """More pairs, more tasks, whatever the number of shuffle partitions; the links stay the same."""
+    rows = [(u, (u * 7 + i * i) % 40, float(1 + (u + i) % 3)) for u in range(60) for i in range(12)]
+    sig = spark.createDataFrame(rows, "user int, item int, weight double")
+    links = lambda: sorted((r.item_A, r.item_B, round(r.weight, 9)) for r in G.build_item_item_graph(sig, 1.0, 1.0, 10)[0].collect())
+    before, want = spark.conf.get(G.PARTITIONS_CONF, None), links()
+    ui = G.aggregate_signals(sig, 1.0)
+    pairs = sum(min(n, 10) * (min(n, 10) - 1) // 2 for n in Counter(r.user for r in ui.collect()).values())
+    monkeypatch.setattr(G, "TASK_PAIRS", 100)
+    try:
+        tasks = -(-pairs // 100)
+        assert tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert G.dealt_by_pairs(ui, 10).rdd.getNumPartitions() == tasks == int(spark.conf.get(G.PARTITIONS_CONF))
+        assert links() == want != []
+    finally:
+        spark.conf.unset(G.PARTITIONS_CONF) if before is None else spark.conf.set(G.PARTITIONS_CONF, before)
