@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,3 +67,19 @@ def test_the_cap_keeps_the_plain_join_unless_it_is_large(spark):
     ui = spark.createDataFrame(items(), "user string, item int, weight double")
     plan = lambda cap: G.item_pairs(ui, cap, block_items=50)._jdf.queryExecution().optimizedPlan().toString()
     assert "explode" not in plan(50) and "explode" in plan(51) and "explode" in plan(None)
+
+
+def test_cells_are_dealt_by_their_pairs(spark, monkeypatch):
+    """More pairs, more tasks without a cap as with one; the links stay the same."""
+    ui = spark.createDataFrame(items(5), "user string, item int, weight double")
+    links = lambda: sorted((r.item_A, r.item_B, round(r.weight, 9)) for r in G.build_item_item_graph(ui, 1.0, 0.5, None, block_items=30)[0].collect())
+    before, want = spark.conf.get(G.PARTITIONS_CONF, None), links()
+    monkeypatch.setattr(G, "TASK_PAIRS", 1000)
+    try:
+        assert links() == want != []
+        tasks = G.pair_tasks(G.aggregate_signals(ui, 1.0), None)
+        assert tasks >= 400 * 399 // 2 // 1000 and int(spark.conf.get(G.PARTITIONS_CONF)) == tasks
+        plan = G.contract_in_blocks(ui, block_items=30, tasks=tasks)._jdf.queryExecution().executedPlan().toString()
+        assert f"user, x, y, {tasks}" in re.sub(r"#\d+", "", plan)
+    finally:
+        spark.conf.unset(G.PARTITIONS_CONF) if before is None else spark.conf.set(G.PARTITIONS_CONF, before)
