@@ -175,3 +175,18 @@ def test_scratch_dir_when_the_session_has_none():
     d = scratch_dir(fake)
     assert d.endswith("/abc") and not d.startswith("file:")
     assert scratch_dir(fake) == d
+
+
+def test_event_logs_are_written_compressed(spark, tmp_path, monkeypatch):
+    """The log takes far less room than as plain text, in files of a bounded number of events."""
+    monkeypatch.setattr(IO, "LOG_FILE_EVENTS", 300)
+    r = {"owner": "o", "name": "n", "fork": "true", "language": None, "description": "x" * 150, "stargazers": 4, "forks": 1}
+    rows = [(f"u{i}", {"gravatar_id": None, "company": None}, r, "ForkEvent", "2012-01-01T00:00:00") for i in range(1000)]
+    logs = spark.createDataFrame(rows, IO.EVENT_SCHEMA).coalesce(1)
+    IO.write_event_logs(logs, f"{tmp_path}/logs")
+    logs.write.json(f"{tmp_path}/plain")
+    files = lambda name: [os.path.getsize(f"{tmp_path}/{name}/{f}") for f in os.listdir(f"{tmp_path}/{name}") if f.startswith("part-")]
+    assert len(files("logs")) == 4 and sum(files("logs")) < sum(files("plain")) / 5
+    back = IO.read_event_logs(spark, f"{tmp_path}/logs")
+    assert sorted(x.actor for x in back.collect()) == sorted(x[0] for x in rows)
+    assert back.select("repository.*").distinct().count() == 1
