@@ -125,8 +125,8 @@ def two_hop_neighbours(ii_links: DataFrame, nhood: int | None, num_recs: int,
     recommendations among the 2-neighbourhood of each item, distance = 1/weight,
     a path through an intermediate item may beat a weak direct link.
 
-    ``bounded`` gives the same recommendations from fewer candidates, for a
-    large ``nhood`` or none: continuations that lead beyond the distance of
+    ``bounded`` gives the same recommendations from fewer candidates, for an
+    ``nhood`` of at least ``num_recs`` or none: continuations that lead beyond the distance of
     item_A's ``num_recs``-th nearest neighbour are dropped in the join, before
     the candidates are shuffled and ranked.  It needs links without repeated
     (item_A, item_B) pairs."""

@@ -80,10 +80,12 @@ def item_item_recs_available(signals: DataFrame, source_items: DataFrame, dest_i
 
 def item_item_recs_popularity_boost(signals: DataFrame, p: RecParams = RecParams(),
                                     boost: str = "SQRT") -> DataFrame:
-    """G4 -> G6 -> N2."""
+    """G4 -> G6 -> N2.  Where the neighbourhood can fill the list, no path
+    beyond it can be in the list, and none is ranked."""
     links, weights = _graph(signals, p)
     adj = G.boost_adjust(links, weights, p.prior, boost)
-    return N.two_hop_neighbours(adj, p.initial_nhood_size, p.num_recs_per_item)
+    fills = p.initial_nhood_size is None or p.initial_nhood_size >= p.num_recs_per_item
+    return N.two_hop_neighbours(adj, p.initial_nhood_size, p.num_recs_per_item, bounded=fills)
 
 
 def quality_item_graph(interest_signals: DataFrame, item_quality: DataFrame,

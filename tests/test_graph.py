@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from cograph.operators import graph as G
 from cograph.operators import neighbours as N
+from cograph.params import RecParams
+from cograph.plans.recommenders import item_item_recs_popularity_boost
 
 L1, L3 = math.tanh(0.5), math.tanh(1.5)   # logistic_scale(1, 1), logistic_scale(3, 1)
 SIG = "user string, item string, weight double"
@@ -185,3 +187,17 @@ def test_pairs_of_a_task_are_bounded(spark, monkeypatch):
         assert links() == want != []
     finally:
         spark.conf.unset(G.PARTITIONS_CONF) if before is None else spark.conf.set(G.PARTITIONS_CONF, before)
+
+
+@pytest.mark.parametrize("boost", ["SQRT", "LOG", ""])
+def test_a_neighbourhood_as_large_as_the_list_bounds_the_paths(spark, boost):
+    """The recs of the unbounded search, and a bound in the plan."""
+    rows = [(u, (u * 7 + i * i) % 40, float(1 + (u + i) % 3)) for u in range(60) for i in range(12)]
+    sig = spark.createDataFrame(rows, "user int, item int, weight double")
+    p = RecParams(logistic_param=1.0, min_link_weight=1.0, prior=4.0, num_recs_per_item=5, initial_nhood_size=5)
+    got = item_item_recs_popularity_boost(sig, p, boost)
+    links, weights = G.build_item_item_graph(sig, 1.0, 1.0, p.max_links_per_user)
+    want = N.two_hop_neighbours(G.boost_adjust(links, weights, 4.0, boost), 5, 5)
+    rows_of = lambda df: sorted((r.item_A, r.rank, r.item_B, round(r.weight, 9), r.raw_weight is None) for r in df.collect())
+    assert "bound" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert rows_of(got) == rows_of(want) != []
