@@ -107,20 +107,28 @@ def _best_paths(graph: DataFrame, hop_targets: DataFrame, num_recs: int,
     return ranked.select(*out)
 
 
-def _bounded(graph: DataFrame, num_recs: int) -> DataFrame:
+def _bounded(graph: DataFrame, num_recs: int, repeats: bool = False) -> DataFrame:
     """The distance graph with ``bound``: the distance of item_A's
     ``num_recs``-th nearest other item, null if it has fewer.  That many direct
     edges are at least as near, so no path beyond it can be among the nearest
-    ``num_recs``.  A (item_A, item_B) pair must occur once."""
+    ``num_recs``.  A (item_A, item_B) pair must occur once, unless ``repeats``:
+    then an item counts at the nearest of its edges."""
     own = Window.partitionBy("item_A")
-    itself = F.max((F.col("item_A") == F.col("item_B")).cast("int")).over(own)
-    marked = graph.withColumn("__self", itself)
+    other = F.col("item_A") != F.col("item_B")
+    if repeats:
+        first = F.row_number().over(Window.partitionBy("item_A", "item_B").orderBy("hop_rank")) == 1
+        marked = graph.withColumn("__new", (first & other).cast("int"))
+        marked = marked.withColumn("__nth", F.sum("__new").over(own.orderBy("hop_rank").rowsBetween(Window.unboundedPreceding, 0)))
+        nth = F.max(F.when((F.col("__new") == 1) & (F.col("__nth") == num_recs), F.col("dist"))).over(own)
+        return marked.withColumn("bound", nth).drop("__new", "__nth")
+    marked = graph.withColumn("__self", F.max((~other).cast("int")).over(own))
     nth = F.max(F.when(F.col("hop_rank") == F.lit(num_recs) + F.col("__self"), F.col("dist"))).over(own)
     return marked.withColumn("bound", nth).drop("__self")
 
 
 def two_hop_neighbours(ii_links: DataFrame, nhood: int | None, num_recs: int,
-                       carry: Sequence[str] = (), with_linking_item: bool = False, bounded: bool = False) -> DataFrame:
+                       carry: Sequence[str] = (), with_linking_item: bool = False, bounded: bool = False,
+                       repeats: bool = False) -> DataFrame:
     """N2 (and N5 with ``carry=['link_data'], with_linking_item=True``): best
     recommendations among the 2-neighbourhood of each item, distance = 1/weight,
     a path through an intermediate item may beat a weak direct link.
@@ -129,9 +137,9 @@ def two_hop_neighbours(ii_links: DataFrame, nhood: int | None, num_recs: int,
     ``nhood`` of at least ``num_recs`` or none: continuations that lead beyond the distance of
     item_A's ``num_recs``-th nearest neighbour are dropped in the join, before
     the candidates are shuffled and ranked.  It needs links without repeated
-    (item_A, item_B) pairs."""
+    (item_A, item_B) pairs, or ``repeats``."""
     graph = _pruned_graph(ii_links, nhood, carry)
-    return _best_paths(_bounded(graph, num_recs) if bounded else graph, graph, num_recs, carry, None, with_linking_item)
+    return _best_paths(_bounded(graph, num_recs, repeats) if bounded else graph, graph, num_recs, carry, None, with_linking_item)
 
 
 def candidate_rows(ii_links: DataFrame, nhood: int | None, num_recs: int) -> DataFrame:

@@ -21,6 +21,11 @@ def _graph(signals: DataFrame, p: RecParams):
                                    p.max_links_per_user)
 
 
+def _fills(p: RecParams) -> bool:
+    """Whether an item's direct neighbours can fill its list."""
+    return p.initial_nhood_size is None or p.initial_nhood_size >= p.num_recs_per_item
+
+
 def item_item_recs(signals: DataFrame, p: RecParams = RecParams()) -> DataFrame:
     """G4 -> G5 -> N2.  A neighbourhood larger than the list (or without
     limit) is expanded only as far as the list reaches."""
@@ -46,11 +51,13 @@ def item_item_recs_detailed(typed_signals: DataFrame, p: RecParams = RecParams()
 
 def item_item_recs_add_item_item(signals: DataFrame, item_item_signals: DataFrame,
                                  p: RecParams = RecParams(), missing: str = "zero") -> DataFrame:
-    """G4 -> G8 -> G5 -> N2 -> keep complete rows only (P14: direct recs, Q5)."""
+    """G4 -> G8 -> G5 -> N2 -> keep complete rows only (P14: direct recs, Q5).
+    Where the neighbourhood can fill the list, no path beyond it is ranked; links
+    may repeat after G8."""
     links, weights = _graph(signals, p)
     links2, weights2 = G.add_item_item_signals(links, item_item_signals, weights, missing)
     adj = G.bayes_adjust(links2, weights2, p.prior)
-    recs = N.two_hop_neighbours(adj, p.initial_nhood_size, p.num_recs_per_item)
+    recs = N.two_hop_neighbours(adj, p.initial_nhood_size, p.num_recs_per_item, bounded=_fills(p), repeats=True)
     return recs.dropna(subset=["item_A", "item_B", "weight", "raw_weight", "rank"])
 
 
@@ -84,8 +91,7 @@ def item_item_recs_popularity_boost(signals: DataFrame, p: RecParams = RecParams
     beyond it can be in the list, and none is ranked."""
     links, weights = _graph(signals, p)
     adj = G.boost_adjust(links, weights, p.prior, boost)
-    fills = p.initial_nhood_size is None or p.initial_nhood_size >= p.num_recs_per_item
-    return N.two_hop_neighbours(adj, p.initial_nhood_size, p.num_recs_per_item, bounded=fills)
+    return N.two_hop_neighbours(adj, p.initial_nhood_size, p.num_recs_per_item, bounded=_fills(p))
 
 
 def quality_item_graph(interest_signals: DataFrame, item_quality: DataFrame,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cograph.functions import bitmap as B
 from cograph.operators import detailed as D
+from cograph.operators import graph as G
 from cograph.operators import neighbours as N
 from cograph.plans import recommenders as R
 from cograph.params import RecParams
@@ -100,6 +101,28 @@ def test_bounded_expansion_gives_the_same_recommendations(spark, nhood, recs):
     assert rows_of(N.two_hop_neighbours(carried, nhood, recs, ["note"], True, bounded=True)) == rows_of(N.two_hop_neighbours(carried, nhood, recs, ["note"], True))
 
 
+@pytest.mark.parametrize("nhood,recs", [(None, 3), (25, 4), (10, 10)])
+def test_bounded_expansion_with_repeated_links(spark, nhood, recs):
+    """Links that occur several times, to the item itself too, count once for the bound."""
+    links = _links(spark, recs)
+    links = links.unionByName(links.filter("item_B % 3 = 0")).unionByName(links.filter("item_B % 2 = 0").withColumn("weight", F.col("weight") * 0.75))
+    search = lambda **kw: rows_of(N.two_hop_neighbours(links, nhood, recs, **kw).distinct())
+    assert search(bounded=True, repeats=True) == search()
+
+
+def test_added_links_are_searched_within_the_bound(spark):
+    sig = spark.createDataFrame([(u, i, 1.0) for u in range(30) for i in range(u % 7, 40, 3)], "user int, item int, weight double")
+    extra = spark.createDataFrame([(i, (i * 7 + 3) % 40, 2.0) for i in range(40)] * 2, "item_A int, item_B int, weight double")
+    p = RecParams(min_link_weight=0.1, initial_nhood_size=5, num_recs_per_item=4)
+    found = R.item_item_recs_add_item_item(sig, extra, p)
+    assert "AS bound#" in found._jdf.queryExecution().analyzed().toString()
+    links, w = G.add_item_item_signals(G.build_item_item_graph(sig, p.logistic_param, p.min_link_weight, p.max_links_per_user)[0], extra,
+                                       G.build_item_item_graph(sig, p.logistic_param, p.min_link_weight, p.max_links_per_user)[1])
+    want = N.two_hop_neighbours(G.bayes_adjust(links, w, p.prior), 5, 4).dropna()
+    shown = lambda df: [(r.item_A, r.item_B, round(r.weight, 9), r.rank) for r in df.orderBy("item_A", "rank").collect()]
+    assert shown(found) == shown(want) != []
+
+
 def test_bounded_expansion_makes_fewer_candidates(spark):
     counts = {r.bounded: r.rows for r in N.candidate_rows(_links(spark, 1, False), None, 3).collect()}
     assert 0 < counts[True] < counts[False] / 3
