@@ -67,6 +67,14 @@ def prefilter(rows: DataFrame, keys: DataFrame, columns: Sequence[str], key_colu
     return hit.select(*rows.columns)
 
 
+def unsent(keys: DataFrame) -> DataFrame:
+    """``keys``, kept from being broadcast where the threshold is too small for
+    them: a plan takes them for as large as their compressed part of a file, which may be
+    a small part of what the driver would hold.  They are counted when this is called."""
+    limit = _bytes(keys.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+    return keys.hint("merge") if keys.count() * KEY_BYTES > limit >= 0 else keys
+
+
 def _bytes(text: str) -> int:
     """A size setting as bytes, such as 10MB or 256k."""
     units = {"k": 10, "m": 20, "g": 30, "t": 40}

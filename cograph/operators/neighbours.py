@@ -16,7 +16,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cograph.functions.bitmap import prefilter
+from cograph.functions.bitmap import prefilter, unsent
 from cograph.functions.ranking import top_k
 from cograph.functions.scale import sort_key
 from cograph.functions.skew import splittable_join
@@ -92,6 +92,7 @@ def _best_paths(graph: DataFrame, hop_targets: DataFrame, num_recs: int,
             .select("c.*").filter(F.col("item_A") != F.col("item_B")))
     if dest_items is not None:
         cand = prefilter(cand, dest_items, ["item_B"], ["item"])
+        dest_items = unsent(dest_items)
         cand = cand.join(dest_items, cand["item_B"] == dest_items["item"], "left_semi")
     # Candidates per item_A are bounded (nhood + nhood^2), so one exchange by
     # item_A serves both the per-pair arg-min and the per-item top-N windows.
@@ -157,7 +158,7 @@ def available_neighbours(ii_links: DataFrame, source_items: DataFrame, dest_item
     in ``dest_items`` are recommended; the middle item of a path is free.
     Pruning to ``nhood`` happens before both restrictions."""
     graph_all = _pruned_graph(ii_links, nhood, ())
-    src = source_items.select("item")
+    src = unsent(source_items.select("item"))
     dst = dest_items.select("item")
     graph = graph_all.join(src, graph_all["item_A"] == src["item"], "left_semi")
     return _best_paths(graph, graph_all, num_recs, (), dst, False)
