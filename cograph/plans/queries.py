@@ -479,7 +479,7 @@ def q_quarantine(spark, d):
     logs = TD.event_log_fx3(spark, d)
     line = F.to_json(F.struct(*logs.columns))
     cut = F.concat(F.lit('{"actor":"'), F.col("actor"))
-    logs.select(F.when(F.col("type") == "IssuesEvent", cut).otherwise(line).alias("value")).write.text(f"{root}/logs")
+    logs.select(F.when(F.col("type") == "IssuesEvent", cut).otherwise(line).alias("value")).write.option("maxRecordsPerFile", IO.LOG_FILE_EVENTS).text(f"{root}/logs", compression="gzip")
     P.stage_parse(spark, IO.read_event_logs(spark, f"{root}/logs", keep_malformed=True), root, FX3, skip=UNUSED)
     bad = IO.read_table(spark, f"{root}/{P.QUARANTINE}").groupBy("line").agg(F.count(F.lit(1)).alias("n"))
     good = IO.read_table(spark, f"{root}/parsed-logs").groupBy("user").agg(F.count(F.lit(1)).alias("n"))

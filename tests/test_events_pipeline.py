@@ -190,3 +190,15 @@ def test_event_logs_are_written_compressed(spark, tmp_path, monkeypatch):
     back = IO.read_event_logs(spark, f"{tmp_path}/logs")
     assert sorted(x.actor for x in back.collect()) == sorted(x[0] for x in rows)
     assert back.select("repository.*").distinct().count() == 1
+
+
+def test_quarantine_keeps_its_log_gzipped(spark, monkeypatch):
+    """As plain text the log is many times the tables it is made from."""
+    from cograph.plans import queries as PQ
+    roots = []
+    real = PQ.scratch_folder
+    monkeypatch.setattr(PQ, "scratch_folder", lambda s, name: roots.append(real(s, name)) or roots[-1])
+    found = PQ.SPARK["quarantine"](spark, "/root/testdata/sf0.001")
+    assert {r.kind for r in found.collect()} == {"malformed", "event"}
+    files = [f for f in os.listdir(f"{roots[0]}/logs") if f.startswith("part-")]
+    assert files and all(f.endswith(".txt.gz") for f in files)
