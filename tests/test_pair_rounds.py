@@ -19,8 +19,7 @@ def shown(links):
     return sorted((str(r.item_A), str(r.item_B), round(r.weight, 9)) for r in links.collect())
 
 
-@pytest.mark.parametrize("kind", ["long", "string"])
-@pytest.mark.parametrize("cap,block", [(10, 2048), (10, 4), (None, 7)])
+@pytest.mark.parametrize("kind,cap,block", [("long", 10, 2048), ("string", 10, 2048), ("string", 10, 4), ("long", None, 7)])
 def test_rounds_and_hot_items_give_the_plain_links(spark, monkeypatch, kind, cap, block):
     sig = signals(spark, kind)
     links = lambda: shown(G.build_item_item_graph(sig, 1.0, 1.5, cap, block)[0])
@@ -53,3 +52,20 @@ def test_a_pair_is_no_row_of_the_exchange(spark):
     assert shown(G.sum_listed_pairs(lists, 3, hot=hot)) == shown(plain)
     halves = [F.pmod(F.xxhash64("item"), F.lit(2)) == r for r in range(2)]
     assert sorted(shown(G.sum_listed_pairs(lists, 3, halves[0])) + shown(G.sum_listed_pairs(lists, 2, halves[1], hot))) == shown(plain)
+
+
+def test_rounds_follow_the_pairs_not_the_shuffle_partitions(spark, monkeypatch):
+    sig = signals(spark, "long")
+    before = {c: spark.conf.get(c, None) for c in (G.PARTITIONS_CONF, "spark.sql.shuffle.partitions")}
+    written = []
+    real = G.stored_in_parts
+    monkeypatch.setattr(G, "stored_in_parts", lambda parts, name: real((written.append(name) or p for p in parts), name))
+    monkeypatch.setattr(G, "TASK_PAIRS", 300)
+    monkeypatch.setattr(G, "ROUND_PAIRS", 20_000)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        G.build_item_item_graph(sig, 1.0, 1.5, 10)
+        assert len(written) == 1
+    finally:
+        for c, v in before.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
